@@ -7,7 +7,7 @@ group never gathers rows in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.text import pct
@@ -43,10 +43,9 @@ def outcome_counts(df: DataFrame, outcome: str = "outcome", kinds: tuple[str, ..
 def style_distribution(df: DataFrame, style: str = "style") -> DataFrame:
     """F1 + D9: count and share of each style among successful rows, largest first."""
     counts = df.groupBy(style).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    # the total is a single-row aggregate: broadcasting it is bounded by construction
-    return (counts.crossJoin(F.broadcast(total))
-                  .select(style, "count", pct("count", "_total").alias("percentage"))
+    # the window runs over the aggregated rows: one per style, bounded by the catalogue
+    total = F.sum("count").over(Window.partitionBy())
+    return (counts.select(style, "count", pct(F.col("count"), total).alias("percentage"))
                   .orderBy(F.desc("count"), F.col(style)))
 
 

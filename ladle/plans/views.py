@@ -258,6 +258,84 @@ SQL_V_TIMES = ("SELECT user_id AS run, ts, event_id, value AS seconds, CASE "
                + " END AS outcome FROM events")
 
 
+# How a decoded generation wraps the answer, by doc_id % 3.
+GEN_PROMPT_HEAD = "user\nExtract recipe information from this text:\n\nOrder "
+GEN_CHATTER_HEAD = "Here is the JSON you asked for:\n"
+GEN_CHATTER_TAIL = "\nLet me know if you need anything else."
+
+
+def v_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded model outputs around each recipe document (sample_id, generated_text)."""
+    d = v_recipe_json(spark, sf_dir)
+    m = F.col("doc_id") % 3
+    gen = (F.when(m == 0, F.concat(F.lit(GEN_PROMPT_HEAD), F.col("doc_id").cast("string"), F.lit("\nmodel\n"), F.col("json_text")))
+           .when(m == 1, F.concat(F.lit("<start_of_turn>model"), F.col("json_text"), F.lit("<end_of_turn>")))
+           .otherwise(F.concat(F.lit(GEN_CHATTER_HEAD), F.col("json_text"), F.lit(GEN_CHATTER_TAIL))))
+    return d.select(F.col("doc_id").alias("sample_id"), "k", gen.alias("generated_text"))
+
+
+SQL_V_GENERATIONS = f"""
+  SELECT doc_id AS sample_id, k, CASE
+    WHEN doc_id % 3 = 0 THEN 'user' || chr(10) || 'Extract recipe information from this text:' || chr(10) || chr(10) || 'Order ' || CAST(doc_id AS VARCHAR) || chr(10) || 'model' || chr(10) || json_text
+    WHEN doc_id % 3 = 1 THEN '<start_of_turn>model' || json_text || '<end_of_turn>'
+    ELSE 'Here is the JSON you asked for:' || chr(10) || json_text || chr(10) || 'Let me know if you need anything else.' END AS generated_text
+  FROM v_recipe_json
+"""
+
+# Score axes of a judge reply, in declared order.
+AXES = ["name", "ingredients", "instructions", "metadata", "completeness", "overall"]
+
+
+_AXIS_MULT = {"name": 1, "ingredients": 3, "instructions": 5, "metadata": 7, "completeness": 9, "overall": 4}
+
+
+def _judge_scores(key: str):
+    """Spark expressions of an axis score (0..10) for an order key (and the SQL twin)."""
+    return ({a: (F.col(key) * m + 3) % 11 for a, m in _AXIS_MULT.items()}, _sql_judge_scores(key))
+
+
+def _sql_judge_scores(key: str) -> dict[str, str]:
+    return {a: f"(({key} * {m} + 3) % 11)" for a, m in _AXIS_MULT.items()}
+
+
+def v_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge replies (sample_id, raw) in five shapes by order key % 5: json fence,
+    plain fence, unclosed fence, bare object in prose, no JSON at all."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    sc, _ = _judge_scores("o_orderkey")
+    scores = F.concat(F.lit('{"scores":{'), F.concat_ws(",", *[F.concat(F.lit(f'"{a}":'), sc[a].cast("string")) for a in AXES]), F.lit("},"))
+    feedback = F.concat(F.lit('"feedback":{'), F.concat_ws(",", *[
+        F.concat(F.lit(f'"{a}":"'), F.when(sc[a] == 0, F.lit("")).otherwise(F.concat(F.lit(f"{a} looks "), sc[a].cast("string"))), F.lit('"'))
+        for a in AXES]), F.lit("},"))
+    lists = F.concat(F.lit('"issues":['), F.when(sc["overall"] < 5, F.lit('"low overall"')).otherwise(F.lit("")),
+                     F.lit('],"strengths":['), F.when(sc["overall"] >= 9, F.lit('"high overall"')).otherwise(F.lit("")), F.lit("]}"))
+    body = F.concat(scores, feedback, lists)
+    m = F.col("o_orderkey") % 5
+    raw = (F.when(m == 0, F.concat(F.lit("Here is my evaluation:\n```json\n"), body, F.lit("\n```\nDone.")))
+           .when(m == 1, F.concat(F.lit("```\n"), body, F.lit("\n```")))
+           .when(m == 2, F.concat(F.lit("```json\n"), body))
+           .when(m == 3, F.concat(F.lit("Scores follow. "), body, F.lit(" End.")))
+           .otherwise(F.lit("I cannot evaluate this.")))
+    return o.select(F.col("o_orderkey").alias("sample_id"), raw.alias("raw"))
+
+
+def _sql_judge() -> str:
+    sc = _sql_judge_scores("o_orderkey")
+    scores = "'{\"scores\":{' || " + " || ',' || ".join(f"'\"{a}\":' || CAST({sc[a]} AS VARCHAR)" for a in AXES) + " || '},'"
+    feedback = "'\"feedback\":{' || " + " || ',' || ".join(
+        f"'\"{a}\":\"' || CASE WHEN {sc[a]} = 0 THEN '' ELSE '{a} looks ' || CAST({sc[a]} AS VARCHAR) END || '\"'" for a in AXES) + " || '},'"
+    lists = (f"'\"issues\":[' || CASE WHEN {sc['overall']} < 5 THEN '\"low overall\"' ELSE '' END || "
+             f"'],\"strengths\":[' || CASE WHEN {sc['overall']} >= 9 THEN '\"high overall\"' ELSE '' END || ']}}'")
+    body = f"({scores} || {feedback} || {lists})"
+    nl = "chr(10)"
+    return (f"SELECT o_orderkey AS sample_id, CASE "
+            f"WHEN o_orderkey % 5 = 0 THEN 'Here is my evaluation:' || {nl} || '```json' || {nl} || {body} || {nl} || '```' || {nl} || 'Done.' "
+            f"WHEN o_orderkey % 5 = 1 THEN '```' || {nl} || {body} || {nl} || '```' "
+            f"WHEN o_orderkey % 5 = 2 THEN '```json' || {nl} || {body} "
+            f"WHEN o_orderkey % 5 = 3 THEN 'Scores follow. ' || {body} || ' End.' "
+            f"ELSE 'I cannot evaluate this.' END AS raw FROM orders")
+
+
 SQL_VIEWS = {
     "v_recipe_json": SQL_V_RECIPE_JSON,
     "v_recipes": SQL_V_RECIPES,
@@ -265,6 +343,8 @@ SQL_VIEWS = {
     "v_records": SQL_V_RECORDS,
     "v_turns": "SELECT conv_id, turn, role, text AS content FROM conversations",
     "v_times": SQL_V_TIMES,
+    "v_generations": SQL_V_GENERATIONS,
+    "v_judge": _sql_judge(),
 }
 
 
