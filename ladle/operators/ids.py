@@ -92,18 +92,19 @@ def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: s
     own prefix is subtracted via the (partition, group) start table.
     """
     ranked = global_rank(df, list(group_cols) + list(order_cols), name="_gpos", partitions=partitions, keep_internal=True)
-    v = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+    # the value keeps its type: integral inputs give exact prefix sums
+    v = F.coalesce(F.col(value), F.lit(0))
     # inclusive running sum inside each range partition (balanced: range partitions)
     w_in = Window.partitionBy("_pid").orderBy("_gpos").rowsBetween(Window.unboundedPreceding, 0)
     with_local = ranked.withColumn("_v", v).withColumn("_local", F.sum("_v").over(w_in))
     part_tot = with_local.groupBy("_pid").agg(F.sum("_v").alias("_ptot"))
     w_p = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    part_off = part_tot.select("_pid", F.coalesce(F.sum("_ptot").over(w_p), F.lit(0.0)).alias("_poff"))
+    part_off = part_tot.select("_pid", F.coalesce(F.sum("_ptot").over(w_p), F.lit(0)).alias("_poff"))
     cum = with_local.join(F.broadcast(part_off), "_pid").withColumn("_cum", F.col("_poff") + F.col("_local"))
     # cumulative sum just before the group's first row = cum(first) - v(first)
     starts = _group_starts(cum, list(group_cols), "_gpos",
                            {"_cum0": F.min_by(F.col("_cum") - F.col("_v"), F.col("_gpos"))})
     out = (cum.join(starts, ["_pid", *group_cols])
               .withColumn(rank, F.col("_gpos") - F.col("_start") + 1)
-              .withColumn(before, F.round(F.col("_cum") - F.col("_v") - F.col("_cum0"), 9)))
+              .withColumn(before, F.col("_cum") - F.col("_v") - F.col("_cum0")))
     return out.drop("_pid", "_gpos", "_start", "_v", "_local", "_poff", "_cum", "_cum0")
