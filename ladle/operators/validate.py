@@ -251,18 +251,23 @@ def _sql_array_rule(kind_name: str, field: str, j: str) -> tuple[list[str], list
             [head_w, f"CASE WHEN {is_arr} THEN {per_w} ELSE []::VARCHAR[] END"])
 
 
+def sql_tolerant_ctes(src: str, key_cols: str, text_col: str, out: str = "v_parsed") -> list[tuple[str, str]]:
+    """C7 as DuckDB CTEs ending in ``out`` (key columns + outcome + json_text);
+    staged so that each rung is written once: t1 from t0, t2 from t1, ..."""
+    return [
+        (f"{out}_c1", f"SELECT {key_cols}, {text_col} AS t0, {_sql_fence_cut(text_col)} AS t1 FROM {src}"),
+        (f"{out}_c2", f"SELECT *, {sql_outer_json('t1')} AS t2 FROM {out}_c1"),
+        (f"{out}_c3", f"SELECT *, {_sql_drop_trailing_commas('t2')} AS t3 FROM {out}_c2"),
+        (f"{out}_c4", f"SELECT *, {_sql_close_open('t3')} AS t4 FROM {out}_c3"),
+        (f"{out}_ok", "SELECT *, " + ", ".join(f"{sql_parse_ok(f't{i}')} AS ok{i}" for i in range(5)) + f" FROM {out}_c4"),
+        (f"{out}!", f"SELECT {key_cols}, CASE WHEN ok0 THEN 'ok' WHEN ok1 OR ok2 OR ok3 OR ok4 THEN 'repaired' ELSE 'rejected' END AS outcome, "
+                    f"CASE WHEN ok0 THEN t0 WHEN ok1 THEN t1 WHEN ok2 THEN t2 WHEN ok3 THEN t3 WHEN ok4 THEN t4 END AS json_text FROM {out}_ok"),
+    ]
+
+
 def sql_validate_ctes(src: str, key_cols: str, text_col: str, rules: tuple[str, ...] | None = None) -> list[tuple[str, str]]:
     """CTEs ending in ``validated`` with key columns + outcome, json_text, errors, warnings, is_valid."""
-    # staged so that each rung is written once: t1 from t0, t2 from t1, ...
-    stage = [
-        ("v_c1", f"SELECT {key_cols}, {text_col} AS t0, {_sql_fence_cut(text_col)} AS t1 FROM {src}"),
-        ("v_c2", f"SELECT *, {sql_outer_json('t1')} AS t2 FROM v_c1"),
-        ("v_c3", f"SELECT *, {_sql_drop_trailing_commas('t2')} AS t3 FROM v_c2"),
-        ("v_c4", f"SELECT *, {_sql_close_open('t3')} AS t4 FROM v_c3"),
-        ("v_ok", "SELECT *, " + ", ".join(f"{sql_parse_ok(f't{i}')} AS ok{i}" for i in range(5)) + " FROM v_c4"),
-        ("v_parsed!", f"SELECT {key_cols}, CASE WHEN ok0 THEN 'ok' WHEN ok1 OR ok2 OR ok3 OR ok4 THEN 'repaired' ELSE 'rejected' END AS outcome, "
-                     "CASE WHEN ok0 THEN t0 WHEN ok1 THEN t1 WHEN ok2 THEN t2 WHEN ok3 THEN t3 WHEN ok4 THEN t4 END AS json_text FROM v_ok"),
-    ]
+    stage = sql_tolerant_ctes(src, key_cols, text_col, out="v_parsed")
     j = "json_text"
     req = "concat_ws(', ', " + ", ".join(f"CASE WHEN {sql_kind(j, f)} = 'missing' THEN '{f}' END" for f in REQUIRED_FIELDS) + ")"
     opt = "concat_ws(', ', " + ", ".join(f"CASE WHEN {sql_kind(j, f)} = 'missing' THEN '{f}' END" for f in OPTIONAL_FIELDS) + ")"

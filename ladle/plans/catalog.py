@@ -40,6 +40,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     from ladle.plans import (  # noqa: F401
         q_pair,
         q_render,
+        q_score,
         q_split,
         q_text,
         q_validate,
