@@ -38,6 +38,7 @@ def register(key: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     """Import every query module so that all keys are registered."""
     from ladle.plans import (  # noqa: F401
+        q_io,
         q_pair,
         q_render,
         q_score,
