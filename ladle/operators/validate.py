@@ -163,14 +163,15 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
               .when(not_obj, F.array(F.lit(MSG_NOT_OBJECT)))
               .otherwise(_not_null(errs)))
     warnings = F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_not_null(warns))
-    out = out.withColumn("errors", errors).withColumn("warnings", warnings)
+    tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k"] + ([] if keep_doc else ["_doc"])
+    keep = [c for c in out.columns if c not in tmp]
+    # The messages leave through a one-row generator: a filter on them (or on
+    # is_valid) stops at the generator instead of being pushed down and inlined
+    # into every rule, which would evaluate the rules twice and grow the plan
+    # with every reference.  The outer form infers no size() filter either.
+    out = out.select(*keep, F.inline_outer(F.array(F.struct(errors.alias("errors"), warnings.alias("warnings")))))
     out = out.withColumn("is_valid", F.size("errors") == 0)
-    tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k"]
-    if keep_doc:
-        out = out.withColumnRenamed("_doc", "doc")
-    else:
-        tmp.append("_doc")
-    return out.drop(*tmp)
+    return out.withColumnRenamed("_doc", "doc") if keep_doc else out
 
 
 def findings(df: DataFrame, keys: list[str]) -> DataFrame:

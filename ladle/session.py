@@ -37,6 +37,9 @@ def get_session(master: str | None = None, app: str = "ladle", shuffle_partition
         if master.startswith("local"):
             # local mode runs everything in the driver JVM
             builder = builder.config("spark.driver.memory", os.environ.get("LADLE_DRIVER_MEMORY", "8g"))
+            # small test data: keep every core busy on CPU-heavy text rows rather
+            # than letting AQE merge a few MB of shuffle into one task
+            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SESSION_FLAGS.items():
