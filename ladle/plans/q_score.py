@@ -104,11 +104,11 @@ def _scores(spark, sf_dir) -> DataFrame:
     x = _extracted(spark, sf_dir).select("rid", "x_name", "x_ingredients", "x_steps", "x_total_time", "x_yield")
     j = src.join(x, "rid")
     ings = F.split("ingredient", "; ")
-    cols = SC.score_columns(F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
-                            [F.col("process"), F.col("n_rater"), F.col("grp")],
-                            F.col("x_name"), F.col("x_ingredients"), F.col("x_steps"),
-                            [F.col("x_total_time"), F.col("x_yield"), F.lit(None).cast("string")])
-    return j.select("rid", F.struct(*[F.round(cols[a], 6).alias(a) for a in SC.AXES]).alias("scores"))
+    scored = SC.add_scores(j, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
+                           [F.col("process"), F.col("n_rater"), F.col("grp")],
+                           F.col("x_name"), F.col("x_ingredients"), F.col("x_steps"),
+                           [F.col("x_total_time"), F.col("x_yield"), F.lit(None).cast("string")])
+    return scored.select("rid", "scores")
 
 
 def _sql_ratio(num: str, den: str) -> str:
