@@ -41,10 +41,10 @@ def parse_strict(col) -> Column:
     taken back out.  JSON null is kept as a variant null.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), _c(col), F.lit("\n]")))
-    elems = F.try_variant_get(wrapped, "$", "array<variant>")
-    one = (F.size(elems) == 1)
+    # exactly one element: $[0] present and no $[1] (no array is materialised)
     first = F.variant_get(wrapped, "$[0]", "variant")
-    return F.when(one, first)
+    second = F.variant_get(wrapped, "$[1]", "variant")
+    return F.when(second.isNull(), first)
 
 
 def sql_parse_ok(e: str) -> str:
@@ -128,21 +128,29 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
     """Route each row to ``ok`` / ``repaired`` / ``rejected``.
 
     Adds ``doc`` (VARIANT, NULL when rejected), ``outcome`` and ``text`` (the text
-    that parsed).  The ladder is one ``coalesce`` over rungs, so a later rung is
-    only built and parsed when every earlier one failed, and a clean row is
-    parsed once (the first rung is always evaluated, so Catalyst shares its parse).
+    that parsed).  The first rung is parsed once for every row.  The repair
+    rungs read a copy of the text that is NULL when the first rung succeeded,
+    so clean rows skip all regex work; each rung and its parse is a column of
+    its own, built from the previous rung, so no rung is repeated inside
+    another and the generated code stays small.
     """
-    rungs = []
-    for i, cand in enumerate(candidates(col)):
-        parsed = parse_strict(cand)
-        rungs.append(F.when(parsed.isNotNull(), F.struct(parsed.alias("d"), F.lit(i).alias("k"), cand.alias("s"))))
-    first = F.coalesce(*rungs)
-    out = df.withColumn("_lt", first)
+    c0 = _c(col)
+    out = df.withColumn("_lt0", parse_strict(c0)).withColumn("_lt_in", F.when(F.col("_lt0").isNull(), c0))
+    steps = [_fence_cut, outer_json, _drop_trailing_commas, _close_open]
+    prev = F.col("_lt_in")
+    for i, step in enumerate(steps, start=1):
+        out = out.withColumn(f"_lt_c{i}", step(prev)).withColumn(f"_lt_p{i}", parse_strict(F.col(f"_lt_c{i}")))
+        prev = F.col(f"_lt_c{i}")
+    rungs = [F.when(F.col("_lt0").isNotNull(), F.struct(F.col("_lt0").alias("d"), F.lit(0).alias("k"), c0.alias("s")))]
+    rungs += [F.when(F.col(f"_lt_p{i}").isNotNull(), F.struct(F.col(f"_lt_p{i}").alias("d"), F.lit(i).alias("k"),
+                                                            F.col(f"_lt_c{i}").alias("s"))) for i in range(1, len(steps) + 1)]
+    out = out.withColumn("_lt", F.coalesce(*rungs))
     k = F.col("_lt.k")
+    tmp = ["_lt", "_lt0", "_lt_in"] + [f"_lt_{x}{i}" for i in range(1, len(steps) + 1) for x in ("c", "p")]
     return (out.withColumn(doc, F.col("_lt.d"))
                .withColumn(outcome, F.when(k == 0, "ok").when(k.isNotNull(), "repaired").otherwise("rejected"))
                .withColumn(text, F.col("_lt.s"))
-               .drop("_lt"))
+               .drop(*tmp))
 
 
 def sql_parse_tolerant(e: str) -> tuple[str, str]:
