@@ -31,7 +31,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(master: str | None = None, app: str = "ladle", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with ladle's flags.  ``master`` is only for local runs."""
     builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               # checkpoints written by global_rank are removed once their DataFrame is gone
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
