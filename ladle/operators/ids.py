@@ -30,6 +30,10 @@ def _cols(cols) -> list[Column]:
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partitions: ``partitions`` if given, else ``spark.sql.shuffle.partitions``,
+    which a cluster sizes to its data (about one partition per 128-256 MB of
+    the ranked columns).  Asking the input for its partition count instead
+    could run upstream shuffle stages early under AQE."""
     if partitions:
         return partitions
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
