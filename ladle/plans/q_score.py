@@ -100,11 +100,11 @@ def extract_records(spark, sf_dir):
 # --- I3 / I4 -------------------------------------------------------------------
 
 def _scores(spark, sf_dir) -> DataFrame:
-    src = v_recipes(spark, sf_dir).select("rid", "name", "grp", "process", "n_rater", "ingredient")
-    x = _extracted(spark, sf_dir).select("rid", "x_name", "x_ingredients", "x_steps", "x_total_time", "x_yield")
-    j = src.join(x, "rid")
+    # source and extraction are the same rows (synthesize -> extract keeps the
+    # record's columns), so scoring needs no join back to the source
+    x = SY.extract_record(_docs(spark, sf_dir))
     ings = F.split("ingredient", "; ")
-    scored = SC.add_scores(j, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
+    scored = SC.add_scores(x, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
                            [F.col("process"), F.col("n_rater"), F.col("grp")],
                            F.col("x_name"), F.col("x_ingredients"), F.col("x_steps"),
                            [F.col("x_total_time"), F.col("x_yield"), F.lit(None).cast("string")])
