@@ -93,9 +93,18 @@ def record_prompt(columns: dict[str, str] | None = None) -> Column:
     return F.concat_ws("\n", *parts)
 
 
-def extraction_prompt(text) -> Column:
-    """B2: the user turn asking for an extraction."""
-    return F.concat(F.lit(EXTRACT_PREFIX), _none(_c(text)))
+def extraction_prompt(text, strip_header: bool = False) -> Column:
+    """B2: the user turn asking for an extraction.
+
+    By default the document is used as stored, style header included (as the
+    reference does); ``strip_header=True`` removes that label from the text a
+    model is trained on.
+    """
+    body = _c(text)
+    if strip_header:
+        from ladle.operators.synth import drop_header
+        body = drop_header(body)
+    return F.concat(F.lit(EXTRACT_PREFIX), _none(body))
 
 
 def judge_prompt(blog, recipe_json) -> Column:
@@ -117,14 +126,24 @@ def assistant_turn(reasoning, recipe_json) -> Column:
     return F.concat(_none(wrap_reasoning(reasoning)), F.lit("\n\n"), _none(_c(recipe_json)))
 
 
+def reasoning_flags(assistant) -> Column:
+    """Flags for the two ways stripping does not undo wrapping: an empty reasoning
+    leaves a leading blank line, and an unclosed <think> survives into the
+    training text.  Count them with ``summary.outcome_counts`` style aggregates."""
+    stripped = strip_reasoning(_c(assistant))
+    return F.struct(stripped.startswith("\n\n").alias("leading_blank"),
+                    stripped.contains(THINK_OPEN).alias("think_left"))
+
+
 def message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def training_example(blog, recipe_json, reasoning, system_prompt: str | None = None) -> Column:
+def training_example(blog, recipe_json, reasoning, system_prompt: str | None = None,
+                     strip_header: bool = False) -> Column:
     """The 3-message training example (system, user, assistant)."""
     return F.array(message("system", F.lit(system_prompt or DEFAULT_SYSTEM_PROMPT)),
-                   message("user", extraction_prompt(blog)),
+                   message("user", extraction_prompt(blog, strip_header)),
                    message("assistant", assistant_turn(reasoning, recipe_json)))
 
 

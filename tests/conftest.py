@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,9 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ladle.session import get_session
+    from ladle.session import checkpoint_dir, get_session
     s = get_session("local[4]", app="ladle-tests", shuffle_partitions=4)
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ladle-test-ckpt-"))
+    checkpoint_dir(s)
     yield s
 
 

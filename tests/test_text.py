@@ -68,3 +68,13 @@ def test_chat_render(spark):
                     "<start_of_turn>user\nagain<end_of_turn>\n")
     gen = df.select(R.render_chat("m", add_generation_prompt=True).alias("t")).first().t
     assert gen.endswith("<start_of_turn>user\nagain<end_of_turn>\n<start_of_turn>model\n") and "{}" not in gen
+
+
+def test_strip_header_and_reasoning_flags(spark):
+    df = spark.createDataFrame([("<!-- Generated with style: x -->\n\nbody", "", '{"a":1}'),
+                                ("plain", "<think>open", '{"b":2}')], "t string, r string, j string")
+    rows = df.select(R.extraction_prompt("t", strip_header=True).alias("p"),
+                     R.reasoning_flags(R.assistant_turn("r", "j")).alias("f")).collect()
+    assert rows[0].p == R.EXTRACT_PREFIX + "body" and rows[1].p == R.EXTRACT_PREFIX + "plain"
+    assert rows[0].f.leading_blank is True and rows[0].f.think_left is False
+    assert rows[1].f.think_left is True
