@@ -17,16 +17,20 @@ DOC_SCHEMA = "rid string, text string"
 
 
 def read_stream(spark: SparkSession, in_dir: str, schema: str = DOC_SCHEMA, fmt: str = "json",
-                files_per_trigger: int = 1) -> DataFrame:
-    """Streaming scan of a folder that receives new files."""
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", files_per_trigger).load(in_dir))
+                files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming scan of a folder that receives new files (``files_per_trigger``
+    bounds a micro-batch; None keeps Spark's default)."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(in_dir)
 
 
 def ingest_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
-                  transform: Callable[[DataFrame], DataFrame], schema: str = DOC_SCHEMA, fmt: str = "json") -> int:
+                  transform: Callable[[DataFrame], DataFrame], schema: str = DOC_SCHEMA, fmt: str = "json",
+                  files_per_trigger: int | None = None) -> int:
     """Process every new input file once into a parquet table; returns the number of micro-batches."""
-    out = transform(read_stream(spark, in_dir, schema, fmt))
+    out = transform(read_stream(spark, in_dir, schema, fmt, files_per_trigger))
     q = (out.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -35,13 +39,13 @@ def ingest_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
 
 def stream_counts(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame], key: str = "outcome",
-                  schema: str = DOC_SCHEMA, fmt: str = "json") -> None:
+                  schema: str = DOC_SCHEMA, fmt: str = "json", files_per_trigger: int | None = None) -> None:
     """Running counts per ``key`` over everything ingested so far.
 
     Complete-mode aggregation state lives in the checkpoint; each micro-batch
     rewrites the (small: one row per key) result table.
     """
-    counts = transform(read_stream(spark, in_dir, schema, fmt)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = transform(read_stream(spark, in_dir, schema, fmt, files_per_trigger)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
     def publish(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_dir)
