@@ -74,3 +74,14 @@ def test_require_non_empty(spark):
     import pytest
     with pytest.raises(ValueError):
         IO.require_non_empty(spark.range(0), "rows")
+
+
+def test_report_tables(spark, sf_dir):
+    import __spark_entry__ as E
+    d = tempfile.mkdtemp(prefix="ladle-report-")
+    samples = E.queries()["attach_scores"](spark, sf_dir)
+    summary = E.queries()["eval_report"](spark, sf_dir)
+    run = summary.select("model_name", "batch_size", "vibes_samples_per_batch", "vibes_model")
+    IO.write_report(os.path.join(d, "r"), run, samples, summary.drop("model_name", "vibes_model"))
+    r, s, m = IO.read_report(spark, os.path.join(d, "r"))
+    assert r.count() == 1 and m.count() == 1 and s.count() == samples.count()
