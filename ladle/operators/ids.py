@@ -112,3 +112,30 @@ def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: s
               .withColumn(rank, F.col("_gpos") - F.col("_start") + 1)
               .withColumn(before, F.col("_cum") - F.col("_v") - F.col("_cum0")))
     return out.drop("_pid", "_gpos", "_start", "_v", "_local", "_poff", "_cum", "_cum0")
+
+
+HASH_BUCKET_BITS = 16  # 65,536 buckets: the prefix table is bounded by this, not by the data
+
+
+def hash_rank(df: DataFrame, hash_col: str, key: str, name: str = "pos", total: str | None = None) -> DataFrame:
+    """Position by (``hash_col``, ``key``) where ``hash_col`` is a uniform 32-bit hash.
+
+    No sampling and no checkpoint: the top bits of the hash are a bucket, so
+    one shuffle by bucket orders every row, each bucket holds about
+    1/65,536 of the rows, and a bucket-count prefix (at most 65,536 rows,
+    broadcast) turns the rank inside a bucket into a global position.  All
+    inputs are deterministic, so a lost task recomputes the same ranks.
+    """
+    shift = 32 - HASH_BUCKET_BITS
+    d = df.withColumn("_hb", F.shiftright(F.col(hash_col), shift))
+    hist = d.groupBy("_hb").agg(F.count(F.lit(1)).alias("_hn"))
+    w_all = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = hist.select("_hb", F.coalesce(F.sum("_hn").over(w_all), F.lit(0)).alias("_hbefore"),
+                         F.sum("_hn").over(Window.partitionBy()).alias("_htotal"))
+    w_in = Window.partitionBy("_hb").orderBy(hash_col, key)
+    out = (d.withColumn("_hr", F.row_number().over(w_in))
+             .join(F.broadcast(prefix), "_hb")
+             .withColumn(name, F.col("_hbefore") + F.col("_hr")))
+    if total:
+        out = out.withColumn(total, F.col("_htotal"))
+    return out.drop("_hb", "_hn", "_hr", "_hbefore", "_htotal")

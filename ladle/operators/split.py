@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.functions.text import md5_number
-from ladle.operators.ids import global_rank
+from ladle.operators.ids import global_rank, hash_rank
 
 
 def seeded_hash(key: Column, seed) -> Column:
@@ -51,7 +51,7 @@ def split_exact(df: DataFrame, key: str, ratio: float, seed, label: str = "split
     """
     if not ratio:
         return df.withColumn(label, F.lit("train"))
-    ranked = global_rank(df.withColumn("_h", seeded_hash(F.col(key), seed)), ["_h", key], name="_r", total="_n")
+    ranked = hash_rank(df.withColumn("_h", seeded_hash(F.col(key), seed)), "_h", key, name="_r", total="_n")
     cut = F.floor(F.col("_n").cast("double") * F.lit(float(ratio)))
     return ranked.withColumn(label, F.when(F.col("_r") <= cut, "train").otherwise("test")).drop("_h", "_r", "_n")
 
@@ -61,7 +61,7 @@ def holdout(df: DataFrame, key: str, test_size: float = 0.05, seed=42, label: st
 
     Deterministic: training and evaluation re-derive the identical split.
     """
-    ranked = global_rank(df.withColumn("_h", seeded_hash(F.col(key), seed)), ["_h", key], name="_r", total="_n")
+    ranked = hash_rank(df.withColumn("_h", seeded_hash(F.col(key), seed)), "_h", key, name="_r", total="_n")
     n_test = F.ceil(F.col("_n").cast("double") * F.lit(float(test_size)))
     return ranked.withColumn(label, F.when(F.col("_r") <= n_test, "test").otherwise("train")).drop("_h", "_r", "_n")
 

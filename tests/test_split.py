@@ -75,3 +75,14 @@ def test_batches(spark):
     assert rows[99].batch_start == 97 and rows[99].batch_end == 100
     first = SP.first_n_per_group(b, "batch_num", "sample_id", 2)
     assert sorted(r.k for r in first.collect()) == [0, 1, 48, 49, 96, 97]
+
+
+def test_hash_rank_equals_window(spark):
+    from ladle.operators.ids import hash_rank
+    from ladle.operators.split import seeded_hash
+    df = spark.range(5000).withColumn("k", F.concat(F.lit("k"), F.col("id").cast("string")))
+    df = df.withColumn("h", seeded_hash(F.col("k"), 3))
+    got = hash_rank(df.repartition(9), "h", "k", name="pos", total="n")
+    want = df.withColumn("pos", F.row_number().over(Window.orderBy("h", "k")))
+    assert got.select("k", "pos").exceptAll(want.select("k", "pos")).count() == 0
+    assert got.select(F.max("n")).first()[0] == 5000
