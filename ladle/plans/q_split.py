@@ -140,11 +140,11 @@ def unique_names(df: DataFrame, name_col: str, order_col: str, out: str = "file_
     for _ in range(max_rounds):
         clash = cur.groupBy(out).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
         if clash.isEmpty():
-            break
+            return cur.drop("_safe")
         again = group_rank(cur, [out], [order_col], name="_r")
         cur = again.withColumn(out, F.when(F.col("_r") == 1, F.col(out))
                                .otherwise(F.concat(F.col(out), F.lit("_"), (F.col("_r") - 1).cast("string")))).drop("_r")
-    return cur.drop("_safe")
+    raise RuntimeError(f"names still collide after {max_rounds} rounds")
 
 
 @register("unique_name", with_views(
