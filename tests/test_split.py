@@ -86,3 +86,13 @@ def test_hash_rank_equals_window(spark):
     want = df.withColumn("pos", F.row_number().over(Window.orderBy("h", "k")))
     assert got.select("k", "pos").exceptAll(want.select("k", "pos")).count() == 0
     assert got.select(F.max("n")).first()[0] == 5000
+
+
+def test_slice_rows_both_paths(spark):
+    df = spark.range(50).select((49 - F.col("id")).alias("o"))
+    top = [r.o for r in SP.slice_rows(df, ["o"], skip=3, limit=4).collect()]
+    assert top == [3, 4, 5, 6]
+    rest = sorted(r.o for r in SP.slice_rows(df, ["o"], skip=45).collect())
+    assert rest == [45, 46, 47, 48, 49]
+    assert SP.slice_rows(df, ["o"]).count() == 50
+    assert [r.o for r in SP.limit_inputs(df, ["o"], 2).collect()] == [0, 1]
