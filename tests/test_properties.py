@@ -46,3 +46,22 @@ def test_cluster_needs_a_shared_checkpoint_folder(monkeypatch, spark):
         pytest.skip("a checkpoint folder is configured for this session")
     with pytest.raises(RuntimeError):
         S.checkpoint_dir(spark)
+
+
+def test_enrich_isolates_failures(spark):
+    from ladle.operators.enrich import enrich, map_batches
+
+    def shout(values):
+        if any(v is None for v in values):
+            raise ValueError("missing value")
+        return [v.upper() for v in values]
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"w{i}") for i in range(23)], "id int, t string")
+    out = {r.id: (r.result, r.error) for r in enrich(df, shout, "t", ["id"], batch=4).collect()}
+    assert len(out) == 23
+    assert out[1] == ("W1", None) and out[0][0] is None and out[0][1].startswith("ValueError")
+    assert sum(1 for r, e in out.values() if e) == 5
+
+    def lengths(pdf):
+        return pdf.assign(n=pdf["t"].str.len())[["id", "n"]]
+    m = map_batches(df.fillna("x"), lengths, "id int, n long").collect()
+    assert sorted(r.n for r in m)[0] == 1
