@@ -64,27 +64,62 @@ def global_rank(df: DataFrame, order_cols, name: str = "pos", total: str | None
     return out.drop(*drop)
 
 
-def _group_starts(ranked: DataFrame, group_cols: list[str], pos: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """(``_pid``, group..., ``_start`` [, extra]) for every partition a group touches."""
-    first = ranked.groupBy(*group_cols).agg(F.min(pos).alias("_start"), *[v.alias(k) for k, v in (extra or {}).items()])
-    touched = ranked.select("_pid", *group_cols).distinct()
-    return touched.join(first, group_cols)
+def _with_group_start(ranked: DataFrame, group_cols: list[str], pos: str, value: str | None = None) -> DataFrame:
+    """Add ``_start`` (global position of the row's group's first row) and, with
+    ``value``, ``_cum0`` (running total of ``_cum`` just before that row).
+
+    Rows are range-partitioned and sorted by (group, order), so inside a
+    partition a window finds each group's local start.  Only a group that
+    continues from earlier partitions needs more: it is the first group of
+    its partition and the last group of each earlier partition it touches.
+    One row per partition (first / last group, last group's local start) is
+    enough to resolve it, and that table is broadcast: its size is the
+    partition count, however the groups are distributed.
+    """
+    g = F.struct(*[F.col(c) for c in group_cols])
+    w = Window.partitionBy("_pid").orderBy(pos)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    is_start = F.coalesce(~F.lag(g).over(w).eqNullSafe(g), F.lit(True))
+    d = ranked.withColumn("_gs", is_start)
+    d = d.withColumn("_lstart", F.last(F.when(F.col("_gs"), F.col(pos)), ignorenulls=True).over(run))
+    if value:
+        d = d.withColumn("_lcum0", F.last(F.when(F.col("_gs"), F.col("_cum") - F.col(value)), ignorenulls=True).over(run))
+    d = d.drop("_gs").withColumn("_g", g)
+    aggs = [F.min_by("_g", pos).alias("_first_g"), F.min(pos).alias("_first_pos"),
+            F.max_by("_g", pos).alias("_last_g"), F.max_by("_lstart", pos).alias("_last_start")]
+    if value:
+        aggs.append(F.max_by("_lcum0", pos).alias("_last_cum0"))
+    edges = d.groupBy("_pid").agg(*aggs)
+    # earliest start of every group that ends a partition (bounded: one row per partition)
+    sagg = [F.min("_last_start").alias("_gstart")]
+    if value:
+        sagg.append(F.min_by("_last_cum0", "_last_start").alias("_gcum0"))
+    starts = edges.groupBy(F.col("_last_g").alias("_sg")).agg(*sagg)
+    carry = edges.join(starts, edges["_first_g"].eqNullSafe(starts["_sg"]), "left")
+    carried = F.col("_gstart").isNotNull() & (F.col("_gstart") < F.col("_first_pos"))
+    cols = [F.col("_pid"), F.col("_first_g"), F.when(carried, F.col("_gstart")).alias("_cstart")]
+    if value:
+        cols.append(F.when(carried, F.col("_gcum0")).alias("_ccum0"))
+    carry = carry.select(*cols)
+    out = d.join(F.broadcast(carry), "_pid")
+    continues = F.col("_g").eqNullSafe(F.col("_first_g")) & F.col("_cstart").isNotNull()
+    out = out.withColumn("_start", F.when(continues, F.col("_cstart")).otherwise(F.col("_lstart")))
+    if value:
+        out = out.withColumn("_cum0", F.when(continues, F.col("_ccum0")).otherwise(F.col("_lcum0")))
+    return out.drop("_g", "_first_g", "_cstart", "_lstart", *(["_ccum0", "_lcum0"] if value else []))
 
 
 def group_rank(df: DataFrame, group_cols: list[str], order_cols, name: str = "rank",
-               group_size: str | None = None, partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """1-based rank within each group by ``order_cols`` (ties must be broken by a unique key).
 
     Equal to ``row_number() over (partition by group order by order)`` but a
-    group holding a third of all rows is still spread over many tasks.
+    group holding a third of all rows is still spread over many tasks, and no
+    table the size of the data is joined back.
     """
     ranked = global_rank(df, list(group_cols) + list(order_cols), name="_gpos", partitions=partitions, keep_internal=True)
-    extra = {"_gsize": F.count(F.lit(1))} if group_size else None
-    starts = _group_starts(ranked, list(group_cols), "_gpos", extra)
-    out = ranked.join(starts, ["_pid", *group_cols]).withColumn(name, F.col("_gpos") - F.col("_start") + 1)
-    if group_size:
-        out = out.withColumnRenamed("_gsize", group_size)
-    return out.drop("_pid", "_gpos", "_start")
+    out = _with_group_start(ranked, list(group_cols), "_gpos")
+    return out.withColumn(name, F.col("_gpos") - F.col("_start") + 1).drop("_pid", "_gpos", "_start")
 
 
 def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: str,
@@ -93,23 +128,20 @@ def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: s
 
     Prefix sums are global (per-partition totals, prefix-summed over the small
     partition table, then a window inside each range partition); the group's
-    own prefix is subtracted via the (partition, group) start table.
+    own prefix is subtracted using the same partition-edge table as
+    ``group_rank``.
     """
     ranked = global_rank(df, list(group_cols) + list(order_cols), name="_gpos", partitions=partitions, keep_internal=True)
     # the value keeps its type: integral inputs give exact prefix sums
-    v = F.coalesce(F.col(value), F.lit(0))
-    # inclusive running sum inside each range partition (balanced: range partitions)
+    d = ranked.withColumn("_v", F.coalesce(F.col(value), F.lit(0)))
     w_in = Window.partitionBy("_pid").orderBy("_gpos").rowsBetween(Window.unboundedPreceding, 0)
-    with_local = ranked.withColumn("_v", v).withColumn("_local", F.sum("_v").over(w_in))
-    part_tot = with_local.groupBy("_pid").agg(F.sum("_v").alias("_ptot"))
+    part_tot = d.groupBy("_pid").agg(F.sum("_v").alias("_ptot"))
     w_p = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part_off = part_tot.select("_pid", F.coalesce(F.sum("_ptot").over(w_p), F.lit(0)).alias("_poff"))
-    cum = with_local.join(F.broadcast(part_off), "_pid").withColumn("_cum", F.col("_poff") + F.col("_local"))
-    # cumulative sum just before the group's first row = cum(first) - v(first)
-    starts = _group_starts(cum, list(group_cols), "_gpos",
-                           {"_cum0": F.min_by(F.col("_cum") - F.col("_v"), F.col("_gpos"))})
-    out = (cum.join(starts, ["_pid", *group_cols])
-              .withColumn(rank, F.col("_gpos") - F.col("_start") + 1)
+    cum = (d.withColumn("_local", F.sum("_v").over(w_in)).join(F.broadcast(part_off), "_pid")
+            .withColumn("_cum", F.col("_poff") + F.col("_local")))
+    out = _with_group_start(cum, list(group_cols), "_gpos", value="_v")
+    out = (out.withColumn(rank, F.col("_gpos") - F.col("_start") + 1)
               .withColumn(before, F.col("_cum") - F.col("_v") - F.col("_cum0")))
     return out.drop("_pid", "_gpos", "_start", "_v", "_local", "_poff", "_cum", "_cum0")
 

@@ -96,3 +96,19 @@ def test_slice_rows_both_paths(spark):
     assert rest == [45, 46, 47, 48, 49]
     assert SP.slice_rows(df, ["o"]).count() == 50
     assert [r.o for r in SP.limit_inputs(df, ["o"], 2).collect()] == [0, 1]
+
+
+def test_group_helpers_across_many_partitions(spark):
+    # "hot" spans many range partitions entirely; NULL is a group of its own; values go negative
+    df = (spark.range(4000)
+          .withColumn("g", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                      .when(F.col("id") % 11 == 0, F.lit(None).cast("string"))
+                      .otherwise((F.col("id") % 7).cast("string")))
+          .withColumn("v", (F.col("id") % 13) - 6))
+    w = Window.partitionBy("g").orderBy("id")
+    want = (df.withColumn("r", F.row_number().over(w))
+              .withColumn("b", F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    got_r = group_rank(df, ["g"], ["id"], name="r", partitions=16)
+    assert got_r.select("id", "r").exceptAll(want.select("id", "r")).count() == 0
+    got_s = group_running_sum(df, ["g"], ["id"], "v", rank="r", before="b", partitions=16)
+    assert got_s.select("id", "r", "b").exceptAll(want.select("id", "r", "b")).count() == 0
