@@ -9,9 +9,14 @@ row per partition, so broadcasting it is bounded by the partition count, not by
 the data.
 
 Ranks and running sums *within* groups reuse those global positions: rows are
-ordered by (group, order), so a group is a contiguous run of positions.  The
-per-group start is attached by a join on (partition id, group), which splits a
-hot group across every partition it spans instead of sending it to one task.
+ordered by (group, order), so a group is a contiguous run of positions.  A
+window inside each range partition finds local group starts; a group that
+continues from earlier partitions is resolved from a one-row-per-partition
+edge table.  A hot group is therefore split across every partition it spans
+instead of going to one task, and nothing the size of the data is joined back.
+
+``hash_rank`` is the cheaper path when the order is a uniform hash (seeded
+splits): one shuffle by hash bucket, no sampling, no checkpoint.
 """
 
 from __future__ import annotations
