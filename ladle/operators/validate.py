@@ -137,12 +137,15 @@ def _selected(rules: tuple[str, ...] | None) -> tuple[bool, bool, list[tuple[str
             [(k, f) for k, f in RULE_ORDER if k in rules or f in rules])
 
 
-def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str, ...] | None = None) -> DataFrame:
+def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str, ...] | None = None,
+             warnings: bool = True) -> DataFrame:
     """Add ``outcome``, ``json_text``, ``is_valid``, ``errors``, ``warnings``.
 
     ``rules`` limits the checks to some of ``required``, ``optional``, ``context``,
     ``type``, ``string``, ``ingredients``, ``instructions``, ``duration`` (or field
-    names); parse and root-object checks always run.
+    names); parse and root-object checks always run.  ``warnings=False`` skips
+    the warning-level checks (``warnings`` is then empty) for callers that only
+    count errors.
     """
     use_req, use_opt, order = _selected(rules)
     out = parse_tolerant(df, col, doc="_doc", outcome="outcome", text="json_text")
@@ -162,14 +165,15 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
     errors = (F.when(rejected, F.array(F.lit(MSG_INVALID)))
               .when(not_obj, F.array(F.lit(MSG_NOT_OBJECT)))
               .otherwise(_not_null(errs)))
-    warnings = F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_not_null(warns))
+    warning_list = (F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_not_null(warns))
+                    if warnings else F.array().cast("array<string>"))
     tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k"] + ([] if keep_doc else ["_doc"])
     keep = [c for c in out.columns if c not in tmp]
     # The messages leave through a one-row generator: a filter on them (or on
     # is_valid) stops at the generator instead of being pushed down and inlined
     # into every rule, which would evaluate the rules twice and grow the plan
     # with every reference.  The outer form infers no size() filter either.
-    out = out.select(*keep, F.inline_outer(F.array(F.struct(errors.alias("errors"), warnings.alias("warnings")))))
+    out = out.select(*keep, F.inline_outer(F.array(F.struct(errors.alias("errors"), warning_list.alias("warnings")))))
     out = out.withColumn("is_valid", F.size("errors") == 0)
     return out.withColumnRenamed("_doc", "doc") if keep_doc else out
 

@@ -265,7 +265,7 @@ def score_summary(spark, sf_dir):
 def _gen_validated(spark, sf_dir) -> DataFrame:
     g = v_generations(spark, sf_dir).select(F.col("sample_id").alias("doc_id"), "k",
                                             T.extract_answer_json("generated_text").alias("json_text"))
-    return validate(g, "json_text")
+    return validate(g, "json_text", warnings=False)
 
 
 _SQL_GEN_JSON = ("gen_json", f"SELECT sample_id AS doc_id, k, {T.sql_extract_answer_json('generated_text')} AS json_text FROM v_generations")
