@@ -90,14 +90,14 @@ def _rule(kind_name: str, field: str) -> tuple[list[Column], list[Column]]:
             kind(x) != "string", F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] must be a string"))))
         return head[0] + [F.when(is_arr, items)], head[1]
 
-    # one pass computes what every item rule needs, a second pass writes messages
-    facts = F.transform(arr, lambda x: F.struct(
-        kind(x).alias("k"),
-        F.variant_get(x, "$['@type']", "variant").alias("t"),
-        F.variant_get(x, "$['text']", "variant").alias("tx")))
-    facts = F.transform(facts, lambda f: F.struct(
-        f["k"].alias("k"), f["t"].alias("t"), kind(f["t"]).alias("kt"), kind(f["tx"]).alias("ktx"),
-        F.variant_get(f["tx"], "$", "string").alias("txs")))
+    # One cast turns the items into structs of the two keys the rules look at:
+    # a non-object item becomes NULL, a missing key SQL NULL, a JSON null a
+    # variant null.  A second pass derives the kinds, a third writes messages.
+    items = F.try_variant_get(v, "$", "array<struct<`@type`:variant,text:variant>>")
+    facts = F.transform(items, lambda it: F.struct(
+        F.when(it.isNull(), F.lit("other")).otherwise(F.lit("object")).alias("k"),
+        it["@type"].alias("t"), kind(it["@type"]).alias("kt"), kind(it["text"]).alias("ktx"),
+        F.variant_get(it["text"], "$", "string").alias("txs")))
 
     def item_errors(f: Column, i: Column) -> Column:
         pre = F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("]"))
