@@ -149,9 +149,14 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
     """
     use_req, use_opt, order = _selected(rules)
     out = parse_tolerant(df, col, doc="_doc", outcome="outcome", text="json_text")
-    out = out.withColumn("_root_k", kind(F.col("_doc")))
+    # One cast reads every checked key: NULL when the root is not an object;
+    # per key SQL NULL when missing, a variant null when JSON null.
+    shape = "struct<" + ",".join(f"`{f}`:variant" for f in FIELDS) + ">"
+    out = out.withColumn("_fields", F.try_variant_get(F.col("_doc"), "$", shape))
+    out = out.withColumn("_root_k", F.when(F.col("_doc").isNull(), F.lit("missing"))
+                         .when(F.col("_fields").isNull(), F.lit("other")).otherwise(F.lit("object")))
     for f in FIELDS:
-        out = out.withColumn(_col_name(f), F.when(F.col("_root_k") == "object", get("_doc", f)))
+        out = out.withColumn(_col_name(f), F.col("_fields")[f])
     for f in FIELDS:
         out = out.withColumn(_col_name(f) + "_k", kind(F.col(_col_name(f))))
     errs = [F.array(_present_list(REQUIRED_FIELDS, MSG_MISSING_REQUIRED))] if use_req else []
@@ -167,7 +172,7 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
               .otherwise(_not_null(errs)))
     warning_list = (F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_not_null(warns))
                     if warnings else F.array().cast("array<string>"))
-    tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k"] + ([] if keep_doc else ["_doc"])
+    tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k", "_fields"] + ([] if keep_doc else ["_doc"])
     keep = [c for c in out.columns if c not in tmp]
     # The messages leave through a one-row generator: a filter on them (or on
     # is_valid) stops at the generator instead of being pushed down and inlined
