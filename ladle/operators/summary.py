@@ -56,9 +56,19 @@ def mean_time(df: DataFrame, seconds: str = "seconds", group: str | None = None)
     return df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
 
 
-def score_summary(df: DataFrame, overall: str = "overall", evaluated: str = "evaluated") -> DataFrame:
-    """evaluated count and avg / min / max overall score (NULL when none)."""
+def score_summary(df: DataFrame, overall: str = "overall", evaluated: str = "evaluated",
+                  judge_error: str | None = None, errors_as_null: bool = False) -> DataFrame:
+    """evaluated count and avg / min / max overall score (NULL when none).
+
+    By default a failed judge call counts as evaluated with its overall score
+    of 0, which pulls the average down (the reference's behaviour);
+    ``errors_as_null=True`` leaves rows with ``judge_error`` out of the score
+    statistics.
+    """
+    score = F.col(overall)
+    if errors_as_null and judge_error:
+        score = F.when(F.col(judge_error).isNull(), score)
     return df.agg(F.count_if(F.col(evaluated)).alias("vibes_evaluated_count"),
-                  F.round(F.avg(overall), 6).alias("vibes_avg_score"),
-                  F.round(F.min(overall), 6).alias("vibes_min_score"),
-                  F.round(F.max(overall), 6).alias("vibes_max_score"))
+                  F.round(F.avg(score), 6).alias("vibes_avg_score"),
+                  F.round(F.min(score), 6).alias("vibes_min_score"),
+                  F.round(F.max(score), 6).alias("vibes_max_score"))

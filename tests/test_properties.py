@@ -65,3 +65,20 @@ def test_enrich_isolates_failures(spark):
         return pdf.assign(n=pdf["t"].str.len())[["id", "n"]]
     m = map_batches(df.fillna("x"), lengths, "id int, n long").collect()
     assert sorted(r.n for r in m)[0] == 1
+
+
+def test_failed_judge_calls(spark):
+    from ladle.operators.score import normalize_judge
+    from ladle.operators.summary import score_summary
+    df = spark.createDataFrame([(1, '{"scores": {"overall": 8}}', None), (2, None, "timeout"), (3, "no json", None)],
+                               "sample_id int, raw string, err string")
+    j = {r.sample_id: r.judge for r in normalize_judge(df, call_error="err").collect()}
+    assert j[1].scores.overall == 8.0 and j[1].error is None
+    assert j[2].scores.overall == 0.0 and j[2].error == "API call failed: timeout" and j[2].raw is None
+    assert j[3].scores.overall is None and j[3].error == "Could not extract JSON from response" and j[3].raw == "no json"
+    flat = normalize_judge(df, call_error="err").select(
+        F.lit(True).alias("evaluated"), F.col("judge.scores.overall").alias("overall"), F.col("judge.error").alias("e"))
+    keep = score_summary(flat).first()
+    assert keep.vibes_evaluated_count == 3 and keep.vibes_avg_score == 4.0
+    drop = score_summary(flat, judge_error="e", errors_as_null=True).first()
+    assert drop.vibes_avg_score == 8.0
