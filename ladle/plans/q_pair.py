@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ladle.functions import jsondoc as J
 from ladle.functions import text as T
 from ladle.operators import pairing as P
 from ladle.operators import summary as S
@@ -61,12 +62,26 @@ def pending_anti(spark, sf_dir):
     return P.pending(v_blogs(spark, sf_dir).select("stem"), v_records(spark, sf_dir), "stem")
 
 
-_SQL_ROUTE = "CASE WHEN recipe_json IS NULL THEN 'failed' WHEN recipe_json = '{}' THEN 'empty' ELSE 'good' END"
+# No result -> failed; a falsy JSON value ({}, [], "", 0, false, null) -> empty;
+# any other non-object (a list, a string, a number) -> error; an object -> good.
+_SQL_ROUTE = ("CASE WHEN recipe_json IS NULL THEN 'failed' "
+              f"WHEN NOT {J.sql_parse_ok('recipe_json')} THEN 'error' "
+              "WHEN json_type(recipe_json) = 'OBJECT' AND json_array_length(json_keys(recipe_json)) = 0 THEN 'empty' "
+              "WHEN json_type(recipe_json) = 'ARRAY' AND json_array_length(recipe_json) = 0 THEN 'empty' "
+              "WHEN json_type(recipe_json) = 'NULL' OR recipe_json IN ('\"\"', '0', 'false', '0.0') THEN 'empty' "
+              "WHEN json_type(recipe_json) = 'OBJECT' THEN 'good' ELSE 'error' END")
 
 
 def _route(df):
+    from ladle.functions.jsondoc import kind, parse_strict
     rj = F.col("recipe_json")
-    return df.withColumn("outcome", F.when(rj.isNull(), "failed").when(rj == "{}", "empty").otherwise("good"))
+    v = parse_strict(rj)
+    k = kind(v)
+    falsy = ((k == "null") | ((k == "object") & (F.schema_of_variant(v) == "OBJECT<>"))
+             | ((k == "array") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0))
+             | rj.isin('""', "0", "false", "0.0"))
+    return df.withColumn("outcome", F.when(rj.isNull(), "failed").when(v.isNull(), "error").when(falsy, "empty")
+                         .when(k == "object", "good").otherwise("error"))
 
 
 @register("outcome_route", with_views(f"SELECT rec_id, {_SQL_ROUTE} AS outcome FROM v_records", "v_records"))

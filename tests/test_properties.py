@@ -82,3 +82,11 @@ def test_failed_judge_calls(spark):
     assert keep.vibes_evaluated_count == 3 and keep.vibes_avg_score == 4.0
     drop = score_summary(flat, judge_error="e", errors_as_null=True).first()
     assert drop.vibes_avg_score == 8.0
+
+
+def test_outcome_route_shapes(spark):
+    from ladle.plans.q_pair import _route
+    vals = [None, "{}", "[]", '""', "0", "null", '{"a":1}', "[1]", '"text"', "nope"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, recipe_json string")
+    got = [r.outcome for r in _route(df).orderBy("i").collect()]
+    assert got == ["failed", "empty", "empty", "empty", "empty", "empty", "good", "error", "error", "error"]
