@@ -59,3 +59,32 @@ def test_repair_ladder_twin(spark, con):
     sql = "WITH " + ",\n".join(f"{n.rstrip('!')} AS ({b})" for n, b in ctes) + " SELECT outcome, json_text FROM p ORDER BY i"
     want = [tuple(r) for r in c.execute(sql).fetchall()]
     assert got == want
+
+
+def test_validator_twin(spark):
+    import json
+
+    from ladle.operators.validate import sql_validate_ctes, validate
+    from tests.test_validate import FULL
+    base = dict(FULL)
+    docs = [json.dumps(FULL), json.dumps({k: v for k, v in base.items() if k != "name"}),
+            json.dumps({**base, "@type": "Article"}), json.dumps({**base, "@type": 3}),
+            json.dumps({**base, "@context": "http://schema.org"}), json.dumps({**base, "name": None}),
+            json.dumps({**base, "name": 5}), json.dumps({**base, "description": "  \t"}),
+            json.dumps({**base, "recipeIngredient": "flour"}), json.dumps({**base, "recipeIngredient": ["flour", 2, None]}),
+            json.dumps({**base, "recipeIngredient": []}),
+            json.dumps({**base, "recipeInstructions": ["stir", {"text": "x"}, {"@type": "Step", "text": 1},
+                                                      {"@type": None, "text": " "}, {"@type": True}, None]}),
+            json.dumps({**base, "prepTime": "15 minutes", "cookTime": "PT", "totalTime": 5}),
+            '[{"@context": "https://schema.org"}]', '"just text"', "", "nothing here", '{"a": 1} trailing',
+            '{"name": "x", "a": [1, 2', "{}"]
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, v string")
+    got = [(r.outcome, list(r.errors), list(r.warnings)) for r in validate(df, "v").orderBy("i").collect()]
+    c = duckdb.connect()
+    c.execute("CREATE TABLE d (i INTEGER, v VARCHAR)")
+    c.executemany("INSERT INTO d VALUES (?, ?)", list(enumerate(docs)))
+    ctes = sql_validate_ctes("d", "i", "v")
+    sql = ("WITH " + ",\n".join(f"{n.rstrip('!')} AS {'MATERIALIZED ' if n.endswith('!') else ''}({b})" for n, b in ctes)
+           + " SELECT outcome, errors, warnings FROM validated ORDER BY i")
+    want = [(o, list(e), list(w)) for o, e, w in c.execute(sql).fetchall()]
+    assert got == want
