@@ -215,16 +215,25 @@ SEGMENT_MARK = "\u0001"
 def supervised_spans(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Character form of response-only training.
 
-    The text is cut before every ``<start_of_turn>``.  A model segment keeps
-    everything after its ``<start_of_turn>model\\n`` marker; everything else is
-    masked.  One row per segment: position, start offset, marker length
-    (masked), kept length.
+    Text is kept from the end of a ``<start_of_turn>model\n`` marker up to the
+    next ``<start_of_turn>user\n`` marker; everything else, markers included,
+    is masked.  The text is cut before every ``<start_of_turn>``.  Each segment
+    looks up the last user / model marker at or before it, inside the row's
+    own array (a conversation is one row, so no shuffle).  One row per
+    segment: position, length, masked and kept characters.
     """
-    cut = F.split(F.replace(F.col(text), F.lit(TURN_OPEN), F.lit(SEGMENT_MARK + TURN_OPEN)), SEGMENT_MARK)
-    seg = df.select(key, F.posexplode(cut).alias("seg", "s"))
-    is_model = F.col("s").startswith(MODEL_MARK)
-    n = F.length("s")
-    seg = seg.select(key, F.col("seg").cast("bigint").alias("seg"), n.cast("bigint").alias("length"),
-                     F.when(is_model, F.lit(len(MODEL_MARK))).otherwise(n).cast("bigint").alias("masked"),
-                     F.when(is_model, n - len(MODEL_MARK)).otherwise(F.lit(0)).cast("bigint").alias("kept"))
-    return seg.filter(F.col("length") > 0)
+    parts = F.split(F.replace(F.col(text), F.lit(TURN_OPEN), F.lit(SEGMENT_MARK + TURN_OPEN)), SEGMENT_MARK)
+    marks = F.transform(parts, lambda x: F.when(x.startswith(MODEL_MARK), F.lit("model"))
+                        .when(x.startswith(USER_MARK), F.lit("user")))
+    d = df.select(key, parts.alias("_parts"), marks.alias("_marks"))
+
+    def seg(x: Column, i: Column) -> Column:
+        mark = F.get(F.col("_marks"), i)
+        mode = F.try_element_at(F.filter(F.slice(F.col("_marks"), 1, i + 1), lambda m: m.isNotNull()), F.lit(-1))
+        n = F.length(x)
+        masked = (F.when(mark == "model", F.lit(len(MODEL_MARK))).when(mark == "user", n)
+                  .when(F.coalesce(mode, F.lit("")) == "model", F.lit(0)).otherwise(n))
+        return F.struct(i.cast("bigint").alias("seg"), n.cast("bigint").alias("length"), masked.cast("bigint").alias("masked"),
+                        (n - masked).cast("bigint").alias("kept"))
+    out = d.select(key, F.explode(F.transform("_parts", seg)).alias("s")).select(key, "s.*")
+    return out.filter(F.col("length") > 0)

@@ -155,11 +155,17 @@ def chat_render_gen(spark, sf_dir):
 
 _SQL_SPANS = ("spans", f"""
   SELECT conv_id, CAST(p - 1 AS BIGINT) AS seg, CAST(length(s) AS BIGINT) AS length,
-    CAST(CASE WHEN starts_with(s, '<start_of_turn>model' || {NL}) THEN {len(R.MODEL_MARK)} ELSE length(s) END AS BIGINT) AS masked,
-    CAST(CASE WHEN starts_with(s, '<start_of_turn>model' || {NL}) THEN length(s) - {len(R.MODEL_MARK)} ELSE 0 END AS BIGINT) AS kept
-  FROM (SELECT conv_id, parts, unnest(range(1, len(parts) + 1)) AS p, parts[p] AS s
-        FROM (SELECT conv_id, string_split(replace(text, '<start_of_turn>', chr(1) || '<start_of_turn>'), chr(1)) AS parts
-              FROM (SELECT conv_id, {_sql_render('messages', False)} AS text FROM chats)))
+    CAST(CASE WHEN mark = 'model' THEN {len(R.MODEL_MARK)} WHEN mark = 'user' THEN length(s)
+              WHEN coalesce(mode, '') = 'model' THEN 0 ELSE length(s) END AS BIGINT) AS masked,
+    CAST(length(s) - CASE WHEN mark = 'model' THEN {len(R.MODEL_MARK)} WHEN mark = 'user' THEN length(s)
+              WHEN coalesce(mode, '') = 'model' THEN 0 ELSE length(s) END AS BIGINT) AS kept
+  FROM (SELECT conv_id, p, parts[p] AS s, marks[p] AS mark, list_filter(marks[1:p], lambda m: m IS NOT NULL)[-1] AS mode
+        FROM (SELECT conv_id, parts, marks, unnest(range(1, len(parts) + 1)) AS p
+              FROM (SELECT conv_id, parts, list_transform(parts, lambda x: CASE
+                      WHEN starts_with(x, '<start_of_turn>model' || {NL}) THEN 'model'
+                      WHEN starts_with(x, '<start_of_turn>user' || {NL}) THEN 'user' END) AS marks
+                    FROM (SELECT conv_id, string_split(replace(text, '<start_of_turn>', chr(1) || '<start_of_turn>'), chr(1)) AS parts
+                          FROM (SELECT conv_id, {_sql_render('messages', False)} AS text FROM chats)))))
   WHERE length(s) > 0""")
 
 

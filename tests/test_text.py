@@ -78,3 +78,16 @@ def test_strip_header_and_reasoning_flags(spark):
     assert rows[0].p == R.EXTRACT_PREFIX + "body" and rows[1].p == R.EXTRACT_PREFIX + "plain"
     assert rows[0].f.leading_blank is True and rows[0].f.think_left is False
     assert rows[1].f.think_left is True
+
+
+def test_supervised_spans_follow_markers(spark):
+    text = ("<start_of_turn>user\nq<end_of_turn>\n<start_of_turn>model\nA<end_of_turn>\n"
+            "<start_of_turn>model\nB<end_of_turn>\n<start_of_turn>system\nS<end_of_turn>\n<start_of_turn>user\nz<end_of_turn>\n")
+    df = spark.createDataFrame([(1, text)], "k int, text string")
+    rows = [(r.masked, r.kept) for r in R.supervised_spans(df, "k").orderBy("seg").collect()]
+    m = len(R.MODEL_MARK)
+    seg_a = len("<start_of_turn>model\nA<end_of_turn>\n")
+    seg_s = len("<start_of_turn>system\nS<end_of_turn>\n")
+    # user masked; each model marker masked and its text kept; the system turn after a model turn is kept
+    assert rows[1] == (m, seg_a - m) and rows[2] == (m, seg_a - m) and rows[3] == (0, seg_s)
+    assert rows[0][1] == 0 and rows[4][1] == 0
