@@ -171,7 +171,7 @@ def render_chat(conversation, add_generation_prompt: bool = False) -> Column:
 
     Each turn is ``<start_of_turn>ROLE\\n`` + stripped content + ``<end_of_turn>\\n``
     with the assistant shown as ``model``; a leading system message is folded
-    into the first remaining turn as ``system + "\\n\\n"``; no ``<bos>``.  With
+    into the first user turn as ``system + "\\n\\n"``; no ``<bos>``.  With
     ``add_generation_prompt`` assistant turns are left out and
     ``<start_of_turn>model\\n`` is appended.
     """
@@ -183,9 +183,13 @@ def render_chat(conversation, add_generation_prompt: bool = False) -> Column:
     prefix = F.when(has_sys, F.concat(py_strip(first["content"]), F.lit("\n\n"))).otherwise(F.lit(""))
     rest = F.when(has_sys, F.slice(conv, 2, F.greatest(F.size(conv) - 1, F.lit(0)))).otherwise(conv)
 
+    # the system text goes in front of the first user turn (the first turn if there is none)
+    first_user = F.array_position(F.transform(rest, lambda m: m["role"]), "user")
+    target = F.when(first_user > 0, first_user - 1).otherwise(F.lit(0))
+
     def turn(x: Column, i: Column) -> Column:
         role = F.when(x["role"] == "assistant", F.lit(MODEL_ROLE)).otherwise(x["role"])
-        return F.concat(F.lit(TURN_OPEN), role, F.lit("\n"), F.when(i == 0, prefix).otherwise(F.lit("")),
+        return F.concat(F.lit(TURN_OPEN), role, F.lit("\n"), F.when(i == target, prefix).otherwise(F.lit("")),
                         py_strip(F.coalesce(x["content"], F.lit(""))), F.lit(TURN_CLOSE))
     body = F.array_join(F.transform(rest, turn), "")
     return F.concat(body, F.lit(MODEL_MARK)) if add_generation_prompt else body

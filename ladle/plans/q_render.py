@@ -105,13 +105,14 @@ _SQL_CHATS = ("chats", "SELECT conv_id, list(struct_pack(role := role, content :
 
 
 def _sql_render(conv: str, gen: bool) -> str:
-    c = f"list_filter({conv}, lambda x: x.role <> 'assistant')" if gen else conv
+    c = f"list_filter({conv}, lambda lr_f: lr_f.role <> 'assistant')" if gen else conv
     has_sys = f"coalesce({c}[1].role = 'system', false)"
     prefix = f"CASE WHEN {has_sys} THEN {T.sql_py_strip(f'{c}[1].content')} || {NL} || {NL} ELSE '' END"
     rest = f"CASE WHEN {has_sys} THEN {c}[2:] ELSE {c} END"
-    turn = (f"'<start_of_turn>' || CASE WHEN x.role = 'assistant' THEN 'model' ELSE x.role END || {NL} || "
-            f"CASE WHEN i = 1 THEN {prefix} ELSE '' END || {T.sql_py_strip("coalesce(x.content, '')")} || '<end_of_turn>' || {NL}")
-    body = f"coalesce(array_to_string(list_transform({rest}, lambda x, i: {turn}), ''), '')"
+    target = f"coalesce(nullif(list_position(list_transform({rest}, lambda lr_m: lr_m.role), 'user'), 0), 1)"
+    turn = (f"'<start_of_turn>' || CASE WHEN lr_x.role = 'assistant' THEN 'model' ELSE lr_x.role END || {NL} || "
+            f"CASE WHEN lr_i = {target} THEN {prefix} ELSE '' END || {T.sql_py_strip("coalesce(lr_x.content, '')")} || '<end_of_turn>' || {NL}")
+    body = f"coalesce(array_to_string(list_transform({rest}, lambda lr_x, lr_i: {turn}), ''), '')"
     return f"{body} || '<start_of_turn>model' || {NL}" if gen else body
 
 

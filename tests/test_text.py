@@ -91,3 +91,10 @@ def test_supervised_spans_follow_markers(spark):
     # user masked; each model marker masked and its text kept; the system turn after a model turn is kept
     assert rows[1] == (m, seg_a - m) and rows[2] == (m, seg_a - m) and rows[3] == (0, seg_s)
     assert rows[0][1] == 0 and rows[4][1] == 0
+
+
+def test_system_folds_into_first_user_turn(spark):
+    conv = [("system", "S"), ("assistant", "hello"), ("user", "q")]
+    df = spark.createDataFrame([(conv,)], "m array<struct<role:string,content:string>>")
+    text = df.select(R.render_chat("m").alias("t")).first().t
+    assert text == "<start_of_turn>model\nhello<end_of_turn>\n<start_of_turn>user\nS\n\nq<end_of_turn>\n"

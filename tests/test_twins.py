@@ -88,3 +88,21 @@ def test_validator_twin(spark):
            + " SELECT outcome, errors, warnings FROM validated ORDER BY i")
     want = [(o, list(e), list(w)) for o, e, w in c.execute(sql).fetchall()]
     assert got == want
+
+
+def test_render_twin(spark):
+    from ladle.operators import render as R
+    from ladle.plans.q_render import _sql_render
+    convs = [[("system", " S "), ("user", "q"), ("assistant", "a")],
+             [("system", "S"), ("assistant", "hello"), ("user", "q")],
+             [("user", " only ")], [("system", "alone")],
+             [("assistant", "x"), ("assistant", "y"), ("user", "z")]]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(convs)], "i int, m array<struct<role:string,content:string>>")
+    got = [(r.a, r.b) for r in df.orderBy("i").select(R.render_chat("m").alias("a"),
+                                                      R.render_chat("m", add_generation_prompt=True).alias("b")).collect()]
+    c = duckdb.connect()
+    c.execute("CREATE TABLE chats (i INTEGER, m STRUCT(role VARCHAR, content VARCHAR)[])")
+    for i, conv in enumerate(convs):
+        c.execute("INSERT INTO chats VALUES (?, ?)", [i, [{"role": r, "content": t} for r, t in conv]])
+    want = [tuple(r) for r in c.execute(f"SELECT {_sql_render('m', False)}, {_sql_render('m', True)} FROM chats ORDER BY i").fetchall()]
+    assert got == want
