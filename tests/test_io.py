@@ -85,3 +85,8 @@ def test_report_tables(spark, sf_dir):
     IO.write_report(os.path.join(d, "r"), run, samples, summary.drop("model_name", "vibes_model"))
     r, s, m = IO.read_report(spark, os.path.join(d, "r"))
     assert r.count() == 1 and m.count() == 1 and s.count() == samples.count()
+
+
+def test_from_rows(spark):
+    df = IO.from_rows(spark, [{"stem": "a", "messages": [{"role": "user", "content": "hi"}]}])
+    assert df.first().messages[0].content == "hi" and df.schema["stem"].dataType.simpleString() == "string"
