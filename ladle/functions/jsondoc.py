@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ladle.functions.text import (
-    FENCE, JSON_FENCE, OUTER_OBJECT_RE, _c, outer_json, py_strip, sql_outer_json, sql_py_strip, sql_str,
+    FENCE, JSON_FENCE, _c, outer_json, py_strip, sql_py_strip, sql_str,
 )
 
 # A JSON string literal (with escapes), used to blank out strings before
@@ -28,9 +28,6 @@ ESCAPE_RE = r"\\."
 # adjacent bracket pairs.
 CLOSE_ROUNDS = 3
 
-OUTCOMES = ("ok", "repaired", "rejected")
-
-
 # --- strict parse ---------------------------------------------------------------
 
 def parse_strict(col) -> Column:
@@ -116,14 +113,6 @@ def candidates(col) -> list[Column]:
     return [c0, c1, c2, c3, c4]
 
 
-def sql_candidates(e: str) -> list[str]:
-    c1 = _sql_fence_cut(e)
-    c2 = sql_outer_json(c1)
-    c3 = _sql_drop_trailing_commas(c2)
-    c4 = _sql_close_open(c3)
-    return [e, c1, c2, c3, c4]
-
-
 def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", text: str = "json_text"):
     """Route each row to ``ok`` / ``repaired`` / ``rejected``.
 
@@ -153,16 +142,6 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
                .drop(*tmp))
 
 
-def sql_parse_tolerant(e: str) -> tuple[str, str]:
-    """(outcome, text) SQL expressions for the C7 ladder."""
-    cands = sql_candidates(e)
-    ok = [sql_parse_ok(c) for c in cands]
-    outcome = "CASE " + f"WHEN {ok[0]} THEN 'ok' " + " ".join(
-        f"WHEN {o} THEN 'repaired'" for o in ok[1:]) + " ELSE 'rejected' END"
-    text = "CASE " + " ".join(f"WHEN {o} THEN {c}" for o, c in zip(ok, cands)) + " END"
-    return outcome, text
-
-
 # --- C8 / C9 key state and kind -----------------------------------------------------
 
 def path_of(key: str) -> str:
@@ -267,7 +246,3 @@ def sql_duration_shape(j: str, key: str) -> str:
     s = f"json_extract_string({j}, {sql_str(sql_path_of(key))})"
     return (f"CASE WHEN {k} IN ('missing', 'null') THEN 'null' WHEN {k} <> 'string' THEN 'not_string' "
             f"WHEN NOT starts_with({s}, 'PT') THEN 'not_iso' WHEN length({s}) <= 2 THEN 'incomplete' ELSE 'ok' END")
-
-
-def sql_outer_object_re() -> str:
-    return sql_str(OUTER_OBJECT_RE)

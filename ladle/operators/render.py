@@ -73,9 +73,6 @@ Include as many fields as you can extract from the text. If you cannot find reci
 
 Do not include any explanatory text, only the JSON."""
 
-MESSAGE_TYPE = "array<struct<role:string,content:string>>"
-
-
 def _none(c: Column) -> Column:
     """How an f-string prints a missing value."""
     return F.coalesce(c.cast("string"), F.lit("None"))
