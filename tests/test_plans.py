@@ -38,3 +38,17 @@ def test_scans_are_pruned(spark, sf_dir):
                          .executedPlan().toString()) or re.findall(r"struct<([^>]*)>", p)
     joined = " ".join(schemas)
     assert "l_extendedprice" not in joined and "o_totalprice" not in joined
+
+
+def test_split_needs_no_checkpoint_or_range_shuffle(spark, sf_dir):
+    p = plan(spark, sf_dir, "split_exact")
+    assert "ExistingRDD" not in p and "rangepartitioning" not in p.lower()
+
+
+def test_positions_use_a_range_shuffle_and_checkpoint(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ladle.operators.ids import global_rank
+    df = spark.range(100).withColumn("o", F.col("id") % 7)
+    ranked = global_rank(df, ["o", "id"], name="pos")
+    assert "ExistingRDD" in ranked._jdf.queryExecution().executedPlan().toString()
