@@ -62,7 +62,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     nothing configured gets a fresh private folder; on a cluster an unset value
     is an error, because a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
