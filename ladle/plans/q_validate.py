@@ -33,20 +33,21 @@ def _validated_sql(select: str, rules=None) -> str:
 
 @register("validate_docs", _validated_sql(f"SELECT {_VALIDATED_COLS} FROM validated"))
 def validate_docs(spark, sf_dir):
-    """Every recipe document validated: outcome, validity and messages."""
+    """Every recipe document validated: outcome, validity and messages."""
     return _flat(validate(v_recipe_json(spark, sf_dir), "json_text"))
 
 
-for _key, _rules in [("validate_required", ("required",)), ("validate_optional", ("optional",)),
-                     ("validate_context", ("context",)), ("validate_type", ("type",)),
-                     ("validate_strings", ("string",)), ("validate_ingredients", ("ingredients",)),
-                     ("validate_instructions", ("instructions",)), ("validate_durations", ("duration",))]:
-    def _make(rules):
+for _key, _rules, _ids in [("validate_required", ("required",), "V3"), ("validate_optional", ("optional",), "V4"),
+                           ("validate_context", ("context",), "V5"), ("validate_type", ("type",), "V6"),
+                           ("validate_strings", ("string",), "V7"), ("validate_ingredients", ("ingredients",), "V8"),
+                           ("validate_instructions", ("instructions",), "V9-V11"),
+                           ("validate_durations", ("duration",), "V12")]:
+    def _make(rules, ids):
         def q(spark, sf_dir):
             return _flat(validate(v_recipe_json(spark, sf_dir), "json_text", rules=rules))
-        q.__doc__ = f"Only the {'/'.join(rules)} rule(s) over every recipe document."
+        q.__doc__ = f"{ids} (with V1, V2, V13): only the {'/'.join(rules)} rule over every recipe document."
         return q
-    register(_key, _validated_sql(f"SELECT {_VALIDATED_COLS} FROM validated", _rules))(_make(_rules))
+    register(_key, _validated_sql(f"SELECT {_VALIDATED_COLS} FROM validated", _rules))(_make(_rules, _ids))
 
 
 @register("eval_summary", _validated_sql(
