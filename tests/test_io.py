@@ -90,3 +90,11 @@ def test_report_tables(spark, sf_dir):
 def test_from_rows(spark):
     df = IO.from_rows(spark, [{"stem": "a", "messages": [{"role": "user", "content": "hi"}]}])
     assert df.first().messages[0].content == "hi" and df.schema["stem"].dataType.simpleString() == "string"
+
+
+def test_csv_columns_by_header_name(spark):
+    d = tempfile.mkdtemp(prefix="ladle-csvh-")
+    with open(os.path.join(d, "r.csv"), "w", encoding="utf-8") as fh:
+        fh.write("group,name\ng1,n1\n")
+    row = IO.read_csv(spark, d, columns=["name", "group"]).first()
+    assert (row.name, row.group) == ("n1", "g1")
