@@ -98,3 +98,11 @@ def test_csv_columns_by_header_name(spark):
         fh.write("group,name\ng1,n1\n")
     row = IO.read_csv(spark, d, columns=["name", "group"]).first()
     assert (row.name, row.group) == ("n1", "g1")
+
+
+def test_jsonl_keeps_nulls(spark):
+    d = tempfile.mkdtemp(prefix="ladle-jsonl-")
+    df = IO.from_rows(spark, [{"stem": "a", "messages": [{"role": "assistant", "content": None}]}])
+    IO.write_jsonl(df, os.path.join(d, "o"))
+    text = spark.read.text(os.path.join(d, "o")).first().value
+    assert '"content":null' in text
