@@ -53,3 +53,13 @@ def test_entry(spark):
     out = E.entry(spark)
     assert out.columns == ["total_samples", "valid_count", "invalid_count", "valid_percentage"]
     assert out.count() == 1
+
+
+def test_entry_module_imports_without_spark():
+    import subprocess
+    import sys
+    code = ("import __spark_entry__ as E; from pyspark import SparkContext; "
+            "q = E.queries(); s = E.oracle_sql(); assert SparkContext._active_spark_context is None; print(len(q), len(s))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=E.__file__.rsplit("/", 1)[0], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split() == ["85", "85"]
