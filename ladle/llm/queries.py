@@ -17,6 +17,21 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.near_dedup import deduplicate
+    return deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladle.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents"))
@@ -27,6 +42,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op7_vptree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.vptree import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op8_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladle.llm.sharding import shard_documents
     out = shard_documents(table(spark, sf_dir, "documents"), shards=8)
@@ -34,9 +54,25 @@ def op8_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.toxicity import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.language import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_license_scan": (op1_license_scan, None),
+    "op2_quality_classifier": (op2_quality_classifier, None),
+    "op3_near_duplicates": (op3_near_duplicates, None),
+    "op4_bm25_packing": (op4_bm25_packing, None),
     "op5_poisson_mix": (op5_poisson_mix, None),
     "op6_quality_rules": (op6_quality_rules, None),
+    "op7_vptree_neighbours": (op7_vptree_neighbours, None),
     "op8_lpt_sharding": (op8_lpt_sharding, None),
+    "op9_toxicity": (op9_toxicity, None),
+    "op10_language_id": (op10_language_id, None),
 }
