@@ -16,17 +16,15 @@ from ladle.functions.text import (
     FENCE, JSON_FENCE, _c, outer_json, py_strip, sql_py_strip, sql_str,
 )
 
-# A JSON string literal (with escapes), used to blank out strings before
-# looking at brackets and commas.
-STRING_LIT_RE = r'"(?:[^"\\]|\\.)*"'
+# A JSON string literal (with escapes), used to blank out strings before looking at brackets
+# and commas.  Possessive, so that Java neither recurses per character nor backtracks.
+STRING_LIT_RE = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# the same for RE2, which has no possessive forms and never backtracks
+SQL_STRING_LIT_RE = r'(?s)"(?:[^"\\]|\\.)*"'
 TRAILING_COMMA_RE = r",(\s*[}\]])"
 NON_BRACKET_RE = r"[^\[\]{}]"
-PAIR_RE = r"\{\}|\[\]"
 BARE_TOKEN_RE = r"(^|[^A-Za-z0-9_])(NaN|-?Infinity)([^A-Za-z0-9_]|$)"
-ESCAPE_RE = r"\\."
-# Nesting depth the closing repair handles: that many rounds of removing
-# adjacent bracket pairs.
-CLOSE_ROUNDS = 3
+ESCAPE_RE = r"(?s)\\."
 
 # --- strict parse ---------------------------------------------------------------
 
@@ -47,7 +45,7 @@ def parse_strict(col) -> Column:
 def sql_parse_ok(e: str) -> str:
     """DuckDB side of ``parse_strict(..) IS NOT NULL``: yyjson accepts trailing
     commas and NaN, which Jackson does not, so those are ruled out explicitly."""
-    blanked = f"regexp_replace({e}, {sql_str(STRING_LIT_RE)}, '\"\"', 'g')"
+    blanked = f"regexp_replace({e}, {sql_str(SQL_STRING_LIT_RE)}, '\"\"', 'g')"
     return (f"(coalesce(json_valid({e}), false) "
             f"AND NOT regexp_matches({blanked}, {sql_str(TRAILING_COMMA_RE)}) "
             f"AND NOT regexp_matches({blanked}, {sql_str(BARE_TOKEN_RE)}))")
@@ -72,44 +70,72 @@ def _sql_fence_cut(e: str) -> str:
 
 
 def _drop_trailing_commas(c: Column) -> Column:
-    return F.regexp_replace(c, TRAILING_COMMA_RE, "$1")
+    """Commas before a closing bracket go, unless they stand inside a string."""
+    return F.regexp_replace(c, f"({STRING_LIT_RE})|{TRAILING_COMMA_RE}", "$1$2")
 
 
 def _sql_drop_trailing_commas(e: str) -> str:
-    return f"regexp_replace({e}, {sql_str(TRAILING_COMMA_RE)}, '\\1', 'g')"
+    return f"regexp_replace({e}, {sql_str(f'({SQL_STRING_LIT_RE})|{TRAILING_COMMA_RE}')}, '\\1\\2', 'g')"
+
+
+def _from_first_brace(c: Column) -> Column:
+    """The text from its first ``{``, to its end: nothing after the last ``}`` is lost."""
+    at = F.instr(c, "{")
+    return F.when(at > 0, F.substring(c, at, F.length(c)))
 
 
 def _close_open(c: Column) -> Column:
-    """Close an unterminated string, then the brackets left open, in order."""
+    """Close an unterminated string, then all brackets left open, innermost first.
+
+    One pass over the brackets from the right: a closer waits for its opener, and an opener
+    that no closer waits for is still open.  Any depth; NULL if a closer has no opener.
+    """
     quotes = F.length(F.regexp_replace(F.regexp_replace(c, ESCAPE_RE, ""), '[^"]', ""))
-    s = F.when(quotes % 2 == 1, F.concat(c, F.lit('"'))).otherwise(c)
-    br = F.regexp_replace(F.regexp_replace(s, STRING_LIT_RE, ""), NON_BRACKET_RE, "")
-    for _ in range(CLOSE_ROUNDS):
-        br = F.regexp_replace(br, PAIR_RE, "")
-    closers = F.reverse(F.translate(br, "{[", "}]"))
-    closable = ~br.rlike(r"[\]}]")
-    return F.when(closable, _drop_trailing_commas(F.concat(s, closers)))
-
-
-def _sql_close_open(e: str) -> str:
-    quotes = f"length(regexp_replace(regexp_replace({e}, {sql_str(ESCAPE_RE)}, '', 'g'), '[^\"]', '', 'g'))"
-    s = f"(CASE WHEN {quotes} % 2 = 1 THEN {e} || '\"' ELSE {e} END)"
-    br = f"regexp_replace(regexp_replace({s}, {sql_str(STRING_LIT_RE)}, '', 'g'), {sql_str(NON_BRACKET_RE)}, '', 'g')"
-    for _ in range(CLOSE_ROUNDS):
-        br = f"regexp_replace({br}, {sql_str(PAIR_RE)}, '', 'g')"
-    closers = f"reverse(translate({br}, '{{[', '}}]'))"
-    return (f"CASE WHEN NOT regexp_matches({br}, '[\\]}}]') "
-            f"THEN {_sql_drop_trailing_commas(f'{s} || {closers}')} END")
+    s = F.when(quotes % 2 == 1, F.concat(F.regexp_replace(c, r"(?<!\\)((?:\\\\)*+)\\\z", "$1"), F.lit('"'))).otherwise(c)
+    brackets = F.reverse(F.regexp_replace(F.regexp_replace(s, STRING_LIT_RE, ""), NON_BRACKET_RE, ""))
+    start = F.struct(F.lit(0).alias("waiting"), F.lit("").alias("closers"))
+
+    def step(acc, b):
+        closer = b.isin("}", "]")
+        waiting = acc["waiting"] + F.when(closer, 1).when(acc["waiting"] > 0, -1).otherwise(0)
+        still_open = ~closer & (acc["waiting"] == 0)
+        return F.struct(waiting.alias("waiting"), F.when(still_open, F.concat(acc["closers"], F.translate(b, "{[", "}]")))
+                        .otherwise(acc["closers"]).alias("closers"))
+    found = F.aggregate(F.split(brackets, ""), start, step)
+    return F.when(found["waiting"] == 0, _drop_trailing_commas(F.concat(s, found["closers"])))
+
+
+def sql_close_open_ctes(src: str, text: str, out: str) -> list[tuple[str, str]]:
+    """The same rung as DuckDB CTEs (``out`` = ``src`` plus t4), by another rule: depths are running
+    sums, and an opener is open if no depth after it falls below its own."""
+    escape, literal, other = sql_str(ESCAPE_RE), sql_str(SQL_STRING_LIT_RE), sql_str(NON_BRACKET_RE)
+    cut = f"CASE WHEN strpos({text}, '{{') > 0 THEN substr({text}, strpos({text}, '{{')) END"
+    quotes = f"length(regexp_replace(regexp_replace(b1, {escape}, '', 'g'), '[^\"]', '', 'g'))"
+    whole = "CASE WHEN length(regexp_extract(b1, '\\\\*$')) % 2 = 1 THEN substr(b1, 1, length(b1) - 1) ELSE b1 END"
+    brackets = f"string_split(regexp_replace(regexp_replace(b2, {literal}, '', 'g'), {other}, '', 'g'), '')"
+    return [
+        (f"{out}_from", f"SELECT *, {cut} AS b1 FROM {src}"),
+        (f"{out}_str", f"SELECT *, CASE WHEN {quotes} % 2 = 1 THEN ({whole}) || '\"' ELSE b1 END AS b2 FROM {out}_from"),
+        (f"{out}_br", f"SELECT *, {brackets} AS br FROM {out}_str"),
+        (f"{out}_step", "SELECT *, list_transform(br, lambda x: CASE WHEN x IN ('{', '[') THEN 1 WHEN x IN ('}', ']') THEN -1 ELSE 0 END) AS st "
+                        f"FROM {out}_br"),
+        (f"{out}_deep", f"SELECT *, list_transform(range(1, len(st) + 1), lambda i: list_sum(st[1:i])) AS dp FROM {out}_step"),
+        (f"{out}_open", "SELECT *, list_filter(range(1, len(st) + 1), lambda i: st[i] = 1 AND list_min(dp[i:]) >= dp[i]) AS op "
+                        f"FROM {out}_deep"),
+        (out, "SELECT * EXCLUDE (b1, b2, br, st, dp, op), CASE WHEN list_min(dp) >= 0 THEN "
+              + _sql_drop_trailing_commas("(b2 || array_to_string(list_reverse(list_transform(op, lambda i: translate(br[i], '{[', '}]'))), ''))")
+              + f" END AS t4 FROM {out}_open"),
+    ]
 
 
 def candidates(col) -> list[Column]:
-    """The repair ladder, in the order tried: as is; fence cut; outermost object;
-    trailing commas dropped; open string / brackets closed."""
+    """The repair ladder, in the order tried: as is; fence cut; outermost object; trailing commas
+    dropped; open string / brackets closed (in the text from the first brace to its end)."""
     c0 = _c(col)
     c1 = _fence_cut(c0)
     c2 = outer_json(c1)
     c3 = _drop_trailing_commas(c2)
-    c4 = _close_open(c3)
+    c4 = _close_open(_from_first_brace(c1))
     return [c0, c1, c2, c3, c4]
 
 
@@ -125,11 +151,11 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
     """
     c0 = _c(col)
     out = df.withColumn("_lt0", parse_strict(c0)).withColumn("_lt_in", F.when(F.col("_lt0").isNull(), c0))
-    steps = [_fence_cut, outer_json, _drop_trailing_commas, _close_open]
-    prev = F.col("_lt_in")
-    for i, step in enumerate(steps, start=1):
-        out = out.withColumn(f"_lt_c{i}", step(prev)).withColumn(f"_lt_p{i}", parse_strict(F.col(f"_lt_c{i}")))
-        prev = F.col(f"_lt_c{i}")
+    # each rung reads the text of an earlier one: (rung, its input)
+    steps = [(_fence_cut, "_lt_in"), (outer_json, "_lt_c1"), (_drop_trailing_commas, "_lt_c2"),
+             (lambda c: _close_open(_from_first_brace(c)), "_lt_c1")]
+    for i, (step, source) in enumerate(steps, start=1):
+        out = out.withColumn(f"_lt_c{i}", step(F.col(source))).withColumn(f"_lt_p{i}", parse_strict(F.col(f"_lt_c{i}")))
     rungs = [F.when(F.col("_lt0").isNotNull(), F.struct(F.col("_lt0").alias("d"), F.lit(0).alias("k"), c0.alias("s")))]
     rungs += [F.when(F.col(f"_lt_p{i}").isNotNull(), F.struct(F.col(f"_lt_p{i}").alias("d"), F.lit(i).alias("k"),
                                                             F.col(f"_lt_c{i}").alias("s"))) for i in range(1, len(steps) + 1)]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.jsondoc import (
-    _sql_close_open, _sql_drop_trailing_commas, _sql_fence_cut, as_text, get, kind, parse_tolerant, sql_as_text,
+    _sql_drop_trailing_commas, _sql_fence_cut, as_text, get, kind, parse_tolerant, sql_as_text, sql_close_open_ctes,
     sql_kind, sql_kind_of, sql_parse_ok, sql_path_of,
 )
 from ladle.functions.text import is_blank, sql_is_blank, sql_outer_json, sql_str
@@ -267,7 +267,7 @@ def sql_tolerant_ctes(src: str, key_cols: str, text_col: str, out: str = "v_pars
         (f"{out}_c1", f"SELECT {key_cols}, {text_col} AS t0, {_sql_fence_cut(text_col)} AS t1 FROM {src}"),
         (f"{out}_c2", f"SELECT *, {sql_outer_json('t1')} AS t2 FROM {out}_c1"),
         (f"{out}_c3", f"SELECT *, {_sql_drop_trailing_commas('t2')} AS t3 FROM {out}_c2"),
-        (f"{out}_c4", f"SELECT *, {_sql_close_open('t3')} AS t4 FROM {out}_c3"),
+        *sql_close_open_ctes(f"{out}_c3", "t1", f"{out}_c4"),
         (f"{out}_ok", "SELECT *, " + ", ".join(f"{sql_parse_ok(f't{i}')} AS ok{i}" for i in range(5)) + f" FROM {out}_c4"),
         (f"{out}!", f"SELECT {key_cols}, CASE WHEN ok0 THEN 'ok' WHEN ok1 OR ok2 OR ok3 OR ok4 THEN 'repaired' ELSE 'rejected' END AS outcome, "
                     f"CASE WHEN ok0 THEN t0 WHEN ok1 THEN t1 WHEN ok2 THEN t2 WHEN ok3 THEN t3 WHEN ok4 THEN t4 END AS json_text FROM {out}_ok"),
