@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.plans.views import STYLES, style_bounds
+from ladle.plans.views import STYLE_PROMPTS, style_bounds
 
 
 def pair(records: DataFrame, blogs: DataFrame, key: str = "stem") -> DataFrame:
@@ -24,14 +24,13 @@ def unpaired(records: DataFrame, blogs: DataFrame, key: str = "stem") -> DataFra
 
 
 def style_catalogue(spark: SparkSession) -> DataFrame:
-    """M2: (style, weight, lo, hi) rows of the fixed catalogue."""
-    return spark.createDataFrame([(n, w, lo, hi) for n, w, lo, hi in style_bounds()],
-                                 "style string, weight int, lo int, hi int")
+    """M2: (style, weight, prompt, lo, hi) rows of the fixed catalogue."""
+    return spark.createDataFrame([(n, w, STYLE_PROMPTS[n], lo, hi) for n, w, lo, hi in style_bounds()],
+                                 "style string, weight int, prompt string, lo int, hi int")
 
 
 def with_style(df: DataFrame, spark: SparkSession, style: str = "style") -> DataFrame:
     """Style row for each document (catalogue of fixed size, broadcast)."""
-    assert len(STYLES) < 1000  # fixed catalogue: the broadcast side cannot grow with the data
     return df.join(F.broadcast(style_catalogue(spark).withColumnRenamed("style", style)), style, "left")
 
 
@@ -39,7 +38,7 @@ def weighted_pick(df: DataFrame, spark: SparkSession, bucket: str) -> DataFrame:
     """Range join of a bucket number onto the cumulative weights (broadcast
     nested-loop join against the fixed catalogue)."""
     cat = F.broadcast(style_catalogue(spark))
-    return df.join(cat, (F.col(bucket) >= cat["lo"]) & (F.col(bucket) < cat["hi"]), "inner").drop("lo", "hi")
+    return df.join(cat, (F.col(bucket) >= cat["lo"]) & (F.col(bucket) < cat["hi"]), "inner").drop("lo", "hi", "prompt")
 
 
 def pending(inputs: DataFrame, outputs: DataFrame, key: str) -> DataFrame:

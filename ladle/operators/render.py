@@ -210,31 +210,24 @@ def unnest_turns(df: DataFrame, key: str, messages: str = "messages", order: str
               .select(key, F.col(order).cast("bigint").alias(order), F.col("m.role").alias("role"), F.col("m.content").alias("content")))
 
 
-SEGMENT_MARK = "\u0001"
-
-
 def supervised_spans(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Character form of response-only training.
 
     Text is kept from the end of a ``<start_of_turn>model\n`` marker up to the
     next ``<start_of_turn>user\n`` marker; everything else, markers included,
-    is masked.  The text is cut before every ``<start_of_turn>``.  Each segment
-    looks up the last user / model marker at or before it, inside the row's
-    own array (a conversation is one row, so no shuffle).  One row per
-    segment: position, length, masked and kept characters.
+    is masked.  The text is cut before every ``<start_of_turn>`` (a lookahead, so
+    no character is lost), and one pass over the pieces carries whether the last
+    marker was a model's.  A conversation is one row, so nothing is shuffled.  One
+    row per segment: position, length, masked and kept characters.
     """
-    parts = F.split(F.replace(F.col(text), F.lit(TURN_OPEN), F.lit(SEGMENT_MARK + TURN_OPEN)), SEGMENT_MARK)
-    marks = F.transform(parts, lambda x: F.when(x.startswith(MODEL_MARK), F.lit("model"))
-                        .when(x.startswith(USER_MARK), F.lit("user")))
-    d = df.select(key, parts.alias("_parts"), marks.alias("_marks"))
-
-    def seg(x: Column, i: Column) -> Column:
-        mark = F.get(F.col("_marks"), i)
-        mode = F.try_element_at(F.filter(F.slice(F.col("_marks"), 1, i + 1), lambda m: m.isNotNull()), F.lit(-1))
+    def step(acc: Column, x: Column) -> Column:
+        is_model, is_user = x.startswith(MODEL_MARK), x.startswith(USER_MARK)
         n = F.length(x)
-        masked = (F.when(mark == "model", F.lit(len(MODEL_MARK))).when(mark == "user", n)
-                  .when(F.coalesce(mode, F.lit("")) == "model", F.lit(0)).otherwise(n))
-        return F.struct(i.cast("bigint").alias("seg"), n.cast("bigint").alias("length"), masked.cast("bigint").alias("masked"),
-                        (n - masked).cast("bigint").alias("kept"))
-    out = d.select(key, F.explode(F.transform("_parts", seg)).alias("s")).select(key, "s.*")
-    return out.filter(F.col("length") > 0)
+        masked = F.when(is_model, F.lit(len(MODEL_MARK))).when(is_user, n).when(acc["kept_on"], F.lit(0)).otherwise(n)
+        seg = F.struct(F.size(acc["out"]).cast("bigint").alias("seg"), n.cast("bigint").alias("length"),
+                       masked.cast("bigint").alias("masked"), (n - masked).cast("bigint").alias("kept"))
+        return F.struct((is_model | (acc["kept_on"] & ~is_user)).alias("kept_on"), F.array_append(acc["out"], seg).alias("out"))
+    empty = F.array().cast("array<struct<seg:bigint,length:bigint,masked:bigint,kept:bigint>>")
+    parts = F.split(F.col(text), f"(?={TURN_OPEN})")
+    spans = F.aggregate(parts, F.struct(F.lit(False).alias("kept_on"), empty.alias("out")), step)["out"]
+    return df.select(key, F.explode(spans).alias("s")).select(key, "s.*").filter(F.col("length") > 0)

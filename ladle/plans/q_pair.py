@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ladle.functions import jsondoc as J
 from ladle.functions import text as T
 from ladle.operators import pairing as P
 from ladle.operators import summary as S
+from ladle.operators.route import GOOD, outcome, sql_outcome
 from ladle.plans.catalog import register
-from ladle.plans.views import STYLES, STYLE_SEED, sql_style_case, style_bounds, table, v_blogs, v_records, v_times, with_views
+from ladle.plans.views import STYLE_PROMPTS, STYLES, STYLE_SEED, sql_style_case, style_bounds, table, v_blogs, v_records, v_times, with_views
 
 _SQL_CATALOGUE = ("catalogue", " UNION ALL ".join(
-    f"SELECT '{n}' AS style, {w} AS weight, {lo} AS lo, {hi} AS hi" for n, w, lo, hi in style_bounds()))
+    f"SELECT '{n}' AS style, {w} AS weight, {T.sql_text(STYLE_PROMPTS[n])} AS prompt, {lo} AS lo, {hi} AS hi" for n, w, lo, hi in style_bounds()))
 
 
 @register("pair_join", with_views(
@@ -33,11 +33,11 @@ def pair_anti(spark, sf_dir):
 
 
 @register("style_lookup", with_views(
-    "SELECT b.stem, b.style, c.weight FROM v_blogs b LEFT JOIN catalogue c ON b.style = c.style",
+    "SELECT b.stem, b.style, c.weight, c.prompt FROM v_blogs b LEFT JOIN catalogue c ON b.style = c.style",
     "v_blogs", extra=[_SQL_CATALOGUE]))
 def style_lookup(spark, sf_dir):
-    """Every blog with its style's catalogue row (broadcast of a fixed table)."""
-    return P.with_style(v_blogs(spark, sf_dir), spark).select("stem", "style", "weight")
+    """Every blog with its style's weight and prompt (broadcast of a fixed table)."""
+    return P.with_style(v_blogs(spark, sf_dir), spark).select("stem", "style", "weight", "prompt")
 
 
 _TOTAL_WEIGHT = sum(w for _, w in STYLES)
@@ -62,32 +62,10 @@ def pending_anti(spark, sf_dir):
     return P.pending(v_blogs(spark, sf_dir).select("stem"), v_records(spark, sf_dir), "stem")
 
 
-# No result -> failed; a falsy JSON value ({}, [], "", 0, false, null) -> empty;
-# any other non-object (a list, a string, a number) -> error; an object -> good.
-_SQL_ROUTE = ("CASE WHEN recipe_json IS NULL THEN 'failed' "
-              f"WHEN NOT {J.sql_parse_ok('recipe_json')} THEN 'error' "
-              "WHEN json_type(recipe_json) = 'OBJECT' AND json_array_length(json_keys(recipe_json)) = 0 THEN 'empty' "
-              "WHEN json_type(recipe_json) = 'ARRAY' AND json_array_length(recipe_json) = 0 THEN 'empty' "
-              "WHEN json_type(recipe_json) = 'NULL' OR recipe_json IN ('\"\"', '0', 'false', '0.0') THEN 'empty' "
-              "WHEN json_type(recipe_json) = 'OBJECT' THEN 'good' ELSE 'error' END")
-
-
-def _route(df):
-    from ladle.functions.jsondoc import kind, parse_strict
-    rj = F.col("recipe_json")
-    v = parse_strict(rj)
-    k = kind(v)
-    falsy = ((k == "null") | ((k == "object") & (F.schema_of_variant(v) == "OBJECT<>"))
-             | ((k == "array") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0))
-             | rj.isin('""', "0", "false", "0.0"))
-    return df.withColumn("outcome", F.when(rj.isNull(), "failed").when(v.isNull(), "error").when(falsy, "empty")
-                         .when(k == "object", "good").otherwise("error"))
-
-
-@register("outcome_route", with_views(f"SELECT rec_id, {_SQL_ROUTE} AS outcome FROM v_records", "v_records"))
+@register("outcome_route", with_views(f"SELECT rec_id, {sql_outcome()} AS outcome FROM v_records", "v_records"))
 def outcome_route(spark, sf_dir):
-    """Every extraction routed failed / empty / good."""
-    return _route(v_records(spark, sf_dir)).select("rec_id", "outcome")
+    """Every extraction routed failed / empty / error / good."""
+    return v_records(spark, sf_dir).select("rec_id", outcome().alias("outcome"))
 
 
 @register("style_distribution", with_views(
@@ -118,14 +96,13 @@ def outcome_counts_extract(spark, sf_dir):
 @register("outcome_counts_pair", with_views(
     "SELECT count(*) FILTER (WHERE o = 'matched') AS matched_count, count(*) FILTER (WHERE o = 'missing') AS missing_count, "
     "count(*) FILTER (WHERE o = 'error') AS error_count, count(*) AS total FROM ("
-    "SELECT CASE WHEN b.stem IS NULL THEN 'missing' WHEN r.recipe_json IS NULL OR r.recipe_json = '{}' THEN 'error' ELSE 'matched' END AS o "
+    f"SELECT CASE WHEN b.stem IS NULL THEN 'missing' WHEN {sql_outcome('r.recipe_json')} = 'good' THEN 'matched' ELSE 'error' END AS o "
     "FROM v_records r LEFT JOIN v_blogs b ON r.stem = b.stem)", "v_blogs", "v_records"))
 def outcome_counts_pair(spark, sf_dir):
     """pairing counters over the left-joined records."""
     b = v_blogs(spark, sf_dir).select("stem", F.lit(True).alias("_has_blog"))
     j = v_records(spark, sf_dir).join(b, "stem", "left")
-    o = (F.when(F.col("_has_blog").isNull(), "missing")
-         .when(F.col("recipe_json").isNull() | (F.col("recipe_json") == "{}"), "error").otherwise("matched"))
+    o = F.when(F.col("_has_blog").isNull(), "missing").when(outcome() == GOOD, "matched").otherwise("error")
     return S.outcome_counts(j.withColumn("o", o), "o", ("matched", "missing", "error"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions import text as T
 from ladle.operators import render as R
+from ladle.operators.route import examples, sql_outcome
 from ladle.plans.catalog import register
 from ladle.plans.views import v_blogs, v_recipes, v_records, v_turns, with_views
 
@@ -64,12 +65,11 @@ def reasoning_wrap(spark, sf_dir):
 _SQL_ASSISTANT = f"coalesce({_SQL_WRAP}, 'None') || {NL} || {NL} || coalesce(recipe_json, 'None')"
 _SQL_EXAMPLES = ("examples", f"SELECT r.stem, {_sql_lit(R.DEFAULT_SYSTEM_PROMPT)} AS system_content, "
                  f"{_sql_lit(R.EXTRACT_PREFIX)} || coalesce(b.text, 'None') AS user_content, {_SQL_ASSISTANT} AS assistant_content "
-                 "FROM v_records r JOIN v_blogs b ON r.stem = b.stem")
+                 f"FROM v_records r JOIN v_blogs b ON r.stem = b.stem WHERE {sql_outcome('r.recipe_json')} = 'good'")
 
 
 def _examples(spark, sf_dir):
-    p = v_records(spark, sf_dir).join(v_blogs(spark, sf_dir), "stem")
-    return p.select("stem", R.training_example("text", "recipe_json", "reasoning").alias("messages"))
+    return examples(v_records(spark, sf_dir), v_blogs(spark, sf_dir))
 
 
 @register("training_example", with_views(
@@ -85,12 +85,12 @@ def training_example(spark, sf_dir):
 
 
 @register("chat_convert", with_views(
-    f"SELECT stem, user_content, {T.sql_strip_reasoning('assistant_content')} AS assistant_content FROM examples",
+    f"SELECT stem, system_content, user_content, {T.sql_strip_reasoning('assistant_content')} AS assistant_content FROM examples",
     "v_blogs", "v_records", extra=[_SQL_EXAMPLES]))
 def chat_convert(spark, sf_dir):
     """Chat form of every example, reasoning stripped from the answer."""
     c = _examples(spark, sf_dir).select("stem", R.to_chat("messages").alias("conv"))
-    return c.select("stem", F.col("conv")[1]["content"].alias("user_content"),
+    return c.select("stem", F.col("conv")[0]["content"].alias("system_content"), F.col("conv")[1]["content"].alias("user_content"),
                     F.col("conv")[2]["content"].alias("assistant_content"))
 
 
@@ -155,17 +155,17 @@ def chat_render_gen(spark, sf_dir):
 
 
 _SQL_SPANS = ("spans", f"""
-  SELECT conv_id, CAST(p - 1 AS BIGINT) AS seg, CAST(length(s) AS BIGINT) AS length,
+  SELECT conv_id, CAST(p - 1 - empty_first AS BIGINT) AS seg, CAST(length(s) AS BIGINT) AS length,
     CAST(CASE WHEN mark = 'model' THEN {len(R.MODEL_MARK)} WHEN mark = 'user' THEN length(s)
               WHEN coalesce(mode, '') = 'model' THEN 0 ELSE length(s) END AS BIGINT) AS masked,
     CAST(length(s) - CASE WHEN mark = 'model' THEN {len(R.MODEL_MARK)} WHEN mark = 'user' THEN length(s)
               WHEN coalesce(mode, '') = 'model' THEN 0 ELSE length(s) END AS BIGINT) AS kept
-  FROM (SELECT conv_id, p, parts[p] AS s, marks[p] AS mark, list_filter(marks[1:p], lambda m: m IS NOT NULL)[-1] AS mode
+  FROM (SELECT conv_id, p, CASE WHEN parts[1] = '' THEN 1 ELSE 0 END AS empty_first, parts[p] AS s, marks[p] AS mark, list_filter(marks[1:p], lambda m: m IS NOT NULL)[-1] AS mode
         FROM (SELECT conv_id, parts, marks, unnest(range(1, len(parts) + 1)) AS p
               FROM (SELECT conv_id, parts, list_transform(parts, lambda x: CASE
                       WHEN starts_with(x, '<start_of_turn>model' || {NL}) THEN 'model'
                       WHEN starts_with(x, '<start_of_turn>user' || {NL}) THEN 'user' END) AS marks
-                    FROM (SELECT conv_id, string_split(replace(text, '<start_of_turn>', chr(1) || '<start_of_turn>'), chr(1)) AS parts
+                    FROM (SELECT conv_id, list_transform(string_split(text, '<start_of_turn>'), lambda x, i: CASE WHEN i = 1 THEN x ELSE '<start_of_turn>' || x END) AS parts
                           FROM (SELECT conv_id, {_sql_render('messages', False)} AS text FROM chats)))))
   WHERE length(s) > 0""")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ladle.functions import text as T
 from ladle.operators import split as SP
 from ladle.operators.ids import group_rank, group_running_sum
+from ladle.operators.route import GOOD, outcome, sql_outcome
 from ladle.plans.catalog import register
 from ladle.plans.views import table, v_blogs, v_recipe_json, v_recipes, v_records, v_times, with_views
 
@@ -64,7 +65,7 @@ def split_exact(spark, sf_dir):
     return _split80(spark, sf_dir)
 
 
-_SQL_EXAMPLES = ("ex", "SELECT r.stem FROM v_records r JOIN v_blogs b ON r.stem = b.stem")
+_SQL_EXAMPLES = ("ex", f"SELECT r.stem FROM v_records r JOIN v_blogs b ON r.stem = b.stem WHERE {sql_outcome('r.recipe_json')} = 'good'")
 
 
 @register("holdout_5pct", with_views(
@@ -73,7 +74,7 @@ _SQL_EXAMPLES = ("ex", "SELECT r.stem FROM v_records r JOIN v_blogs b ON r.stem
     "v_blogs", "v_records", extra=[_SQL_EXAMPLES]))
 def holdout_5pct(spark, sf_dir):
     """The fixed 5 % hold-out of the paired training examples."""
-    ex = v_records(spark, sf_dir).join(v_blogs(spark, sf_dir), "stem").select("stem")
+    ex = v_records(spark, sf_dir).where(outcome() == GOOD).join(v_blogs(spark, sf_dir).select("stem"), "stem").select("stem")
     return SP.holdout(ex, "stem", TEST_SIZE, SEED)
 
 

@@ -166,6 +166,79 @@ STYLES = [
     ("chaotic_unstructured", 2),
     ("super_fluffy_chaotic", 1),
 ]
+# The prompt of each style (the system turn of a generated document), by style name.
+STYLE_PROMPTS = {
+    "instagram_short": """You are a recipe social media post generator. Create a super short, Instagram-style recipe post.
+
+Format:
+- 2-3 sentence description of the recipe and process
+- Simple ingredient list (use + or bullets)
+- Optional: 1-2 emojis
+- Keep it under 200 words total
+
+Be concise and direct. NO long stories, NO fluff, NO advertisements.
+
+Return ONLY the post text.""",
+    "minimal_organized": """You are a recipe content generator. Create a clean, minimal recipe post.
+
+Include:
+- Brief 1-paragraph introduction
+- Ingredient list with measurements
+- Step-by-step instructions (numbered)
+- Optional: One cooking tip
+- Cook time and servings
+
+Keep it under 400 words. Be organized and straightforward.
+
+Return ONLY the recipe text.""",
+    "fluffy_organized": """You are a recipe blog post generator. Write a realistic recipe blog post with lots of fluff, personal stories, ads, and all the typical elements found on recipe websites.
+
+Include:
+- Long personal stories or anecdotes (2-3 paragraphs)
+- ADVERTISEMENT markers scattered throughout
+- SEO-optimized descriptions
+- Tips and tricks sections
+- Detailed ingredient lists with measurements
+- Step-by-step instructions
+- Metadata like author, date, cook times
+- Headings and formatting similar to real recipe blogs
+
+Make it feel authentic and somewhat annoying with too much text before getting to the actual recipe (just like real recipe blogs!).
+
+Return ONLY the blog post text, no JSON or other formatting.""",
+    "chaotic_unstructured": """You are generating scraped recipe content that looks like it came from a poorly formatted HTML page.
+
+Create a recipe post that is:
+- Somewhat disorganized and rambling
+- Has inconsistent formatting
+- Mix of paragraphs with ingredients and instructions scattered throughout
+- Some repeated information
+- Random tangents mid-recipe
+- Inconsistent capitalization and punctuation
+- Maybe some typos or awkward phrasing
+- Still includes the recipe content but in a messy way
+
+Think: badly scraped HTML, poor OCR scan, or auto-translated content.
+
+Return ONLY the messy recipe text.""",
+    "super_fluffy_chaotic": """You are a recipe blogger who can't stay on topic. Create an extremely verbose, chaotic recipe post.
+
+Include:
+- Multiple long personal stories that barely relate to the recipe
+- Constant digressions and tangents
+- ADVERTISEMENT markers everywhere
+- Repetitive information
+- Stream of consciousness writing style
+- Inconsistent formatting
+- Eventually get to the recipe buried in the text
+- Mix ingredients and instructions with personal anecdotes
+- Random ALL CAPS for emphasis
+- Lots of exclamation points!!!
+
+Make it feel like reading a chaotic food blog that desperately needs an editor.
+
+Return ONLY the blog post text.""",
+}
 STYLE_SEED = "style"
 
 

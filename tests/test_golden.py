@@ -50,3 +50,31 @@ def test_repair_ladder_twin():
     ctes = ", ".join(f"{n.rstrip('!')} AS ({body})" for n, body in sql_tolerant_ctes("src", "i", "t"))
     got = con.execute(f"WITH {ctes} SELECT outcome, json_text FROM v_parsed ORDER BY i").fetchall()
     assert got == list(REPAIRS.values())
+
+
+def test_spans_keep_every_character(spark):
+    from ladle.operators.render import supervised_spans
+    text = "a\x01b<start_of_turn>user\nq\x01<end_of_turn>\n<start_of_turn>model\nans\x01wer<end_of_turn>\n<start_of_turn>system\nx<start_of_turn>user\nbye"
+    rows = supervised_spans(spark.createDataFrame([(1, text), (2, ""), (3, "<start_of_turn>model\nyes")], "k int, text string"), "k").collect()
+    got = sorted((r["k"], r["seg"], r["length"], r["masked"], r["kept"]) for r in rows)
+    # segments: plain text; user turn; model turn (21 marker characters masked); system turn after a model marker is kept; user turn
+    assert got == [(1, 0, 3, 3, 0), (1, 1, 36, 36, 0), (1, 2, 42, 21, 21), (1, 3, 23, 0, 23), (1, 4, 23, 23, 0), (3, 0, 24, 21, 3)]
+    assert sum(r["length"] for r in rows if r["k"] == 1) == len(text)
+
+
+def test_only_good_records_become_examples(spark):
+    from ladle.operators.route import examples, outcome
+    cases = {'{"a":1}': "good", "{}": "empty", "{ }": "empty", "[]": "empty", "null": "empty", '""': "empty", "0": "empty", "0.0": "empty",
+             "false": "empty", "true": "error", "[1]": "error", '"x"': "error", "7": "error", "{oops": "error", None: "failed"}
+    rows = [(f"s{i}", t, "") for i, t in enumerate(cases)]
+    records = spark.createDataFrame(rows, "stem string, recipe_json string, reasoning string")
+    got = [r["o"] for r in records.orderBy(F.expr("int(substr(stem, 2))")).select(outcome().alias("o")).collect()]
+    assert got == list(cases.values())
+    blogs = spark.createDataFrame([(r[0], "text") for r in rows], "stem string, text string")
+    assert [r["stem"] for r in examples(records, blogs).collect()] == ["s0"]
+
+
+def test_example_rows_equal_the_matched_count(spark, sf_dir):
+    import __spark_entry__ as E
+    q = E.queries()
+    assert q["training_example"](spark, sf_dir).count() == q["outcome_counts_pair"](spark, sf_dir).first()["matched_count"]
