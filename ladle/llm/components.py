@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from ladle.llm.common import scratch_table
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: nodes whose smallest neighbour may be broadcast (two numbers each)
+MAX_BROADCAST_NODES = 1_000_000
+
+
+def _least(edges: DataFrame, small: bool) -> DataFrame:
+    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    return F.broadcast(least) if small else least
+
+
+def _large_star(edges: DataFrame, small: bool) -> DataFrame:
     """Every node links its larger neighbours to its smallest neighbour (or itself)."""
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    joined = both.join(_least(both, small), F.col("a") == F.col("u"))
+    return joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, small: bool) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    rest = down.join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = _least(edges, small)
+    rest = edges.join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return rest.union(least.select("u", "m"))
 
 
@@ -27,8 +35,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label): label is the smallest node of the component; only nodes with an edge appear.
 
     ``edges`` has bigint columns a and b; loops, repeated edges and both directions are allowed.
-    Each round is a written table.  It ends when a round changes nothing, which is when every
-    component is a star around its smallest node.
+    Each round is a written table, its edges point from the larger to the smaller node.  It ends
+    when a round changes nothing, which is when every component is a star around its smallest node.
     """
     now = scratch_table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     mark = None
@@ -38,4 +46,5 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
         mark = (seen["n"], seen["h"])
-        now = scratch_table(_small_star(scratch_table(_large_star(now).distinct(), name)).where("a <> b").distinct(), name)
+        small = 2 * seen["n"] <= MAX_BROADCAST_NODES
+        now = scratch_table(_small_star(scratch_table(_large_star(now, small), name), small).where("a <> b").distinct(), name)

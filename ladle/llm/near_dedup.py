@@ -6,15 +6,15 @@ intersection is at least 85 % of their union; groups are the connected component
 1. One pass over the texts: shingles as 64-bit hashes, a 128-bit key of the whole set, a MinHash
    signature of BANDS x ROWS values and one hash per band.  Written once, without texts.
 2. Documents with the same set form a class.  Only classes go on, so copies cost nothing more.
-3. Classes that share a band hash are candidates.  First each bucket's members are held against
-   its smallest class only.
-4. Candidates are pruned by size, then signatures are compared in batches: a pair is dropped as
-   soon as the posterior probability (uniform prior) that its similarity reaches the threshold
-   falls below MISS.  Survivors are verified on their full shingle sets, read anew from the texts
-   of the surviving classes.
-5. Components of the links so far.  In buckets that still hold several components, members of
-   different components (already linked ones need no test) go through step 4, so every candidate
-   pair is either tested or within one component, and no bucket emits all its pairs.
+3. Classes that share a band hash are candidates.  A bucket only yields edges from its members to
+   its smallest one; the components of those edges are families, which hold all candidate pairs.
+4. A family is dealt to tasks in blocks of bounded rows and bytes (each pair of blocks is one group).
+   In a group, pairs that share a band and fit in size are compared signature batch by batch: a
+   pair is dropped as soon as the posterior probability (uniform prior) that its similarity reaches
+   the threshold falls below MISS.  Survivors are verified on their full shingle sets, read anew
+   from the texts of the classes in families.  Pairs that earlier links of the group already connect
+   need no test, and only links leave the group: at most one fewer than it has members.
+5. Components of the links.
 
 Chosen miss probabilities: banding misses a pair at exactly 85 % with (1 - 0.85^ROWS)^BANDS, below
 1e-6 (far less above it), and pruning adds at most MISS per batch.
@@ -48,6 +48,8 @@ BATCH_HASHES = 24
 MISS = 1e-8
 #: shingles hashed at once
 CHUNK = 2048
+#: most members and bytes of shingles in a block (a single larger set is a block of its own)
+BLOCK_MEMBERS, BLOCK_BYTES = 1024, 8 << 20
 #: (doc_id, text hash) pairs that may be broadcast to pick texts: 16 bytes each
 MAX_BROADCAST_TEXTS = 1_000_000
 
@@ -72,7 +74,7 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     if n == 0:
         return words
     if n < SHINGLE:
-        return _mixed(np.array([(words * _POSITION[:n]).sum() + _SHORT[n]], np.uint64))
+        return _mixed((words * _POSITION[:n]).sum(keepdims=True) + _SHORT[n:n + 1])
     total = words[:n - SHINGLE + 1] * _POSITION[0]
     for k in range(1, SHINGLE):
         total = total + words[k:n - SHINGLE + 1 + k] * _POSITION[k]
@@ -124,83 +126,118 @@ def least_matches(hashes: int, threshold: float, miss: float = MISS) -> int:
     return hashes
 
 
-def survivors(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Which rows of two signature matrices survive the batch-wise pruning."""
-    alive, matches = np.arange(len(a)), np.zeros(len(a), int)
-    for at in range(0, HASHES, BATCH_HASHES):
-        stop = min(HASHES, at + BATCH_HASHES)
-        matches = matches + (a[alive, at:stop] == b[alive, at:stop]).sum(axis=1)
-        left = matches >= least_matches(stop, threshold)
-        alive, matches = alive[left], matches[left]
-    return alive
+#: bytes of a signature: two values may share their low byte by chance, which the threshold allows for
+THRESHOLD = PERCENT / 100 + (1 - PERCENT / 100) / 256
+_LEAST = {n: least_matches(n, THRESHOLD) for n in range(BATCH_HASHES, HASHES + 1, BATCH_HASHES)}
 
 
-def _prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) that sizes and signatures leave possible."""
-    side = classes.select("cid", "n_shingles", "sig")
-    left = side.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
-    right = side.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
-    joined = (pairs.join(left, "a").join(right, "b")
-                   .where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b"))
-    chance = 1.0 / 256  # equal low bytes of different values
-    threshold = PERCENT / 100 + (1 - PERCENT / 100) * chance
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3)]
-            at = pa.array(survivors(*sig, threshold))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
-    return joined.mapInArrow(task, "a bigint, b bigint")
+def survivors(sig: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Positions in ``others`` whose signatures survive the batch-wise comparison with ``sig``."""
+    alive, matches = np.arange(len(others)), np.zeros(len(others), int)
+    for stop, least in _LEAST.items():
+        batch = slice(stop - BATCH_HASHES, stop)
+        matches = matches + (others[alive, batch] == sig[batch]).sum(axis=1)
+        left = matches >= least
+        alive, matches = alive[left], matches[left]
+    return alive
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold; texts of their classes are read anew."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    picked = scratch_table(classes.join(wanted, "cid").select("cid", F.col("doc_id").alias("p_id"), F.col("th").alias("p_th")), "dedup-picked")
-    texts = docs.join(bounded_broadcast(picked, MAX_BROADCAST_TEXTS), (F.col("th") == F.col("p_th")) & F.col("doc_id").eqNullSafe(F.col("p_id")))
+class _Group:
+    """Members of one or two blocks of a family, and the tests between them."""
+
+    def __init__(self, rows: list[tuple[int, int, int, bytes, np.ndarray, bytes]]):
+        self.block = np.array([r[0] for r in rows])
+        self.cid = np.array([r[1] for r in rows])
+        self.size = np.array([r[2] for r in rows])
+        self.sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, HASHES)
+        self.bands = np.stack([r[4] for r in rows])
+        shingles = np.frombuffer(b"".join(r[5] for r in rows), np.uint64)
+        owner = np.repeat(np.arange(len(rows)), self.size)
+        _, self.ids = np.unique(shingles, return_inverse=True)
+        order = np.argsort(self.ids, kind="stable")
+        self.postings = owner[order]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(self.ids))])
+        self.ends = np.concatenate([[0], np.cumsum(self.size)])
+
+    def common(self, a: int) -> np.ndarray:
+        """Sizes of the exact intersections of member a's set with every member's."""
+        ids = self.ids[self.ends[a]:self.ends[a + 1]]
+        n = self.start[ids + 1] - self.start[ids]
+        at = np.arange(n.sum()) + np.repeat(self.start[ids] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        return np.bincount(self.postings[at], minlength=len(self.cid))
+
+    def links(self, within: bool) -> list[tuple[int, int]]:
+        """Links that connect members, between the two blocks or within the one."""
+        part, out = np.arange(len(self.cid)), []
+        for a in range(len(self.cid)):
+            later = np.arange(a + 1, len(self.cid)) if within else np.flatnonzero(self.block > self.block[a])
+            later = later[part[later] != part[a]]
+            n = self.size[later]
+            later = later[100 * np.minimum(n, self.size[a]) >= PERCENT * np.maximum(n, self.size[a])]
+            later = later[(self.bands[later] == self.bands[a]).any(axis=1)]
+            later = later[survivors(self.sig[a], self.sig[later])]
+            if not len(later):
+                continue
+            common = self.common(a)[later]
+            for b in later[100 * common >= PERCENT * (self.size[later] + self.size[a] - common)]:
+                if part[a] != part[b]:
+                    part[part == part[b]] = part[a]
+                    out.append((int(self.cid[a]), int(self.cid[b])))
+        return out
+
+
+def _sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, shingles) of the members, from the texts that stand for their classes."""
+    picked = bounded_broadcast(members.select("cid", F.col("doc_id").alias("p_id"), F.col("th").alias("p_th")), MAX_BROADCAST_TEXTS)
+    texts = docs.join(picked, (F.col("th") == F.col("p_th")) & F.col("doc_id").eqNullSafe(F.col("p_id")))
 
     def shingler():
         cache = WordCache(xxhash.xxh64_intdigest)
         return lambda texts: [pa.array([shingle_set(_hashed_words(cache, t)).tobytes() for t in texts], pa.binary())]
     sets = map_texts(texts.select("cid", "text"), "text", ["cid"], shingler, "shingles binary")
-    sets = scratch_table(sets.groupBy("cid").agg(F.first("shingles").alias("shingles")), "dedup-sets")
-    joined = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("set_a")), "a")
-                   .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b")), "b").select("a", "b", "set_a", "set_b"))
+    return sets.groupBy("cid").agg(F.first("shingles").alias("shingles"))  # rows that repeat an id and its text
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= PERCENT * (len(x) + len(y) - common):
-                    keep.append(i)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
-    return joined.mapInArrow(task, "a bigint, b bigint")
-
-
-def _members(classes: DataFrame) -> DataFrame:
-    """(bucket, cid, center) for buckets of at least two classes; center is the smallest class."""
+
+def _families(classes: DataFrame) -> DataFrame:
+    """(cid, family) of the classes that share a band hash with another one, over any number of steps."""
     spread = classes.select("cid", F.explode("bands").alias("bucket"))
     held = spread.groupBy(F.col("bucket").alias("k")).agg(F.min("cid").alias("center"), F.max("cid").alias("last")).where("center <> last")
-    return spread.join(held.select("k", "center"), F.col("bucket") == F.col("k")).where("cid <> center").select("bucket", "cid", "center")
-
+    edges = spread.join(held.select("k", "center"), F.col("bucket") == F.col("k")).where("cid <> center")
+    return components(edges.select(F.col("cid").alias("a"), F.col("center").alias("b")), "dedup-families").select(
+        F.col("node").alias("cid"), F.col("label").alias("family"))
+
+
+def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links that connect every pair of linked classes of a family."""
+    members = scratch_table(classes.join(_families(classes), "cid"), "dedup-members")
+    blocks = members.groupBy(F.col("family").alias("f")).agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum(8 * F.col("n_shingles")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    dealt = (members.join(blocks, F.col("family") == F.col("f")).withColumn("block", own)
+                    .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                    .join(_sets(members, docs), "cid")
+                    .select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                            "block", "cid", "n_shingles", "sig", "bands", "shingles"))
+    dealt = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "cid")
 
-def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members (but its center, which is tested) that lie in different components.
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
 
-    Members outside the bucket's largest component meet all others, so a large group that is one
-    component already is never paired with itself.
-    """
-    m = (members.join(labels, F.col("cid") == F.col("node"), "left").select("bucket", "cid", F.coalesce("label", "cid").alias("label")))
-    sizes = m.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    held = (sizes.groupBy(F.col("bucket").alias("k")).agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-                 .where("labels > 1").select("k", F.col("top.label").alias("top")))
-    m = m.join(held, F.col("bucket") == F.col("k")).select("bucket", "cid", "label", "top")
-    few = m.where("label <> top").select(F.col("bucket").alias("fb"), F.col("cid").alias("fc"), F.col("label").alias("fl"))
-    met = m.join(few, (F.col("bucket") == F.col("fb")) & (F.col("label") != F.col("fl")) & ((F.col("label") == F.col("top")) | (F.col("cid") < F.col("fc"))))
-    return met.select(F.least("cid", "fc").alias("a"), F.greatest("cid", "fc").alias("b")).distinct()
+        def tested() -> pa.RecordBatch:
+            found = _Group(rows).links(within=key[1] == key[2]) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(7)] + [batch.column(8).to_pylist()]
+            bands = batch.column(7).values.to_numpy().reshape(-1, BANDS)
+            for k, (family, i, j, block, cid, size, sig, shingles) in enumerate(zip(*columns)):
+                if (family, i, j) != key:
+                    if rows:
+                        yield tested()
+                    key, rows = (family, i, j), []
+                rows.append((block, cid, size, sig, bands[k], shingles))
+        if rows:
+            yield tested()
+    return dealt.mapInArrow(task, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -217,15 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .agg(first.alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     classes = scratch_table(sets.select(F.monotonically_increasing_id().alias("cid"), "key", "n_shingles", F.col("rep.doc_id").alias("doc_id"),
                                         F.col("rep.th").alias("th"), "bands", "sig"), "dedup-classes")
-    members = scratch_table(_members(classes), "dedup-members")
-
-    def tested(pairs: DataFrame, step: str) -> DataFrame:
-        left = scratch_table(_prune(pairs, classes), f"dedup-survivors-{step}")
-        return scratch_table(_verify(left, classes, source), f"dedup-links-{step}")
-    links = tested(members.select(F.col("center").alias("a"), F.col("cid").alias("b")).distinct(), "centers")
-    labels = scratch_table(components(links), "dedup-labels")
-    more = tested(_across(members, labels), "across")
-    labels = scratch_table(components(links.union(more)), "dedup-labels")
+    labels = scratch_table(components(scratch_table(_links(classes, source), "dedup-links")), "dedup-labels")
     named = classes.select("cid", "key", "doc_id", "th").join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid"))
     # the smallest id of a component, and the document that carries it
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("head"))

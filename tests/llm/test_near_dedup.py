@@ -90,11 +90,17 @@ def test_pruning_follows_the_posterior():
         density = grid ** k * (1 - grid) ** (24 - k)
         return density[grid >= t].sum() / density.sum()
     assert posterior(m) >= ND.MISS * 0.9 and posterior(m - 1) < ND.MISS * 1.1
-    a = np.zeros((3, ND.HASHES), np.uint8)
-    b = a.copy()
-    b[1, :] = 1
-    b[2, : ND.HASHES // 10] = 1
-    assert ND.survivors(a, b, t).tolist() == [0, 2]
+    others = np.zeros((3, ND.HASHES), np.uint8)
+    others[1, :] = 1
+    others[2, : ND.HASHES // 10] = 1
+    assert ND.survivors(np.zeros(ND.HASHES, np.uint8), others).tolist() == [0, 2]
+
+
+def test_families_in_many_blocks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ND, "BLOCK_MEMBERS", 7)
+    rows = [(i, t) for i, t in enumerate(near_copies(60, 150, 9) + near_copies(5, 40, 10))]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ND.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == brute(rows)
 
 
 def test_components_of_chains_and_stars(spark):
