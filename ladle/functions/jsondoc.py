@@ -242,8 +242,9 @@ def sql_as_text(j: str, key: str | None = None) -> str:
 # --- C10 get with default -----------------------------------------------------------
 
 def get_default(doc, path: str, default, target: str = "string") -> Column:
-    """Nested value cast to ``target`` or ``default`` when missing / null / not castable."""
-    return F.coalesce(F.try_variant_get(_c(doc), path, target), F.lit(default).cast(target))
+    """Nested value cast to ``target``; ``default`` only when the key is missing (JSON null stays NULL)."""
+    found = F.variant_get(_c(doc), path, "variant")
+    return F.when(found.isNull(), F.lit(default).cast(target)).otherwise(F.try_variant_get(found, "$", target))
 
 
 # --- C11 emit -----------------------------------------------------------------------

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ladle.functions import text as T
 from ladle.operators import split as SP
-from ladle.operators.ids import group_rank, group_running_sum
+from ladle.operators.ids import group_running_sum
+from ladle.operators.names import unique_names
 from ladle.operators.route import GOOD, outcome, sql_outcome
 from ladle.plans.catalog import register
-from ladle.plans.views import table, v_blogs, v_recipe_json, v_recipes, v_records, v_times, with_views
+from ladle.plans.views import SQL_VIEWS, table, v_blogs, v_recipe_json, v_recipes, v_records, v_times, with_views
 
 SEED = 42
 SKIP = 10          # D1: rows skipped before the slice
@@ -130,32 +131,29 @@ def running_eta(spark, sf_dir):
                     (prev * (F.col("n") - F.col("i") + 1)).alias("eta"))
 
 
-def unique_names(df: DataFrame, name_col: str, order_col: str, out: str = "file_name", max_rounds: int = 20) -> DataFrame:
-    """First holder keeps the safe name, later ones get ``_1``, ``_2``...;
-    a generated name that collides with another name is bumped again until
-    every name is unique (each round is one distributed pass)."""
-    base = df.withColumn("_safe", T.safe_name(F.col(name_col)))
-    ranked = group_rank(base, ["_safe"], [order_col], name="_r")
-    cur = ranked.withColumn(out, F.when(F.col("_r") == 1, F.col("_safe"))
-                            .otherwise(F.concat(F.col("_safe"), F.lit("_"), (F.col("_r") - 1).cast("string")))).drop("_r")
-    for _ in range(max_rounds):
-        clash = cur.groupBy(out).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        if clash.isEmpty():
-            return cur.drop("_safe")
-        again = group_rank(cur, [out], [order_col], name="_r")
-        cur = again.withColumn(out, F.when(F.col("_r") == 1, F.col(out))
-                               .otherwise(F.concat(F.col(out), F.lit("_"), (F.col("_r") - 1).cast("string")))).drop("_r")
-    raise RuntimeError(f"names still collide after {max_rounds} rounds")
-
-
-@register("unique_name", with_views(
-    f"SELECT rid, CASE WHEN r = 1 THEN s ELSE s || '_' || CAST(r - 1 AS VARCHAR) END AS file_name FROM ("
-    f"SELECT rid, {T.sql_safe_name('name')} AS s, row_number() OVER (PARTITION BY {T.sql_safe_name('name')} ORDER BY CAST(rid AS BIGINT)) AS r "
-    "FROM v_recipes)", "v_recipes"))
+# some names already carry a number, so that generated names meet natural ones
+_NUMBERED = "CASE WHEN {rid} % 40 = 0 THEN name || '_1' WHEN {rid} % 56 = 0 THEN name || '_2' ELSE name END"
+# the twin takes names one by one: step k of every family of names, carrying the names taken before
+_SQL_NAMES = f"""
+WITH RECURSIVE named AS MATERIALIZED (SELECT rid, s, regexp_replace(s, '(_[0-9]+)+$', '') AS root FROM (
+    SELECT rid, {T.sql_safe_name('n')} AS s FROM (SELECT rid, {_NUMBERED.format(rid='CAST(rid AS BIGINT)')} AS n FROM ({SQL_VIEWS["v_recipes"]})))),
+  ranked AS MATERIALIZED (SELECT rid, s, root, row_number() OVER (PARTITION BY root ORDER BY CAST(rid AS BIGINT)) AS k FROM named),
+  step AS (
+    SELECT rid, root, k, s AS file_name, [s] AS taken FROM ranked WHERE k = 1
+    UNION ALL
+    SELECT rid, root, k, f, list_append(taken, f) FROM (
+      SELECT r.rid, r.root, r.k, p.taken,
+        list_filter(list_concat([r.s], list_transform(range(1, len(p.taken) + 2), lambda i: r.s || '_' || CAST(i AS VARCHAR))),
+                    lambda x: NOT list_contains(p.taken, x))[1] AS f
+      FROM step p JOIN ranked r ON r.root = p.root AND r.k = p.k + 1))
+SELECT rid, file_name FROM step"""
+
+
+@register("unique_name", _SQL_NAMES)
 def unique_name(spark, sf_dir):
-    """Unique file names for every source record (64 names over 2,000 records)."""
-    r = v_recipes(spark, sf_dir).select("rid", "name").withColumn("_o", F.col("rid").cast("bigint"))
-    return unique_names(r, "name", "_o").select("rid", "file_name")
+    """Unique file names for every source record, some of which carry a number already."""
+    r = v_recipes(spark, sf_dir).select("rid", F.expr(_NUMBERED.format(rid="CAST(rid AS BIGINT)")).alias("name"))
+    return unique_names(r.withColumn("_o", F.col("rid").cast("bigint")), "name", "_o").select("rid", "file_name")
 
 
 @register("union_batches", with_views(

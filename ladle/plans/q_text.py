@@ -106,11 +106,12 @@ def json_kind(spark, sf_dir):
 
 
 @register("json_get_default", _parsed_sql(
-    "SELECT doc_id, coalesce(json_extract_string(json_text, '$.\"name\"'), 'Unknown') AS name, "
-    "coalesce(json_extract_string(json_text, '$.\"recipeInstructions\"[0].\"text\"'), '') AS first_step "
+    "SELECT doc_id, CASE WHEN json_type(json_text, '$.\"name\"') IS NULL THEN 'Unknown' ELSE json_extract_string(json_text, '$.\"name\"') END AS name, "
+    "CASE WHEN json_type(json_text, '$.\"recipeInstructions\"[0].\"text\"') IS NULL THEN '' "
+    "ELSE json_extract_string(json_text, '$.\"recipeInstructions\"[0].\"text\"') END AS first_step "
     "FROM validated"))
 def json_get_default(spark, sf_dir):
-    """Nested values with defaults when missing or null."""
+    """Nested values, with defaults when missing (null stays null)."""
     d = _parsed(spark, sf_dir)
     return d.select("doc_id", J.get_default("doc", "$['name']", "Unknown").alias("name"),
                     J.get_default("doc", "$['recipeInstructions'][0]['text']", "").alias("first_step"))

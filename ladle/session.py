@@ -17,14 +17,17 @@ SESSION_FLAGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+REQUIRED_FLAGS = ("spark.sql.variant.allowDuplicateKeys",)
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime flags ladle needs to an existing session."""
     for key, value in SESSION_FLAGS.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave it
-            pass
+        except Exception:
+            if key in REQUIRED_FLAGS and spark.conf.get(key, None) != value:
+                raise  # parse results would change silently
     return spark
 
 
@@ -39,9 +42,6 @@ def get_session(master: str | None = None, app: str = "ladle", shuffle_partition
         if master.startswith("local"):
             # local mode runs everything in the driver JVM
             builder = builder.config("spark.driver.memory", os.environ.get("LADLE_DRIVER_MEMORY", "8g"))
-            # small test data: keep every core busy on CPU-heavy text rows rather
-            # than letting AQE merge a few MB of shuffle into one task
-            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SESSION_FLAGS.items():

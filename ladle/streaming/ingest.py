@@ -16,10 +16,21 @@ from pyspark.sql import functions as F
 DOC_SCHEMA = "rid string, text string"
 
 
+def read_text_stream(spark: SparkSession, in_dir: str, glob: str = "*.txt", files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming scan of a folder of whole text files: (rid, text), rid being the file's stem."""
+    from ladle.sources.io import file_name, normalise_newlines, path_stem
+    reader = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(in_dir).select(path_stem(file_name()).alias("rid"), normalise_newlines("value").alias("text"))
+
+
 def read_stream(spark: SparkSession, in_dir: str, schema: str = DOC_SCHEMA, fmt: str = "json",
                 files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of a folder that receives new files (``files_per_trigger``
-    bounds a micro-batch; None keeps Spark's default)."""
+    """Streaming scan of a folder that receives new files (``files_per_trigger`` bounds a
+    micro-batch; None keeps Spark's default).  ``fmt="files"`` takes whole text files named by stem."""
+    if fmt == "files":
+        return read_text_stream(spark, in_dir, files_per_trigger=files_per_trigger)
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -29,12 +40,15 @@ def read_stream(spark: SparkSession, in_dir: str, schema: str = DOC_SCHEMA, fmt:
 def ingest_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame], schema: str = DOC_SCHEMA, fmt: str = "json",
                   files_per_trigger: int | None = None) -> int:
-    """Process every new input file once into a parquet table; returns the number of micro-batches."""
+    """Process every new input file once into a parquet table;
+    returns the number of micro-batches since the checkpoint began (its last batch id, as Spark
+    keeps only the latest progress reports)."""
     out = transform(read_stream(spark, in_dir, schema, fmt, files_per_trigger))
     q = (out.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    last = q.lastProgress
+    return last["batchId"] + (1 if last["numInputRows"] else 0) if last else 0
 
 
 def stream_counts(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,

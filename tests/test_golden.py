@@ -78,3 +78,63 @@ def test_example_rows_equal_the_matched_count(spark, sf_dir):
     import __spark_entry__ as E
     q = E.queries()
     assert q["training_example"](spark, sf_dir).count() == q["outcome_counts_pair"](spark, sf_dir).first()["matched_count"]
+
+
+def _csv(tmp_path, name, data):
+    folder = tmp_path / "csv"
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes(data)
+    return str(folder)
+
+
+def test_csv_cells_read_as_written(spark, tmp_path):
+    from ladle.sources import io as IO
+    folder = _csv(tmp_path, "a.csv", "name,group\ncafé,\n\"\",\"  x \"\n lead,null\nshort\n".encode())
+    folder = _csv(tmp_path, "b.csv", "name,group\ncafé,brûlée\n".encode("latin-1"))
+    rows = IO.read_csv(spark, folder, row_error=True).collect()
+    assert sorted((r["name"], r["group"] or "", r["group"] is None, r["_row_error"]) for r in rows) == sorted([
+        ("café", "", False, None), ("", "  x ", False, None), (" lead", "null", False, None), ("short", "", True, "short"), ("café", "brûlée", False, None)])
+
+
+def test_csv_writer_keeps_edge_spaces(spark, tmp_path):
+    from ladle.sources import io as IO
+    rows = [("  lead", "trail  "), ("", " "), ('q"', "a\nb")]
+    IO.write_csv(spark.createDataFrame(rows, "name string, `group` string"), str(tmp_path / "o"))
+    assert sorted(map(tuple, IO.read_csv(spark, str(tmp_path / "o")).collect())) == sorted(rows)
+
+
+def test_json_dir_routes_bad_files(spark, tmp_path):
+    from ladle.sources import io as IO
+    for name, text in {"ok": '{"recipe": {"b": 1, "a": 2}, "reasoning": "w"}', "tail": '{"recipe": {}} x', "list": "[1]", "cut": '{"recipe": {',
+                       "str": '{"recipe": "{}"}', "none": '{"reasoning": null}'}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    got = {r["stem"]: (r["recipe_json"], r["reasoning"], r["outcome"]) for r in IO.read_json_dir(spark, str(tmp_path)).collect()}
+    assert got == {"ok": ('{"b":1,"a":2}', "w", "ok"), "tail": (None, None, "error"), "list": (None, None, "error"), "cut": (None, None, "error"),
+                   "str": ('"{}"', "", "ok"), "none": (None, None, "ok")}
+
+
+def test_whole_text_stream_is_named_by_file(spark, tmp_path):
+    from ladle.streaming import ingest as ST
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"doc {i}.txt").write_bytes(b"line\r\ntwo")
+    assert ST.ingest_stream(spark, src, out, ck, lambda d: d, fmt="files", files_per_trigger=1) == 3
+    ST.ingest_stream(spark, src, out, ck, lambda d: d, fmt="files")
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(f"doc {i}", "line\ntwo") for i in range(3)]
+
+
+def test_null_is_not_missing(spark):
+    df = spark.createDataFrame([('{"name":null}',), ('{"name":"x"}',), ("{}",), ('{"name":5}',)], "t string").select(J.parse_strict("t").alias("d"))
+    got = [r["v"] for r in df.select(J.get_default("d", "$['name']", "Unknown").alias("v")).collect()]
+    assert got == [None, "x", "Unknown", "5"]
+
+
+def test_unique_names_follow_the_order(spark):
+    from ladle.operators.names import unique_names
+    cases = {("X_1", "X", "X"): ["X_1", "X", "X_2"], ("X", "X", "X_1"): ["X", "X_1", "X_1_1"], ("X", "X", "X"): ["X", "X_1", "X_2"],
+             ("X", "X_1", "X_1", "X", "X"): ["X", "X_1", "X_1_1", "X_2", "X_3"], ("Y_2", "Y", "Y", "Y", "Y"): ["Y_2", "Y", "Y_1", "Y_3", "Y_4"]}
+    rows = [(100 * c + i, f"c{c}{n}") for c, names in enumerate(cases) for i, n in enumerate(names)]
+    got = {r["o"]: r["file_name"] for r in unique_names(spark.createDataFrame(rows, "o int, n string"), "n", "o").collect()}
+    want = {100 * c + i: f"c{c}{n}" for c, names in enumerate(cases.values()) for i, n in enumerate(names)}
+    assert got == want

@@ -21,7 +21,7 @@ def test_csv_quotes_newlines_latin1(spark):
     os.makedirs(lat)
     with open(os.path.join(lat, "r.csv"), "wb") as fh:
         fh.write("name,group\ncrème,brûlée\n".encode("latin-1"))
-    assert IO.detect_encoding(spark, lat) == "ISO-8859-1"
+    assert len(IO.badly_encoded(spark, lat)) == 1
     assert [tuple(r) for r in IO.read_csv(spark, lat, columns=["name", "group"]).collect()] == [("crème", "brûlée")]
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators import split as SP
 from ladle.operators.ids import global_rank, group_rank, group_running_sum
-from ladle.plans.q_split import unique_names
+from ladle.operators.names import unique_names
 
 
 def test_split_sizes(spark):
