@@ -8,7 +8,7 @@ of partitioning, and stable under re-execution (``rand()`` and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.text import md5_number
@@ -25,18 +25,20 @@ def with_position(df: DataFrame, order_cols, pos: str = "pos", total: str = "n")
 
 
 def slice_rows(df: DataFrame, order_cols, skip: int = 0, limit: int | None = None) -> DataFrame:
-    """Skip ``skip`` rows in order, then keep ``limit`` (0 / None: no limit)."""
-    if limit:
-        # bounded by skip + limit: a top-k, no global sort
-        return df.orderBy(*order_cols).offset(skip).limit(limit) if skip else df.orderBy(*order_cols).limit(limit)
-    if not skip:
+    """Skip ``skip`` rows in order, then keep ``limit`` (0 / None: no limit).
+
+    A filter on the global position: no task ever holds ``skip + limit`` rows.
+    """
+    if not skip and not limit:
         return df
-    return global_rank(df, order_cols, name="_pos").filter(F.col("_pos") > skip).drop("_pos")
+    pos = F.col("_pos")
+    kept = (pos > skip) & (pos <= skip + limit) if limit else pos > skip
+    return global_rank(df, order_cols, name="_pos").filter(kept).drop("_pos")
 
 
 def limit_inputs(df: DataFrame, order_cols, n: int | None) -> DataFrame:
     """The first ``n`` inputs in listing order, taken *before* any matching."""
-    return df if not n else df.orderBy(*order_cols).limit(n)
+    return slice_rows(df, order_cols, 0, n)
 
 
 def sort_listing(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
@@ -76,14 +78,10 @@ def with_batch(df: DataFrame, order_cols, size: int = 48, idx: str = "sample_id"
                   .drop("_pos", "_n"))
 
 
-def first_n_per_group(df: DataFrame, group: str, order: str, n: int = 2) -> DataFrame:
-    """The first ``n`` rows of each group.
-
-    Meant for batches, whose size is fixed by ``with_batch``, so a plain window
-    per batch never holds more than one batch of rows.
-    """
-    w = Window.partitionBy(group).orderBy(order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def first_n_per_batch(df: DataFrame, n: int = 2, size: int = 48, idx: str = "sample_id", batch: str = "batch_num") -> DataFrame:
+    """The first ``n`` samples of each batch made by ``with_batch``: a filter, since a sample's place
+    in its batch follows from its index."""
+    return df.filter(F.col(idx) - (F.col(batch) - 1) * size < n)
 
 
 def append_results(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -92,22 +90,24 @@ def append_results(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def check_split(train: DataFrame, test: DataFrame, everything: DataFrame) -> DataFrame:
-    """H2: (metric, value) rows; a correct split has ``missing = extra = overlap = 0``."""
-    union = train.unionByName(test)
+    """H2: (metric, value) rows; a correct split has ``missing = extra = overlap = 0``.
 
-    def count(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value")
-
-    parts = [count(everything, "n_all"), count(train, "n_train"), count(test, "n_test"),
-             count(everything.exceptAll(union), "missing"), count(union.exceptAll(everything), "extra"),
-             count(train.intersect(test), "overlap")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def leaked(train: DataFrame, test: DataFrame, text_col: str) -> DataFrame:
-    """H3: held-out rows whose text was also trained on (matched on md5 of the text)."""
-    t = train.select(F.md5(F.col(text_col)).alias("_h")).distinct()
-    return test.withColumn("_h", F.md5(F.col(text_col))).join(t, "_h", "left_semi").drop("_h")
+    One shuffle: every side is tagged, and each key's rows are counted by side.
+    """
+    key = F.struct(*[F.col(c) for c in everything.columns])
+    tagged = [df.select(*everything.columns).select(key.alias("key"), F.lit(side).alias("side"))
+              for side, df in enumerate((everything, train, test))]
+    per_key = tagged[0].union(tagged[1]).union(tagged[2]).groupBy("key").agg(
+        *[F.count_if(F.col("side") == side).alias(c) for side, c in enumerate(("n_all", "n_train", "n_test"))])
+    split = F.col("n_train") + F.col("n_test")
+    total = per_key.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_all", "n_train", "n_test")],
+        F.coalesce(F.sum(F.greatest(F.col("n_all") - split, F.lit(0))), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.greatest(split - F.col("n_all"), F.lit(0))), F.lit(0)).alias("extra"),
+        F.count_if((F.col("n_train") > 0) & (F.col("n_test") > 0)).alias("overlap"))
+    return total.unpivot([], total.columns, "metric", "value")
+
+
+def leaked(train: DataFrame, test: DataFrame, text_hash: str) -> DataFrame:
+    """H3: held-out rows whose text was also trained on.  Takes hashes, so that no text is shuffled."""
+    return test.join(train.select(text_hash).distinct(), text_hash, "left_semi")

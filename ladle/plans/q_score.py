@@ -224,7 +224,7 @@ _SQL_ATTACHED = ("attached", f"""SELECT s.sample_id, s.batch_num, (j.sample_id I
 
 def _attached(spark, sf_dir) -> DataFrame:
     samples = SP.with_batch(v_recipe_json(spark, sf_dir).select(F.col("doc_id").alias("sample_id")), ["sample_id"], BATCH, idx="idx")
-    picked = SP.first_n_per_group(samples, "batch_num", "idx", PER_BATCH).select("sample_id")
+    picked = SP.first_n_per_batch(samples, PER_BATCH, BATCH, idx="idx").select("sample_id")
     judged = _judged(spark, sf_dir).join(picked, "sample_id", "left_semi").select(
         "sample_id", F.lit(True).alias("evaluated"), F.col("judge.scores.overall").alias("overall"), F.col("judge.error").alias("judge_error"))
     from ladle.operators.pairing import attach_scores as attach

@@ -16,6 +16,7 @@ from ladle.plans.views import SQL_VIEWS, table, v_blogs, v_recipe_json, v_recipe
 
 SEED = 42
 SKIP = 10          # D1: rows skipped before the slice
+SLICE_LIMIT = 50   # D1: rows kept by the limited slice
 LIMIT_INPUTS = 100  # D2: inputs taken before matching
 SPLIT_RATIO = 0.8   # D6
 TEST_SIZE = 0.05    # D7
@@ -36,6 +37,14 @@ def slice_rows(spark, sf_dir):
     return SP.slice_rows(r, ["_o"], skip=SKIP).select("rid", "name")
 
 
+@register("slice_limit", with_views(
+    f"SELECT rid, name FROM v_recipes ORDER BY CAST(rid AS BIGINT) LIMIT {SLICE_LIMIT} OFFSET {SKIP}", "v_recipes"))
+def slice_limit(spark, sf_dir):
+    """A limited slice after the skipped rows (a resumed run's next inputs)."""
+    r = v_recipes(spark, sf_dir).withColumn("_o", F.col("rid").cast("bigint"))
+    return SP.slice_rows(r, ["_o"], skip=SKIP, limit=SLICE_LIMIT).select("rid", "name")
+
+
 @register("limit_before_join", with_views(
     f"SELECT r.stem, r.rec_id, b.style FROM (SELECT * FROM v_records ORDER BY stem LIMIT {LIMIT_INPUTS}) r "
     "JOIN v_blogs b ON r.stem = b.stem", "v_blogs", "v_records"))
@@ -100,7 +109,7 @@ def batch_number(spark, sf_dir):
     f"FROM batches) WHERE rn <= {PER_BATCH}", "v_recipe_json", extra=[_SQL_BATCHES]))
 def first_n_per_batch(spark, sf_dir):
     """The first two samples of every batch (the ones sent to the judge)."""
-    return SP.first_n_per_group(_batches(spark, sf_dir), "batch_num", "sample_id", PER_BATCH).select("doc_id", "sample_id", "batch_num")
+    return SP.first_n_per_batch(_batches(spark, sf_dir), PER_BATCH, BATCH).select("doc_id", "sample_id", "batch_num")
 
 
 @register("row_position", with_views(
@@ -186,5 +195,6 @@ WITH s AS (SELECT doc_id, text, CASE WHEN row_number() OVER (ORDER BY {_sql_hash
 SELECT doc_id FROM s t WHERE split = 'test' AND md5(text) IN (SELECT md5(text) FROM s WHERE split = 'train')""")
 def split_leak(spark, sf_dir):
     """H3: held-out documents whose exact text is also in the training side."""
-    d = SP.holdout(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", TEST_SIZE, SEED)
-    return SP.leaked(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"), "text").select("doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("text_md5"))  # hashed before ranking: no text is shuffled
+    d = SP.holdout(d, "doc_id", TEST_SIZE, SEED)
+    return SP.leaked(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"), "text_md5").select("doc_id")

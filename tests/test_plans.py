@@ -52,3 +52,10 @@ def test_positions_use_a_range_shuffle_and_checkpoint(spark, sf_dir):
     df = spark.range(100).withColumn("o", F.col("id") % 7)
     ranked = global_rank(df, ["o", "id"], name="pos")
     assert "ExistingRDD" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_checks_do_not_shuffle_texts(spark, sf_dir):
+    leak = plan(spark, sf_dir, "split_leak")
+    # the text is hashed in the scan's stage: no exchange or sort above it carries the column
+    assert not re.search(r"(Exchange|Sort|Window)[^\n]*\btext#", leak)
+    assert plan(spark, sf_dir, "split_invariants").count("Exchange hashpartitioning(key") == 1

@@ -29,6 +29,13 @@ def test_split_is_partition_and_stable(spark):
     assert checks["missing"] == 0 and checks["extra"] == 0 and checks["overlap"] == 0 and checks["n_train"] == 400
 
 
+def test_split_check_counts_what_is_wrong(spark):
+    def frame(keys):
+        return spark.createDataFrame([(k,) for k in keys], "k string")
+    rows = SP.check_split(frame("aabx"), frame("bc"), frame("aaabcd")).collect()
+    assert {r.metric: r.value for r in rows} == {"n_all": 6, "n_train": 4, "n_test": 2, "missing": 2, "extra": 2, "overlap": 1}
+
+
 def test_holdout_ceil(spark):
     df = spark.range(21).withColumn("k", F.col("id").cast("string"))
     assert SP.holdout(df, "k", 0.05, 42).filter("split = 'test'").count() == 2
@@ -73,7 +80,7 @@ def test_batches(spark):
     rows = {r.k: r for r in b.collect()}
     assert rows[0].batch_num == 1 and rows[48].batch_num == 2 and rows[99].batch_num == 3
     assert rows[99].batch_start == 97 and rows[99].batch_end == 100
-    first = SP.first_n_per_group(b, "batch_num", "sample_id", 2)
+    first = SP.first_n_per_batch(b, 2, 48)
     assert sorted(r.k for r in first.collect()) == [0, 1, 48, 49, 96, 97]
 
 
