@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,16 +49,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-#: a word that is letters and then ASCII punctuation: the tokenizer cuts it there
-_PIECES = regex.compile(r"(\p{L}+)([!-/:-@\[-`{-~]+)")
-_LATIN = regex.compile(r"[a-zà-öø-ÿ]+|[!-/:-@\[-`{-~]+")
+#: a word of Latin letters and then ASCII punctuation: the tokenizer cuts it there, and lower-cases it
+_LATIN_WORD = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
+#: texts whose words are looked up together
+ENCODE_ROWS = 2048
 
 
 class Encoder:
-    """Token ids of a text as little-endian 16-bit bytes, with each distinct word encoded once per worker.
+    """Token ids of whole texts, with each distinct word or part of one encoded once per worker.
 
     The tokenizer never joins text across ASCII white space, nor letters with the ASCII
-    punctuation after them, so a text's ids are the ids of these pieces in order.
+    punctuation after them, so a text's ids are the ids of these pieces in order.  A piece that the
+    tokenizer's normaliser and pattern leave whole goes straight to its model.
     """
 
     def __init__(self, path: str):
@@ -68,48 +70,67 @@ class Encoder:
         self.model = self.tokenizer.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x100)}
-        self.words, self.pieces = WordCache(self._word), WordCache(self._piece)
-
-    def _piece(self, piece: str) -> bytes:
-        if _LATIN.fullmatch(piece):  # one run of the tokenizer's pattern that it does not change: straight to its model
-            ids = [t.id for t in self.model.tokenize(piece.translate(self.shown))]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return array("H", ids).tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        cut = _PIECES.fullmatch(text)
-        head, tail = cut.groups() if cut else (text, None)
-        lower = head.lower()  # the tokenizer lower-cases as well
-        head = lower if _LATIN.fullmatch(lower) else head
-        return self.pieces[head] + self.pieces[tail] if tail else self.pieces[head]
-
-    def ids(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split()))
+        self.parts, self.words = WordCache(self._part), WordCache(self._word)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of lower-case Latin letters or of ASCII punctuation."""
+        shown = part if part.isascii() else part.translate(self.shown)
+        return array("H", [t.id for t in self.model.tokenize(shown)]).tobytes() if part else b""
+
+    def _word(self, word: str) -> bytes:
+        return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Ids of each text (no nulls), each with the end id."""
+        split = pc.ascii_split_whitespace(texts)
+        found = pc.dictionary_encode(split.flatten())
+        code, words = found.indices.to_numpy(), found.dictionary
+        parts = pc.extract_regex(words, pattern=_LATIN_WORD)
+        latin = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        head, tail = (pc.dictionary_encode(x) for x in (pc.utf8_lower(pc.struct_field(parts, "head")), pc.struct_field(parts, "tail")))
+        whole = words.filter(pa.array(~latin)).to_pylist()
+        pieces = [b"", *map(self.parts.__getitem__, head.dictionary.to_pylist())]
+        tails = len(pieces)
+        pieces += map(self.parts.__getitem__, tail.dictionary.to_pylist())
+        rest = len(pieces)
+        pieces += map(self.words.__getitem__, whole)
+        # two pieces a word: head and tail, or the whole word and nothing
+        pair = np.zeros((len(words), 2), np.int32)
+        pair[latin, 0] = head.indices.filter(pa.array(latin)).to_numpy() + 1
+        pair[latin, 1] = tail.indices.filter(pa.array(latin)).to_numpy() + tails
+        pair[~latin, 0] = np.arange(len(whole)) + rest
+        flat = np.frombuffer(b"".join(pieces), np.uint16)
+        size = np.fromiter(map(len, pieces), np.int32, len(pieces)) // 2
+        start = np.cumsum(size, dtype=np.int64) - size
+        stream = pair[code].reshape(-1)
+        n = size[stream]
+        before = np.cumsum(n, dtype=np.int64) - n
+        ids = flat[np.arange(n.sum()) + np.repeat(start[stream] - before, n)]
+        # ends of the texts in the stream of ids
+        ends = np.append(before, n.sum())[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        return [np.append(ids[x:y], np.uint16(END_ID)) for x, y in zip(ends[:-1], ends[1:])]
 
 
 def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids as bytes, null) for each document; per task one row with only ``counts``:
     documents by id, then rows and tokens."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("string")
     d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    end = np.array([END_ID], "<u2").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         counts = np.zeros(COUNTS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [encoder.ids(t) + end for t in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, ENCODE_ROWS):
+                part = batch.slice(at, ENCODE_ROWS)
+                ids = encoder.encode(part.column(1))
                 for x in ids:
-                    found = np.frombuffer(x, "<u2")
-                    counts[np.unique(found)] += 1
-                    counts[-1] += len(found)
+                    counts[np.unique(x)] += 1
+                    counts[-1] += len(x)
                 counts[-2] += len(ids)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
+                stored = pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), stored, pa.nulls(len(ids), pa.binary())], schema=schema)
         if counts[-2]:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], schema=schema)
     return d.mapInArrow(task, "doc_id bigint, ids binary, counts binary")
