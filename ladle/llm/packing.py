@@ -51,6 +51,8 @@ def default_tokenizer() -> str:
 
 #: a word of Latin letters and then ASCII punctuation: the tokenizer cuts it there, and lower-cases it
 _LATIN_WORD = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
+#: cached parts of words (about 200 bytes each, with their ids)
+CACHE_PARTS = 600_000
 #: texts whose words are looked up together
 ENCODE_ROWS = 2048
 
@@ -70,7 +72,7 @@ class Encoder:
         self.model = self.tokenizer.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x100)}
-        self.parts, self.words = WordCache(self._part), WordCache(self._word)
+        self.parts, self.words = WordCache(self._part, limit=CACHE_PARTS), WordCache(self._word)
 
     def _part(self, part: str) -> bytes:
         """Ids of lower-case Latin letters or of ASCII punctuation."""

@@ -58,9 +58,8 @@ def with_base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     d = d.withColumn("lines", lines)
     n = F.size("words")
-    window = F.filter(F.transform("words", lambda w, i: F.when(i + 2 < F.size("words"), F.xxhash64(
-        w, F.get("words", i + 1), F.get("words", i + 2)))), lambda h: h.isNotNull())
-    d = d.withColumn("windows", window)
+    starts = F.slice("words", F.lit(1), F.greatest(n - 2, F.lit(0)))
+    d = d.withColumn("windows", F.transform(starts, lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))))
     low = (1 << POSITION_BITS) - 1
     packed = F.sort_array(F.transform("windows", lambda h, i: h.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint"))))
     d = d.withColumn("packed", F.when((F.size(F.array_distinct("windows")) < F.size("windows")) & (n <= low), packed))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladle.llm import oracle
 from ladle.llm.common import table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -65,13 +66,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
-    "op1_license_scan": (op1_license_scan, None),
+    "op1_license_scan": (op1_license_scan, oracle.license_scan()),
     "op2_quality_classifier": (op2_quality_classifier, None),
-    "op3_near_duplicates": (op3_near_duplicates, None),
+    "op3_near_duplicates": (op3_near_duplicates, oracle.near_duplicates()),
     "op4_bm25_packing": (op4_bm25_packing, None),
-    "op5_poisson_mix": (op5_poisson_mix, None),
-    "op6_quality_rules": (op6_quality_rules, None),
-    "op7_vptree_neighbours": (op7_vptree_neighbours, None),
+    "op5_poisson_mix": (op5_poisson_mix, oracle.poisson_mix()),
+    "op6_quality_rules": (op6_quality_rules, oracle.quality_rules()),
+    "op7_vptree_neighbours": (op7_vptree_neighbours, oracle.nearest()),
     "op8_lpt_sharding": (op8_lpt_sharding, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_language_id": (op10_language_id, None),

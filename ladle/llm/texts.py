@@ -18,15 +18,15 @@ CACHE_WORD_BYTES = 40
 
 
 class WordCache(dict):
-    """word -> value computed by ``make``, kept for the first CACHE_WORDS short words of a worker."""
+    """word -> value computed by ``make``, kept for the first ``limit`` short words of a worker."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, limit: int = CACHE_WORDS):
         super().__init__()
-        self.make = make
+        self.make, self.limit = make, limit
 
     def __missing__(self, word):
         value = self.make(word)
-        if len(self) < CACHE_WORDS and len(word) <= CACHE_WORD_BYTES:
+        if len(self) < self.limit and len(word) <= CACHE_WORD_BYTES:
             self[word] = value
         return value
 
