@@ -27,15 +27,18 @@ def enrich(df: DataFrame, fn: Callable[[list], list], col: str, keep: list[str],
            result_type: str = "string", batch: int = 48) -> DataFrame:
     """``fn`` takes a list of values and returns a list of results of the same length.
 
-    A failing batch is retried one row at a time; a failing row yields
-    ``(result=NULL, error=<exception name: message>)`` and never stops the job.
+    ``fn`` reports a row that fails by returning the exception in its place: that row yields
+    ``(result=NULL, error=<exception name: message>)`` and no other row is called again.  Only if
+    ``fn`` itself raises are the batch's rows called one by one, to find the failing ones (a paid
+    client should return its errors).  Results must fit ``result_type``; one that does not fails the job.
     """
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
                        + [f"result {result_type}", "error string"])
 
     def one(v):
         try:
-            return fn([v])[0], None
+            r = fn([v])[0]
+            return (None, f"{type(r).__name__}: {r}") if isinstance(r, Exception) else (r, None)
         except Exception as e:  # noqa: BLE001 - the error is the result
             return None, f"{type(e).__name__}: {e}"
 
@@ -49,8 +52,9 @@ def enrich(df: DataFrame, fn: Callable[[list], list], col: str, keep: list[str],
                     out = list(fn(chunk))
                     if len(out) != len(chunk):
                         raise ValueError("result length differs from batch length")
-                    results += out
-                    errors += [None] * len(chunk)
+                    failed = [isinstance(r, Exception) for r in out]
+                    results += [None if bad else r for r, bad in zip(out, failed)]
+                    errors += [f"{type(r).__name__}: {r}" if bad else None for r, bad in zip(out, failed)]
                 except Exception:  # noqa: BLE001 - isolate the failing rows
                     for v in chunk:
                         r, e = one(v)

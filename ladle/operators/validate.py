@@ -117,6 +117,14 @@ def _rule(kind_name: str, field: str) -> tuple[list[Column], list[Column]]:
             head[1] + [F.when(is_arr, F.transform(facts, item_warnings))])
 
 
+def _kind_of(field: str) -> Column:
+    """Kind of a field's value.  A list is told by a cast: ``kind`` would print the schema of every item."""
+    v = F.col(_col_name(field))
+    if {f: k for k, f in RULE_ORDER}.get(field) in ("ingredients", "instructions"):
+        return F.when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("array")).otherwise(kind(v))
+    return kind(v)
+
+
 def _present_list(fields: list[str], prefix: str) -> Column:
     joined = F.array_join(F.array(*[F.when(_k(f) == "missing", F.lit(f)) for f in fields]), ", ")
     return F.when(joined != "", F.concat(F.lit(prefix), joined))
@@ -157,7 +165,7 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
     for f in FIELDS:
         out = out.withColumn(_col_name(f), F.col("_fields")[f])
     for f in FIELDS:
-        out = out.withColumn(_col_name(f) + "_k", kind(F.col(_col_name(f))))
+        out = out.withColumn(_col_name(f) + "_k", _kind_of(f))
     errs = [F.array(_present_list(REQUIRED_FIELDS, MSG_MISSING_REQUIRED))] if use_req else []
     warns = [F.array(_present_list(OPTIONAL_FIELDS, MSG_MISSING_OPTIONAL))] if use_opt else []
     for kind_name, field in order:
