@@ -72,3 +72,16 @@ def score_summary(df: DataFrame, overall: str = "overall", evaluated: str = "eva
                   F.round(F.avg(score), 6).alias("vibes_avg_score"),
                   F.round(F.min(score), 6).alias("vibes_min_score"),
                   F.round(F.max(score), 6).alias("vibes_max_score"))
+
+
+def run_row(spark, run: dict) -> DataFrame:
+    """The one row of run metadata."""
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in run.items()])
+
+
+def report_samples(checked: DataFrame, batches: DataFrame, judged: DataFrame, key: str = "sample_id") -> DataFrame:
+    """One row per sample: its batch, its text, a struct of the validation and, where one was
+    taken, a struct of the judge's result with the raw reply (NULL elsewhere)."""
+    validation = F.struct("is_valid", "errors", "warnings").alias("structural_validation")
+    judge = judged.select(key, F.struct(F.col("judge").alias("evaluation"), "raw_response").alias("vibes_evaluation"))
+    return checked.select(key, "generated_json", validation).join(batches, key).join(judge, key, "left")

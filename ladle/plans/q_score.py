@@ -14,6 +14,8 @@ from ladle.operators import synth as SY
 from ladle.operators.validate import sql_validate_ctes, validate
 from ladle.plans.catalog import register
 from ladle.plans.views import STYLE_SEED, sql_style_of, style_of, v_generations, v_judge, v_recipe_json, v_recipes, with_views
+from ladle.session import scratch_dir
+from ladle.sources import io as IO
 
 NL = "chr(10)"
 BATCH = 48
@@ -41,7 +43,7 @@ def _sql_cat(*lists: str) -> str:
 
 _I = "list_transform(string_split(ingredient, '; '), lambda x: '- ' || x)"
 _S = "list_transform(string_split(ingredient, '; '), lambda x, i: CAST(i AS VARCHAR) || '. Add ' || x)"
-_MY = "['Time: ' || process, 'Serves: ' || n_rater]"
+_MY = "['Time: ' || process, 'Serves: ' || n_rater, 'Category: ' || grp]"
 _STORIES = "[" + ", ".join(
     " || ".join(p.strip("{}") if p.startswith("{") else T.sql_str(p) for p in SY._tokens(line)) for line in SY.STORY_LINES) + "]"
 _FLUFFY_REST = _sql_cat(_STORIES, "['ADVERTISEMENT']", _I, "['ADVERTISEMENT']", _S, _MY)
@@ -70,7 +72,8 @@ _SQL_X = ("xdocs", f"""SELECT rid, lines[1] AS x_name,
   list_transform(list_sort(list_transform(list_filter(lines, lambda l: regexp_matches(l, {_STEP_RE})),
     lambda l: {{'n': CAST(regexp_extract(l, {_STEP_RE}, 1) AS BIGINT), 't': regexp_extract(l, {_STEP_RE}, 2)}})), lambda s: s.t) AS x_steps,
   regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.TIME_RE)}))[1], {T.sql_str(SY.TIME_RE)}, 1) AS x_total_time,
-  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.YIELD_RE)}))[1], {T.sql_str(SY.YIELD_RE)}, 1) AS x_yield
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.YIELD_RE)}))[1], {T.sql_str(SY.YIELD_RE)}, 1) AS x_yield,
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.CATEGORY_RE)}))[1], {T.sql_str(SY.CATEGORY_RE)}, 1) AS x_category
 FROM (SELECT rid, string_split(CASE WHEN starts_with(text, '{SY.HEADER_PREFIX}')
   THEN regexp_replace(text, '^<!-- Generated with style: [^\\n]* -->\\n\\n?', '') ELSE text END, {NL}) AS lines FROM docs)""")
 
@@ -80,7 +83,8 @@ _SQL_XJSON = ("'{\"@context\":\"https://schema.org\",\"@type\":\"Recipe\"' "
               "|| CASE WHEN len(x_steps) > 0 THEN ',\"recipeInstructions\":[' || array_to_string(list_transform(x_steps, "
               "lambda t: '{\"@type\":\"HowToStep\",\"text\":' || to_json(t)::VARCHAR || '}'), ',') || ']' ELSE '' END "
               "|| CASE WHEN x_total_time IS NOT NULL THEN ',\"totalTime\":' || to_json(x_total_time)::VARCHAR ELSE '' END "
-              "|| CASE WHEN x_yield IS NOT NULL THEN ',\"recipeYield\":' || to_json(x_yield)::VARCHAR ELSE '' END || '}'")
+              "|| CASE WHEN x_yield IS NOT NULL THEN ',\"recipeYield\":' || to_json(x_yield)::VARCHAR ELSE '' END "
+              "|| CASE WHEN x_category IS NOT NULL THEN ',\"recipeCategory\":' || to_json(x_category)::VARCHAR ELSE '' END || '}'")
 
 
 def _extracted(spark, sf_dir) -> DataFrame:
@@ -89,25 +93,28 @@ def _extracted(spark, sf_dir) -> DataFrame:
 
 @register("extract_records", with_views(
     f"SELECT rid, x_name, CAST(len(x_ingredients) AS INTEGER) AS n_ingredients, CAST(len(x_steps) AS INTEGER) AS n_steps, "
-    f"x_total_time, x_yield, {_SQL_XJSON} AS recipe_json FROM xdocs", "v_recipes", extra=[_SQL_DOCS, _SQL_X]))
+    f"x_total_time, x_yield, x_category, {_SQL_XJSON} AS recipe_json FROM xdocs", "v_recipes", extra=[_SQL_DOCS, _SQL_X]))
 def extract_records(spark, sf_dir):
     """Each synthesized document read back into a recipe JSON document."""
     x = _extracted(spark, sf_dir)
     return x.select("rid", "x_name", F.size("x_ingredients").alias("n_ingredients"), F.size("x_steps").alias("n_steps"),
-                    "x_total_time", "x_yield", "recipe_json")
+                    "x_total_time", "x_yield", "x_category", "recipe_json")
 
 
 # --- I3 / I4 -------------------------------------------------------------------
 
 def _scores(spark, sf_dir) -> DataFrame:
-    # source and extraction are the same rows (synthesize -> extract keeps the
-    # record's columns), so scoring needs no join back to the source
-    x = SY.extract_record(_docs(spark, sf_dir))
+    """The extraction table joined to the source table by key, then the six axes."""
+    x = SY.extract_record(_docs(spark, sf_dir).select("rid", "text")).select(
+        "rid", "x_name", "x_ingredients", "x_steps", "x_total_time", "x_yield", "x_category")
+    both = SC.compare(v_recipes(spark, sf_dir), x, "rid")
     ings = F.split("ingredient", "; ")
-    scored = SC.add_scores(x, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
-                           [F.col("process"), F.col("n_rater"), F.col("grp")],
+    none = F.lit(None).cast("string")
+    # prepTime, cookTime, totalTime, recipeYield, recipeCategory, recipeCuisine; the records know three of them
+    scored = SC.add_scores(both, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
+                           [none, none, F.col("process"), F.col("n_rater"), F.col("grp"), none],
                            F.col("x_name"), F.col("x_ingredients"), F.col("x_steps"),
-                           [F.col("x_total_time"), F.col("x_yield"), F.lit(None).cast("string")])
+                           [none, none, F.col("x_total_time"), F.col("x_yield"), F.col("x_category"), none])
     return scored.select("rid", "scores")
 
 
@@ -119,8 +126,9 @@ def _sql_words(e: str) -> str:
     return f"list_distinct(list_filter(regexp_split_to_array(lower({e}), '\\s+'), lambda w: w <> ''))"
 
 
-_META_S = ["process", "n_rater", "grp"]
-_META_X = ["x_total_time", "x_yield", "CAST(NULL AS VARCHAR)"]
+_NONE = "CAST(NULL AS VARCHAR)"
+_META_S = [_NONE, _NONE, "process", "n_rater", "grp", _NONE]
+_META_X = [_NONE, _NONE, "x_total_time", "x_yield", "x_category", _NONE]
 _SQL_SCORE_PARTS = ("sparts", f"""SELECT rid,
   {_sql_words('name')} AS a, {_sql_words('x_name')} AS b,
   list_distinct(string_split(ingredient, '; ')) AS si, list_distinct(x_ingredients) AS xi,
@@ -287,3 +295,31 @@ def eval_report(spark, sf_dir):
     one = F.lit(1).alias("_one")
     return (summary.select("*", one).join(scores.select("*", one), "_one")
                    .select(*meta, *summary.columns, *scores.columns))
+
+
+_SQL_REPORT_SAMPLES = f"""SELECT a.sample_id, a.batch_num, g.json_text AS generated_json, len(v.errors) = 0 AS is_valid,
+  array_to_string(v.errors, '; ') AS errors, array_to_string(v.warnings, '; ') AS warnings,
+  a.evaluated, a.overall, CASE WHEN a.evaluated THEN j.raw END AS raw_response
+FROM attached a JOIN gen_json g ON g.doc_id = a.sample_id JOIN validated v ON v.doc_id = a.sample_id LEFT JOIN judged j ON j.sample_id = a.sample_id"""
+
+
+@register("eval_samples", with_views(_SQL_REPORT_SAMPLES, "v_recipe_json", "v_generations", "v_judge",
+                                     extra=[_SQL_GEN_JSON] + sql_validate_ctes("gen_json", "doc_id, k", "json_text") + _sql_judged() + [_SQL_SAMPLES, _SQL_ATTACHED]))
+def eval_samples(spark, sf_dir):
+    """The report's samples with nested validation and judge result, written, read back and flattened."""
+    g = v_generations(spark, sf_dir).select("sample_id", T.extract_answer_json("generated_text").alias("generated_json"))
+    checked = validate(g, "generated_json")
+    batches = SP.with_batch(v_recipe_json(spark, sf_dir).select(F.col("doc_id").alias("sample_id")), ["sample_id"], BATCH, idx="idx")
+    picked = SP.first_n_per_batch(batches, PER_BATCH, BATCH, idx="idx").select("sample_id")
+    raw = v_judge(spark, sf_dir).join(picked, "sample_id", "left_semi")
+    judged = SC.normalize_judge(raw).select("sample_id", "judge", F.col("raw").alias("raw_response"))
+    samples = S.report_samples(checked, batches.select("sample_id", "batch_num"), judged)
+    path = scratch_dir(spark, "report")
+    IO.write_report(path, S.run_row(spark, RUN), samples, S.eval_summary(checked))
+    _, back, _ = IO.read_report(spark, path)
+    return back.select("sample_id", "batch_num", "generated_json", "structural_validation.is_valid",
+                       F.array_join("structural_validation.errors", "; ").alias("errors"),
+                       F.array_join("structural_validation.warnings", "; ").alias("warnings"),
+                       F.col("vibes_evaluation").isNotNull().alias("evaluated"),
+                       F.col("vibes_evaluation.evaluation.scores.overall").alias("overall"),
+                       F.col("vibes_evaluation.raw_response").alias("raw_response"))
