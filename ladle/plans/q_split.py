@@ -122,20 +122,20 @@ def row_position(spark, sf_dir):
 
 @register("running_eta", with_views(
     "SELECT event_id, run, i, n, prev_mean, prev_mean * (n - i + 1) AS eta FROM ("
-    "SELECT *, CASE WHEN i > 1 THEN CAST(prev_cents AS DOUBLE) / CAST(i - 1 AS DOUBLE) / 100.0 END AS prev_mean FROM ("
+    "SELECT *, CASE WHEN i > 1 THEN CAST(before AS DOUBLE) / CAST(i - 1 AS DOUBLE) END AS prev_mean FROM ("
     "SELECT event_id, run, row_number() OVER w AS i, count(*) OVER (PARTITION BY run) AS n, "
-    "CAST(sum(CAST(round(seconds * 100) AS BIGINT)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS prev_cents "
+    "sum(CAST(seconds AS DECIMAL(28, 9))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before "
     "FROM v_times WINDOW w AS (PARTITION BY run ORDER BY ts, event_id)))", "v_times"))
 def running_eta(spark, sf_dir):
     """Per run, mean of earlier item times x items left (NULL on the first item).
 
-    Times are summed as exact hundredths, so the running mean does not depend
+    Times are summed as decimals of nine places, so the running mean does not depend
     on summation order (and equals any other engine's bit for bit)."""
-    t = v_times(spark, sf_dir).select("event_id", "run", "ts", F.round(F.col("seconds") * 100).cast("bigint").alias("cents"))
-    r = group_running_sum(t, ["run"], ["ts", "event_id"], "cents", rank="i", before="_before")
+    t = v_times(spark, sf_dir).select("event_id", "run", "ts", F.col("seconds").cast("decimal(28,9)").alias("exact"))
+    r = group_running_sum(t, ["run"], ["ts", "event_id"], "exact", rank="i", before="_before")
     sizes = t.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     r = r.join(sizes, "run")
-    prev = F.when(F.col("i") > 1, F.col("_before").cast("double") / (F.col("i") - 1).cast("double") / 100.0)
+    prev = F.when(F.col("i") > 1, F.col("_before").cast("double") / (F.col("i") - 1).cast("double"))
     return r.select("event_id", "run", "i", "n", prev.alias("prev_mean"),
                     (prev * (F.col("n") - F.col("i") + 1)).alias("eta"))
 

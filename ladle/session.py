@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -78,8 +79,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    sub = os.path.join(base, f"{name}-{os.urandom(6).hex()}")
-    return sub
+    """A fresh sub-folder of the shared checkpoint folder for written intermediate tables.
+
+    Results that read it are lazy, so it goes when the process ends.
+    """
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
+    if not _scratch:
+        atexit.register(remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete the scratch folders of this process, on whatever file system they are."""
+    for spark, path in _scratch:
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session has ended: its shared folder is the cluster's to clean
+            break
+    _scratch.clear()
