@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,35 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def scratch_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
-    Cuts the lineage with data that every executor can read, so a lost
-    executor costs a re-read and not the job.  Folders go when the process ends.
+    Cuts the lineage with data that every executor can read, so a lost executor costs a
+    re-read and not the job.  The folder goes when the process ends.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    if not _written:
-        atexit.register(_remove_written)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove_written() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session ended first: its shared folder is the cluster's to clean
-            return
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ladle.llm.common import bounded_broadcast, scratch_table, unit_hash
 
 CHUNK = 32.0
-#: sources that may be broadcast (one short row each)
-MAX_BROADCAST_SOURCES = 100_000
+#: sources that may be broadcast (under 1 KB each)
+MAX_BROADCAST_SOURCES = 20_000
 
 
 def _cdf(mean: Column) -> Column:

@@ -112,6 +112,14 @@ def test_poisson_inversion_matches_a_plain_loop(spark, docs001):
     assert got == +want
 
 
+def test_rates_beyond_the_broadcast_bound_give_the_same_copies(spark, docs001, monkeypatch):
+    want = Counter(r["doc_id"] for r in MX.mix(docs001).select("doc_id").collect())
+    monkeypatch.setattr(MX, "MAX_BROADCAST_SOURCES", 0)
+    weights = spark.createDataFrame([("src0", 3.0), ("src1", 1.0)], "source string, weight double")
+    assert Counter(r["doc_id"] for r in MX.mix(docs001).select("doc_id").collect()) == want
+    assert {r["source"] for r in MX.mix(docs001, weights).select("source").collect()} <= {"src0", "src1"}
+
+
 def test_mix_reaches_the_target_and_handles_edges(edge_docs, no_docs, spark):
     out = MX.mix(edge_docs, total=4000)
     n = Counter(r["source"] for r in out.select("source").collect())

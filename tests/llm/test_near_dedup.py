@@ -68,6 +68,16 @@ def test_large_group_of_near_copies(spark):
     assert got == brute(rows)
 
 
+def test_joins_beyond_the_broadcast_bounds(spark, monkeypatch):
+    from ladle.llm import components as CC
+    monkeypatch.setattr(ND, "MAX_BROADCAST_TEXTS", 0)
+    monkeypatch.setattr(CC, "MAX_BROADCAST_NODES", 0)
+    monkeypatch.setattr(ND, "BLOCK_BYTES", 4096)
+    rows = [(i, t) for i, t in enumerate(near_copies(20, 100, 5) + near_copies(5, 30, 6) * 2)] + [(None, near_copies(1, 30, 6)[0])]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ND.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == brute(rows)
+
+
 def test_one_of_each_group_stays(edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     kept = ND.drop_near_duplicates(edge_docs)
