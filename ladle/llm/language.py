@@ -7,8 +7,8 @@ L2 penalties, which leave most weights at zero), and a temperature fitted on row
 training makes the softmax a calibrated score.
 
 The fit (frequencies included) uses a bounded sample of rows that are not held out, at most about
-``TRAIN_PER_LANGUAGE`` of each language.  Scoring reads every whole text: a word's contribution is
-computed once per worker and summed over the text, which gives exactly the linear score.
+``TRAIN_PER_LANGUAGE`` of each language.  Scoring reads every whole text: the contributions of a batch's
+distinct words are computed once and summed over each text, which gives exactly the linear score.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; null languages are not
 learned from; with no row to learn from every text is ``und``; repeated rows get equal results;
@@ -17,40 +17,61 @@ ties between languages go to the smaller name; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import fold
-from ladle.llm.texts import WordCache, hash32, map_texts
+from ladle.llm.texts import DistinctWords, hash32, map_texts
 
 UNKNOWN = "und"
 TRAIN_PER_LANGUAGE = 1000
 FOLD = (5, 0)
 DIMS = 1 << 16
-MAX_N = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.01
 EPOCHS = 3
 MIN_SCORE = 0.5
-_LETTERS = re.compile(r"[^\W\d_]+")
-
-
-def ngram_rows(token: str) -> np.ndarray:
-    """Hashed n-gram rows of a token's letter runs; empty without letters."""
-    out = []
-    for run in _LETTERS.findall(token):
-        marked = f"␂{run}␃"
-        for n in range(1, MAX_N + 1):
-            out += [hash32(marked[i:i + n].encode("utf-8", "surrogatepass"), n) % DIMS
-                    for i in range(0 if n > 1 else 1, len(marked) - n + 1 - (n == 1))]
-    return np.array(out, dtype=np.int64)
-
-
-def tokens(text: bytes | None) -> list[str]:
-    return (text or b"").decode("utf-8", "replace").lower().split()
+#: texts whose words are scored together
+SCORE_ROWS = 2048
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+_ALPHA = np.zeros(0, bool)
+
+
+def _is_letter(points: np.ndarray) -> np.ndarray:
+    """Whether code points are letters, by a table made once per process."""
+    global _ALPHA
+    if not len(_ALPHA):
+        _ALPHA = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    return _ALPHA[points]
+
+
+def _rows(n: int, *points: np.ndarray) -> np.ndarray:
+    h = np.uint64(n)
+    for p, factor in zip(points, _FACTORS):
+        h = (h ^ p) * factor
+        h = h ^ (h >> np.uint64(29))
+    return (h >> np.uint64(20)).astype(np.int64) % DIMS
+
+
+def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed rows of all n-grams of the words' letter runs, and the word each one comes from.
+
+    Code points that are no letters count as 0, which marks both edges of a run: a letter, a pair with
+    a letter in it, and a triple with a letter in its middle are the 1- to 3-grams of a marked run.
+    """
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text = "\0".join(words) + "\0"
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    letter = _is_letter(points)
+    c = np.concatenate([[0], np.where(letter, points, 0), [0]]).astype(np.uint64)
+    before, here, after = c[:-2], c[1:-1], c[2:]
+    pair = letter | (before > 0)
+    return (np.concatenate([_rows(1, here[letter]), _rows(2, before[pair], here[pair]), _rows(3, before[letter], here[letter], after[letter])]),
+            np.concatenate([owner[letter], owner[pair], owner[letter]]))
 
 
 class LanguageModel:
@@ -122,10 +143,11 @@ class FrozenModel:
     def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float):
         self.languages, self.table, self.bias, self.temperature = languages, table, bias, temperature
 
-    def word(self, token: str) -> np.ndarray:
-        """Summed contributions of a token, and its number of n-grams as last entry."""
-        rows = ngram_rows(token)
-        return np.append(self.table[rows].sum(axis=0), float(len(rows)))
+    def contributions(self, words: list[str]) -> np.ndarray:
+        """Per word its summed contributions, and its number of n-grams as last column."""
+        rows, owner = gram_rows(words)
+        out = [np.bincount(owner, self.table[rows, k], len(words)) for k in range(len(self.languages))]
+        return np.stack([*out, np.bincount(owner, minlength=len(words)).astype(float)], axis=1)
 
     def predict(self, rows: np.ndarray) -> tuple[str, float]:
         """From the summed contributions of a text's words."""
@@ -148,18 +170,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     chosen = usable.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(23)), F.lit(1_000_000)) < share)
 
     def features():
-        cache = WordCache(ngram_rows)
-
         def run(texts):
             rows, counts = [], []
-            for t in texts:
-                parts = list(map(cache.__getitem__, tokens(t)))
-                r, c = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
+            for read in (DistinctWords(pc.utf8_lower(texts.slice(i, 1))) for i in range(len(texts))):
+                grams, owner = gram_rows(read.words.to_pylist())
+                r, back = np.unique(grams, return_inverse=True)
+                times = np.bincount(read.code, minlength=len(read.words))
                 rows.append(r.astype(np.int32).tobytes())
-                counts.append(c.astype(np.int32).tobytes())
+                counts.append(np.bincount(back, times[owner], len(r)).astype(np.int32).tobytes())
             return [pa.array(rows, pa.binary()), pa.array(counts, pa.binary())]
         return run
-    found = map_texts(chosen, "text", ["doc_id", "lang"], features, "grams binary, counts binary").collect()
+    found = map_texts(chosen, "text", ["doc_id", "lang"], features, "grams binary, counts binary", as_arrow=True).collect()
     found = sorted((r for r in found if len(r["grams"])), key=lambda r: (hash32(bytes(r["grams"])), str(r["doc_id"])))
     languages = sorted({r["lang"] for r in found})
     if not languages:
@@ -176,34 +197,20 @@ def predict(docs: DataFrame, model: FrozenModel, keep: list[str], text_col: str
 
     def scorer():
         m = shared.value
-        width = len(m.languages) + 1
-        rows: list[np.ndarray] = []
-        table = np.zeros((1024, width))
-
-        def add(token: str) -> int:
-            nonlocal table
-            if len(rows) == len(table):
-                table = np.concatenate([table, np.zeros_like(table)])
-            table[len(rows)] = m.word(token)
-            rows.append(None)
-            return len(rows) - 1
-        index = WordCache(add)
+
+        def part(texts):
+            if not m.languages:
+                return [(UNKNOWN, 0.0)] * len(texts)
+            read = DistinctWords(pc.utf8_lower(texts))
+            each = m.contributions(read.words.to_pylist())
+            total = np.concatenate([np.zeros((1, each.shape[1])), np.cumsum(each[read.code], axis=0)])
+            return [m.predict(x) for x in total[read.ends[1:]] - total[read.ends[:-1]]]
 
         def run(texts):
-            nonlocal table
-            out = []
-            for t in texts:
-                if m.languages:
-                    at = np.fromiter(map(index.__getitem__, tokens(t)), np.int64)
-                    out.append(m.predict(table[at].sum(axis=0)))
-                else:
-                    out.append((UNKNOWN, 0.0))
-                if len(rows) > len(index) + 4096:  # rows of words that the cache did not keep
-                    index.clear()
-                    rows.clear()
+            out = [x for at in range(0, len(texts), SCORE_ROWS) for x in part(texts.slice(at, SCORE_ROWS))]
             return [pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())]
         return run
-    return map_texts(docs, text_col, keep, scorer, f"{lang_out} string, {score_out} double")
+    return map_texts(docs, text_col, keep, scorer, f"{lang_out} string, {score_out} double", as_arrow=True)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

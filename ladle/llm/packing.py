@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import scratch_table
-from ladle.llm.texts import WordCache
+from ladle.llm.texts import DistinctWords, WordCache
 
 WINDOW = 2048
 END_ID = 1
@@ -84,9 +84,8 @@ class Encoder:
 
     def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
         """Ids of each text (no nulls), each with the end id."""
-        split = pc.ascii_split_whitespace(texts)
-        found = pc.dictionary_encode(split.flatten())
-        code, words = found.indices.to_numpy(), found.dictionary
+        read = DistinctWords(texts)
+        code, words = read.code, read.words
         parts = pc.extract_regex(words, pattern=_LATIN_WORD)
         latin = pc.is_valid(parts).to_numpy(zero_copy_only=False)
         head, tail = (pc.dictionary_encode(x) for x in (pc.utf8_lower(pc.struct_field(parts, "head")), pc.struct_field(parts, "tail")))
@@ -109,7 +108,7 @@ class Encoder:
         before = np.cumsum(n, dtype=np.int64) - n
         ids = flat[np.arange(n.sum()) + np.repeat(start[stream] - before, n)]
         # ends of the texts in the stream of ids
-        ends = np.append(before, n.sum())[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        ends = np.append(before, n.sum())[2 * read.ends]
         return [np.append(ids[x:y], np.uint16(END_ID)) for x, y in zip(ends[:-1], ends[1:])]
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,20 @@ class WordCache(dict):
         return value
 
 
+class DistinctWords:
+    """Words between ASCII white space of an array of texts, each distinct one once.
+
+    ``words`` are the distinct ones, ``code`` the number of each word in reading order, and text k's
+    words are ``code[ends[k]:ends[k + 1]]``.  Null texts have none.
+    """
+
+    def __init__(self, texts: pa.StringArray):
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        found = pc.dictionary_encode(split.flatten())
+        self.words, self.code = found.dictionary, found.indices.to_numpy()
+        self.ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+
+
 def word_ids(cache: WordCache, words: list, dtype=np.int64) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), dtype=dtype, count=len(words))
 
@@ -39,18 +54,20 @@ def hash32(data: bytes, seed: int = 0) -> int:
     return xxhash.xxh32_intdigest(data, seed)
 
 
-def map_texts(df: DataFrame, text_col: str, keep: list[str], run: Callable, schema: str) -> DataFrame:
-    """Arrow batches of (keep..., text as bytes) through ``run(texts) -> list of arrays``.
+def map_texts(df: DataFrame, text_col: str, keep: list[str], run: Callable, schema: str, as_arrow: bool = False) -> DataFrame:
+    """Arrow batches of (keep..., text) through ``run(texts) -> list of arrays``.
 
     ``run`` is made once per task by calling the given factory; its arrays follow
-    the kept columns.  A null text reaches it as None.
+    the kept columns.  Texts reach it as a list of bytes (null: None), or with ``as_arrow``
+    as a string array.
     """
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("binary").alias("__text"))
+    text = F.col(f"`{text_col}`")
+    source = df.select(*[F.col(f"`{c}`") for c in keep], (text if as_arrow else text.cast("binary")).alias("__text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = run()
         for batch in batches:
-            added = fn(batch.column(len(keep)).to_pylist())
+            added = fn(batch.column(len(keep)) if as_arrow else batch.column(len(keep)).to_pylist())
             fields = [batch.column(i) for i in range(len(keep))] + added
             yield pa.RecordBatch.from_arrays(fields, names=names)
     kept = ", ".join(f"`{c}` {dict(df.dtypes)[c]}" for c in keep)

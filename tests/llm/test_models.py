@@ -113,14 +113,23 @@ def test_word_contributions_give_the_linear_score():
     docs = ["the cat sat on the mat " * rng.randint(1, 3) for _ in range(20)] + ["der hund und die katze " * rng.randint(1, 3) for _ in range(20)]
     coded = []
     for d in docs:
-        rows, counts = np.unique(np.concatenate([LG.ngram_rows(t) for t in LG.tokens(d.encode())]), return_counts=True)
+        rows, counts = np.unique(LG.gram_rows(d.split())[0], return_counts=True)
         coded.append((rows, counts.astype(float)))
     model = LG.LanguageModel(["de", "en"]).fit(coded, np.array([1] * 20 + [0] * 20))
     frozen, w = model.frozen(), model.weights()
     assert (w == 0).mean() > 0.9
     for d, (rows, counts) in zip(docs, coded):
         logits = LG.SCALE * (counts / counts.sum() * model.idf[rows]) @ w[rows] + model.bias
-        got = np.sum([frozen.word(t) for t in LG.tokens(d.encode())], axis=0)
+        got = frozen.contributions(d.split()).sum(axis=0)
         assert np.allclose(got[:-1] / got[-1] + frozen.bias, logits)
         assert frozen.predict(got)[0] == ("en" if "cat" in d else "de")
     assert LG.FrozenModel([], np.zeros((0, 0)), np.zeros(0), 1.0).predict(np.array([1.0])) == ("und", 0.0)
+
+
+def test_grams_of_marked_runs():
+    rows, owner = LG.gram_rows(["ab-c1", "", "##", "é"])
+    # runs ab, c and é: three grams a letter and one more a run
+    assert np.bincount(owner, minlength=4).tolist() == [3 * 3 + 2, 0, 0, 4]
+    assert LG.gram_rows(["ab"])[0].tolist() == LG.gram_rows(["-ab"])[0].tolist()
+    assert set(LG.gram_rows(["ab"])[0]) & set(LG.gram_rows(["b"])[0])
+    assert LG.gram_rows([])[0].tolist() == []
