@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import fold
-from ladle.llm.texts import DistinctWords, hash32, map_texts
+from ladle.llm.texts import DistinctWords, hash32, map_texts, slices
 
 UNKNOWN = "und"
 TRAIN_PER_LANGUAGE = 1000
@@ -33,8 +33,6 @@ DIMS = 1 << 16
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.01
 EPOCHS = 3
 MIN_SCORE = 0.5
-#: texts whose words are scored together
-SCORE_ROWS = 2048
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _ALPHA = np.zeros(0, bool)
 
@@ -207,7 +205,7 @@ def predict(docs: DataFrame, model: FrozenModel, keep: list[str], text_col: str
             return [m.predict(x) for x in total[read.ends[1:]] - total[read.ends[:-1]]]
 
         def run(texts):
-            out = [x for at in range(0, len(texts), SCORE_ROWS) for x in part(texts.slice(at, SCORE_ROWS))]
+            out = [x for at, n in slices(texts) for x in part(texts.slice(at, n))]
             return [pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())]
         return run
     return map_texts(docs, text_col, keep, scorer, f"{lang_out} string, {score_out} double", as_arrow=True)

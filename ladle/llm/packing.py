@@ -4,7 +4,7 @@
    a written table, and with them, per task, in how many documents each id occurs.
 2. Those counts, summed over all documents, give BM25's inverse document frequencies.  They are
    bounded by the vocabulary, so the driver may hold and broadcast them.
-3. The table's tasks cut it into shards of ``SHARD_DOCS`` documents.  Each shard has its own inverted
+3. The table's tasks cut it into shards of ``SHARD_DOCS`` documents or ``SHARD_TOKENS`` ids.  Each shard has its own inverted
    index.  The first unused document seeds a window; the unused neighbours that the index returns,
    best first, fill it greedily.  A document that does not fit is cut, and its rest opens and seeds
    the next window, so windows are full.  What is left at the end of a shard is cut into powers
@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import scratch_table
-from ladle.llm.texts import DistinctWords, WordCache
+from ladle.llm.texts import DistinctWords, WordCache, slices
 
 WINDOW = 2048
 END_ID = 1
-SHARD_DOCS = 2048
+SHARD_DOCS, SHARD_TOKENS = 2048, 8 << 20
 QUERY_TERMS = 48
 K1, B = 1.2, 0.75
 TOKENIZER = "word_bpe_49k.json"
@@ -53,8 +53,6 @@ def default_tokenizer() -> str:
 _LATIN_WORD = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 #: cached parts of words (about 200 bytes each, with their ids)
 CACHE_PARTS = 600_000
-#: texts whose words are looked up together
-ENCODE_ROWS = 2048
 
 
 class Encoder:
@@ -123,8 +121,8 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         encoder = Encoder(tokenizer)
         counts = np.zeros(COUNTS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, ENCODE_ROWS):
-                part = batch.slice(at, ENCODE_ROWS)
+            for at, n in slices(batch.column(1)):
+                part = batch.slice(at, n)
                 ids = encoder.encode(part.column(1))
                 for x in ids:
                     counts[np.unique(x)] += 1
@@ -253,6 +251,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
         sequence = TaskContext.get().partitionId() << 33
         held_ids: list[np.ndarray] = []
         held_docs: list[int | None] = []
+        tokens_held = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence
@@ -271,8 +270,10 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held_ids.append(np.frombuffer(ids, "<u2"))
                 held_docs.append(doc_id)
-                if len(held_ids) >= shard_docs:
+                tokens_held += len(held_ids[-1])
+                if len(held_ids) >= shard_docs or tokens_held >= SHARD_TOKENS:
                     yield flush()
+                    tokens_held = 0
         if held_ids:
             yield flush()
     return tokens.select("doc_id", "ids").where(F.col("ids").isNotNull()).mapInArrow(task, ", ".join(f"`{c}` bigint" for c in names))

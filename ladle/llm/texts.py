@@ -32,6 +32,18 @@ class WordCache(dict):
         return value
 
 
+def slices(texts: pa.StringArray, rows: int = 2048, size: int = 16 << 20) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of at most ``rows`` texts and ``size`` bytes (a longer text is a run of its own)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + size, side="right"))
+        stop = min(max(stop, start + 1), start + rows)
+        yield start, stop - start
+        start = stop
+
+
 class DistinctWords:
     """Words between ASCII white space of an array of texts, each distinct one once.
 

@@ -96,6 +96,19 @@ def test_packing_round_trip(which, request):
     check_round_trip(docs.collect(), PK.pack_documents(docs, shard_docs=37).collect())
 
 
+def test_shards_are_bounded_by_tokens(edge_docs, monkeypatch):
+    monkeypatch.setattr(PK, "SHARD_TOKENS", 3000)
+    check_round_trip(edge_docs.collect(), PK.pack_documents(edge_docs).collect())
+
+
+def test_runs_of_texts_are_bounded():
+    from ladle.llm.texts import slices
+    texts = pa.array(["a" * 10, None, "b" * 100, "", "c" * 10, "d" * 10, "é" * 30])
+    assert list(slices(texts, rows=3, size=25)) == [(0, 2), (2, 1), (3, 3), (6, 1)]
+    assert list(slices(texts[2:], rows=2, size=1000)) == [(0, 2), (2, 2), (4, 1)]
+    assert list(slices(texts[:0])) == []
+
+
 def test_empty_table_packs_to_nothing(no_docs):
     assert PK.pack_documents(no_docs).count() == 0
 
