@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.jsondoc import (
-    _sql_drop_trailing_commas, _sql_fence_cut, as_text, get, kind, parse_tolerant, sql_as_text, sql_close_open_ctes,
+    _sql_drop_trailing_commas, _sql_fence_cut, as_text, kind, parse_tolerant, sql_as_text, sql_close_open_ctes,
     sql_kind, sql_kind_of, sql_parse_ok, sql_path_of,
 )
 from ladle.functions.text import is_blank, sql_is_blank, sql_outer_json, sql_str

@@ -9,7 +9,7 @@ from ladle.operators import pairing as P
 from ladle.operators import summary as S
 from ladle.operators.route import GOOD, outcome, sql_outcome
 from ladle.plans.catalog import register
-from ladle.plans.views import STYLE_PROMPTS, STYLES, STYLE_SEED, sql_style_case, style_bounds, table, v_blogs, v_records, v_times, with_views
+from ladle.plans.views import STYLE_PROMPTS, STYLES, STYLE_SEED, style_bounds, table, v_blogs, v_records, v_times, with_views
 
 _SQL_CATALOGUE = ("catalogue", " UNION ALL ".join(
     f"SELECT '{n}' AS style, {w} AS weight, {T.sql_text(STYLE_PROMPTS[n])} AS prompt, {lo} AS lo, {hi} AS hi" for n, w, lo, hi in style_bounds()))

@@ -1,7 +1,6 @@
 """Golden rows: inputs and expected outputs written out, independent of the rules' code on either side."""
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 from ladle.functions import jsondoc as J
