@@ -215,19 +215,20 @@ def supervised_spans(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Text is kept from the end of a ``<start_of_turn>model\n`` marker up to the
     next ``<start_of_turn>user\n`` marker; everything else, markers included,
-    is masked.  The text is cut before every ``<start_of_turn>`` (a lookahead, so
-    no character is lost), and one pass over the pieces carries whether the last
-    marker was a model's.  A conversation is one row, so nothing is shuffled.  One
-    row per segment: position, length, masked and kept characters.
+    is masked.  The text is cut before every user marker, and each of those chunks before
+    every ``<start_of_turn>`` (lookaheads, so no character is lost): inside a chunk everything
+    from its first model turn on is kept.  Each step binds its arrays once, so the work is
+    linear in the text, and a conversation is one row, so nothing is shuffled.  One row per
+    segment: position, length, masked and kept characters.
     """
-    def step(acc: Column, x: Column) -> Column:
-        is_model, is_user = x.startswith(MODEL_MARK), x.startswith(USER_MARK)
+    chunks = F.transform(F.split(F.col(text), f"(?={USER_MARK})"), lambda c: F.struct(F.split(c, f"(?={TURN_OPEN})").alias("segs")))
+    first = F.transform(chunks, lambda c: F.struct(
+        c["segs"].alias("segs"), F.array_position(F.transform(c["segs"], lambda x: x.startswith(MODEL_MARK)), True).alias("model")))
+
+    def segment(x: Column, i: Column, model: Column) -> Column:
         n = F.length(x)
-        masked = F.when(is_model, F.lit(len(MODEL_MARK))).when(is_user, n).when(acc["kept_on"], F.lit(0)).otherwise(n)
-        seg = F.struct(F.size(acc["out"]).cast("bigint").alias("seg"), n.cast("bigint").alias("length"),
-                       masked.cast("bigint").alias("masked"), (n - masked).cast("bigint").alias("kept"))
-        return F.struct((is_model | (acc["kept_on"] & ~is_user)).alias("kept_on"), F.array_append(acc["out"], seg).alias("out"))
-    empty = F.array().cast("array<struct<seg:bigint,length:bigint,masked:bigint,kept:bigint>>")
-    parts = F.split(F.col(text), f"(?={TURN_OPEN})")
-    spans = F.aggregate(parts, F.struct(F.lit(False).alias("kept_on"), empty.alias("out")), step)["out"]
-    return df.select(key, F.explode(spans).alias("s")).select(key, "s.*").filter(F.col("length") > 0)
+        masked = F.when(x.startswith(MODEL_MARK), F.lit(len(MODEL_MARK))).when((model > 0) & (i >= model), F.lit(0)).otherwise(n)
+        return F.struct(n.cast("bigint").alias("length"), masked.cast("bigint").alias("masked"), (n - masked).cast("bigint").alias("kept"))
+    spans = F.flatten(F.transform(first, lambda c: F.transform(c["segs"], lambda x, i: segment(x, i, c["model"]))))
+    return (df.select(key, F.posexplode(spans).alias("seg", "s"))
+              .select(key, F.col("seg").cast("bigint").alias("seg"), "s.length", "s.masked", "s.kept").filter(F.col("length") > 0))
