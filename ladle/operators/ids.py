@@ -69,9 +69,10 @@ def global_rank(df: DataFrame, order_cols, name: str = "pos", total: str | None
     return out.drop(*drop)
 
 
-def _with_group_start(ranked: DataFrame, group_cols: list[str], pos: str, value: str | None = None) -> DataFrame:
+def _with_group_start(ranked: DataFrame, group_cols: list[str], pos: str, value: str | None = None, size: str | None = None) -> DataFrame:
     """Add ``_start`` (global position of the row's group's first row) and, with
-    ``value``, ``_cum0`` (running total of ``_cum`` just before that row).
+    ``value``, ``_cum0`` (running total of ``_cum`` just before that row); with ``size``,
+    the number of rows of the row's group.
 
     Rows are range-partitioned and sorted by (group, order), so inside a
     partition a window finds each group's local start.  Only a group that
@@ -90,10 +91,14 @@ def _with_group_start(ranked: DataFrame, group_cols: list[str], pos: str, value:
     if value:
         d = d.withColumn("_lcum0", F.last(F.when(F.col("_gs"), F.col("_cum") - F.col(value)), ignorenulls=True).over(run))
     d = d.drop("_gs").withColumn("_g", g)
+    if size:
+        d = d.withColumn("_ln", F.count(F.lit(1)).over(Window.partitionBy("_pid", "_g")))
     aggs = [F.min_by("_g", pos).alias("_first_g"), F.min(pos).alias("_first_pos"),
             F.max_by("_g", pos).alias("_last_g"), F.max_by("_lstart", pos).alias("_last_start")]
     if value:
         aggs.append(F.max_by("_lcum0", pos).alias("_last_cum0"))
+    if size:
+        aggs += [F.min_by("_ln", pos).alias("_first_n"), F.max_by("_ln", pos).alias("_last_n")]
     edges = d.groupBy("_pid").agg(*aggs)
     # earliest start of every group that ends a partition (bounded: one row per partition)
     sagg = [F.min("_last_start").alias("_gstart")]
@@ -111,6 +116,13 @@ def _with_group_start(ranked: DataFrame, group_cols: list[str], pos: str, value:
     out = out.withColumn("_start", F.when(continues, F.col("_cstart")).otherwise(F.col("_lstart")))
     if value:
         out = out.withColumn("_cum0", F.when(continues, F.col("_ccum0")).otherwise(F.col("_lcum0")))
+    if size:
+        # only a partition's first and last group can go on elsewhere: two rows a partition
+        ends = edges.select(F.col("_first_g").alias("_eg"), F.col("_first_n").alias("_en")).union(
+            edges.filter(~F.col("_first_g").eqNullSafe(F.col("_last_g"))).select("_last_g", "_last_n"))
+        sizes = ends.groupBy("_eg").agg(F.sum("_en").alias("_en"))
+        out = out.join(F.broadcast(sizes), F.col("_g").eqNullSafe(F.col("_eg")), "left")
+        out = out.withColumn(size, F.coalesce("_en", "_ln")).drop("_eg", "_en", "_ln", "_first_n", "_last_n")
     return out.drop("_g", "_first_g", "_cstart", "_lstart", *(["_ccum0", "_lcum0"] if value else []))
 
 
@@ -128,8 +140,10 @@ def group_rank(df: DataFrame, group_cols: list[str], order_cols, name: str = "ra
 
 
 def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: str,
-                      rank: str = "rank", before: str = "sum_before", partitions: int | None = None) -> DataFrame:
-    """Rank within group plus the sum of ``value`` over the *earlier* rows of the group.
+                      rank: str = "rank", before: str = "sum_before", partitions: int | None = None,
+                      size: str | None = None) -> DataFrame:
+    """Rank within group plus the sum of ``value`` over the *earlier* rows of the group
+    (and, with ``size``, the group's row count).
 
     Prefix sums are global (per-partition totals, prefix-summed over the small
     partition table, then a window inside each range partition); the group's
@@ -145,7 +159,7 @@ def group_running_sum(df: DataFrame, group_cols: list[str], order_cols, value: s
     part_off = part_tot.select("_pid", F.coalesce(F.sum("_ptot").over(w_p), F.lit(0)).alias("_poff"))
     cum = (d.withColumn("_local", F.sum("_v").over(w_in)).join(F.broadcast(part_off), "_pid")
             .withColumn("_cum", F.col("_poff") + F.col("_local")))
-    out = _with_group_start(cum, list(group_cols), "_gpos", value="_v")
+    out = _with_group_start(cum, list(group_cols), "_gpos", value="_v", size=size)
     out = (out.withColumn(rank, F.col("_gpos") - F.col("_start") + 1)
               .withColumn(before, F.col("_cum") - F.col("_v") - F.col("_cum0")))
     return out.drop("_pid", "_gpos", "_start", "_v", "_local", "_poff", "_cum", "_cum0")

@@ -132,9 +132,7 @@ def running_eta(spark, sf_dir):
     Times are summed as decimals of nine places, so the running mean does not depend
     on summation order (and equals any other engine's bit for bit)."""
     t = v_times(spark, sf_dir).select("event_id", "run", "ts", F.col("seconds").cast("decimal(28,9)").alias("exact"))
-    r = group_running_sum(t, ["run"], ["ts", "event_id"], "exact", rank="i", before="_before")
-    sizes = t.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    r = r.join(sizes, "run")
+    r = group_running_sum(t, ["run"], ["ts", "event_id"], "exact", rank="i", before="_before", size="n")
     prev = F.when(F.col("i") > 1, F.col("_before").cast("double") / (F.col("i") - 1).cast("double"))
     return r.select("event_id", "run", "i", "n", prev.alias("prev_mean"),
                     (prev * (F.col("n") - F.col("i") + 1)).alias("eta"))

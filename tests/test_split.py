@@ -117,5 +117,7 @@ def test_group_helpers_across_many_partitions(spark):
               .withColumn("b", F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     got_r = group_rank(df, ["g"], ["id"], name="r", partitions=16)
     assert got_r.select("id", "r").exceptAll(want.select("id", "r")).count() == 0
-    got_s = group_running_sum(df, ["g"], ["id"], "v", rank="r", before="b", partitions=16)
-    assert got_s.select("id", "r", "b").exceptAll(want.select("id", "r", "b")).count() == 0
+    got_s = group_running_sum(df, ["g"], ["id"], "v", rank="r", before="b", partitions=16, size="n")
+    want = want.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    assert got_s.count() == 4000
+    assert got_s.select("id", "r", "b", "n").exceptAll(want.select("id", "r", "b", "n")).count() == 0
