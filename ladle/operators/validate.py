@@ -24,7 +24,7 @@ from ladle.functions.text import is_blank, sql_is_blank, sql_outer_json, sql_str
 REQUIRED_FIELDS = ["@context", "@type", "name"]
 OPTIONAL_FIELDS = ["description", "prepTime", "cookTime", "totalTime", "recipeYield", "recipeCategory",
                    "recipeCuisine", "keywords", "recipeIngredient", "recipeInstructions"]
-# Order in which per-field rules run.
+# The rule of each field, in the order in which messages appear.
 RULE_ORDER = [("context", "@context"), ("type", "@type"), ("string", "name"), ("string", "description"),
               ("ingredients", "recipeIngredient"), ("instructions", "recipeInstructions"),
               ("duration", "prepTime"), ("duration", "cookTime"), ("duration", "totalTime"),

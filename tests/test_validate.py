@@ -4,6 +4,7 @@ import json
 
 from ladle.operators.validate import validate
 
+# The optional fields in the order in which a warning names them.
 OPTIONAL = ("description, prepTime, cookTime, totalTime, recipeYield, recipeCategory, recipeCuisine, keywords, "
             "recipeIngredient, recipeInstructions")
 
@@ -21,13 +22,26 @@ def run(spark, texts):
     return {r.id: r for r in validate(df, "j").collect()}
 
 
-def test_full_minimal_unclosed(spark):
-    minimal = '{\n "@context": "https://schema.org",\n "@type": "Recipe",\n "name": "Plain"\n}'
-    unclosed = minimal[:-1]
-    r = run(spark, [json.dumps(FULL, indent=2), minimal, unclosed])
-    assert r[0].is_valid and r[0].errors == [] and r[0].warnings == [] and r[0].outcome == "ok"
-    assert r[1].is_valid and r[1].errors == [] and r[1].warnings == [f"Missing optional fields: {OPTIONAL}"]
-    assert r[2].outcome == "repaired" and r[2].is_valid and r[2].warnings == r[1].warnings
+def test_optional_fields_are_named_in_order(spark):
+    """From the rule: a warning lists every optional key that is not there, in declared order, present or not null."""
+    names = OPTIONAL.split(", ")
+    docs = [{k: v for k, v in FULL.items() if k not in names[:n]} for n in range(len(names) + 1)]
+    r = run(spark, [json.dumps(d) for d in docs] + [json.dumps({**FULL, **dict.fromkeys(names)})])
+    for n in range(len(names) + 1):
+        assert r[n].is_valid and r[n].errors == []
+        assert r[n].warnings == ([f"Missing optional fields: {', '.join(names[:n])}"] if n else [])
+    assert r[len(docs)].is_valid and r[len(docs)].warnings == []
+
+
+def test_cut_documents_are_repaired_at_every_bracket(spark):
+    """From the repair rule: cut after any value, a document keeps what stands before the cut."""
+    whole = json.dumps(FULL)
+    cuts = [i + 1 for i, c in enumerate(whole) if c in "}]" or whole[i:i + 3] == '", ']
+    for cut, row in zip(cuts, run(spark, [whole[:c] for c in cuts]).values()):
+        assert row.outcome == ("ok" if cut == len(whole) else "repaired"), whole[:cut]
+        kept = json.loads(row.json_text)
+        assert list(kept) == list(FULL)[:len(kept)]
+        assert all(kept[k] == FULL[k] for k in list(kept)[:-1])  # the last value may be cut inside its list
 
 
 def test_rules(spark):
