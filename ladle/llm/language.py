@@ -223,5 +223,5 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str =
                     lang_col: str = "lang") -> DataFrame:
     """The documents with a predicted language of at least ``min_score``, with their columns."""
     model = train(docs, id_col, text_col, lang_col)
-    scored = predict(docs.withColumn("__copy", F.col(f"`{text_col}`")), model, list(docs.columns), "__copy", "__lang", "__sure")
+    scored = predict(docs, model, list(docs.columns), text_col, "__lang", "__sure")
     return scored.where((F.col("__lang") != UNKNOWN) & (F.col("__sure") >= min_score)).drop("__lang", "__sure")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.llm.common import scratch_table
-from ladle.llm.texts import DistinctWords, WordCache, slices
+from ladle.llm.texts import DistinctWords, WordCache, slices, small_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -240,6 +240,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
     spark = docs.sparkSession
+    small_batches(spark)
     tokens = scratch_table(tokenize(docs, tokenizer or default_tokenizer(), id_col, text_col), "pack-tokens")
     counts = document_counts(tokens)
     n, mean_length = int(counts[-2]), float(counts[-1]) / max(1, int(counts[-2]))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.llm.common import fold
@@ -66,26 +66,34 @@ def hash32(data: bytes, seed: int = 0) -> int:
     return xxhash.xxh32_intdigest(data, seed)
 
 
+def small_batches(spark: SparkSession, rows: int = 2048) -> None:
+    """At most so many rows in an Arrow batch from now on: a batch of whole documents is MBs, not a few KB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_texts(df: DataFrame, text_col: str, keep: list[str], run: Callable, schema: str, as_arrow: bool = False) -> DataFrame:
     """Arrow batches of (keep..., text) through ``run(texts) -> list of arrays``.
 
     ``run`` is made once per task by calling the given factory; its arrays follow
     the kept columns.  Texts reach it as a list of bytes (null: None), or with ``as_arrow``
-    as a string array.
+    as a string array.  A text column that is kept travels once.
     """
-    text = F.col(f"`{text_col}`")
-    source = df.select(*[F.col(f"`{c}`") for c in keep], (text if as_arrow else text.cast("binary")).alias("__text"))
+    small_batches(df.sparkSession)
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    sent = keep if text_col in keep else [*keep, text_col]
+    types = dict(df.dtypes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = run()
         for batch in batches:
-            added = fn(batch.column(len(keep)) if as_arrow else batch.column(len(keep)).to_pylist())
-            fields = [batch.column(i) for i in range(len(keep))] + added
-            yield pa.RecordBatch.from_arrays(fields, names=names)
-    kept = ", ".join(f"`{c}` {dict(df.dtypes)[c]}" for c in keep)
-    out_schema = f"{kept}, {schema}" if keep else schema
+            texts = batch.column(at)
+            added = fn(texts if as_arrow else texts.cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + added, names=names)
+    out_schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [schema])
     names = [f.name for f in df.sparkSession.createDataFrame([], out_schema).schema.fields]
-    return source.mapInArrow(task, out_schema)
+    return df.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(task, out_schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int, per_class: int,
