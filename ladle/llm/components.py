@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ladle.llm.common import scratch_table
 
 
+#: edges a task writes, by the count of the round before
+EDGES_A_TASK = 100_000
 #: nodes whose smallest neighbour may be broadcast (two numbers each)
 MAX_BROADCAST_NODES = 1_000_000
 
@@ -47,4 +49,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
         mark = (seen["n"], seen["h"])
         small = 2 * seen["n"] <= MAX_BROADCAST_NODES
-        now = scratch_table(_small_star(scratch_table(_large_star(now, small), name), small).where("a <> b").distinct(), name)
+        tasks = 1 + 2 * seen["n"] // EDGES_A_TASK  # a round does not add edges, so a few full files instead of many empty ones
+        large = scratch_table(_large_star(now, small).coalesce(tasks), name)
+        now = scratch_table(_small_star(large, small).where("a <> b").distinct().coalesce(tasks), name)

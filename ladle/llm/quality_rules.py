@@ -28,7 +28,7 @@ WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS, SAMPLE_PARTS = 4000, 8
 POSITION_BITS = 20
 
 # name -> condition that rejects; columns: text, words (array), n_words, word_chars, n_symbols, n_dup_lines
@@ -129,8 +129,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     rules = RULES if rules is None else rules
     counts = with_base_counts(docs, id_col, text_col)
     n = docs.count()
-    sample = scratch_table(with_base_counts(docs.sample(fraction=min(1.0, sample_rows / max(n, 1)), seed=seed), id_col, text_col),
-                           "rule-sample")
+    drawn = docs.sample(fraction=min(1.0, sample_rows / max(n, 1)), seed=seed).repartition(SAMPLE_PARTS)
+    sample = scratch_table(with_base_counts(drawn, id_col, text_col), "rule-sample")
     order = order_rules(estimate(sample, rules))
     failed = counts.withColumn("base_failed", base_failed())
     rejected = F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(order, rules))
