@@ -52,7 +52,7 @@ def default_tokenizer() -> str:
 #: a word of Latin letters and then ASCII punctuation: the tokenizer cuts it there, and lower-cases it
 _LATIN_WORD = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 #: cached parts of words (about 200 bytes each, with their ids)
-CACHE_PARTS = 600_000
+CACHE_PARTS = 300_000
 
 
 class Encoder:

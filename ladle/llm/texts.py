@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ladle.llm.common import fold
 
 #: entries of a per-worker word cache and longest word kept in it: bounds memory, not results
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 CACHE_WORD_BYTES = 40
 
 
