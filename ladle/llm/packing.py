@@ -4,17 +4,21 @@
    a written table, and with them, per task, in how many documents each id occurs.
 2. Those counts, summed over all documents, give BM25's inverse document frequencies.  They are
    bounded by the vocabulary, so the driver may hold and broadcast them.
-3. The table's tasks cut it into shards of ``SHARD_DOCS`` documents or ``SHARD_TOKENS`` ids.  Each shard has its own inverted
+3. A shuffle brings lexical neighbours of all documents together: a document's BM25 weights are
+   projected to ``SKETCH`` numbers, compared with those of sampled anchor documents, and the table is
+   range-partitioned by the nearest and the second nearest anchor (in an order that puts similar
+   anchors side by side) and then by row, so that a common key is spread over partitions.
+4. Its tasks cut that order into shards of ``SHARD_DOCS`` documents or ``SHARD_TOKENS`` ids.  Each shard has its own inverted
    index.  The first unused document seeds a window; the unused neighbours that the index returns,
    best first, fill it greedily.  A document that does not fit is cut, and its rest opens and seeds
    the next window, so windows are full.  What is left at the end of a shard is cut into powers
    of two, which need no padding.
 
 A retrieval asks for the seed's ``QUERY_TERMS`` heaviest terms; when no neighbour is left among them,
-the next unused document in table order follows, so every id lands in exactly one piece.
+the next unused document of the shard follows, so every id lands in exactly one piece.
 
 Defined cases: a null text counts as empty, an empty text is the end id alone; repeated rows and
-repeated or null ids are packed as documents of their own; ties in BM25 go by table order; a
+repeated or null ids are packed as documents of their own; ties in BM25 go by the order in the shard; a
 document longer than a shard is cut like any other; empty tables give no rows.
 """
 
@@ -38,6 +42,8 @@ WINDOW = 2048
 END_ID = 1
 SHARD_DOCS, SHARD_TOKENS = 2048, 8 << 20
 QUERY_TERMS = 48
+#: anchors a shard's worth of documents, most anchors in all, numbers in a sketch, documents sketched at once
+SHARD_ANCHORS, ANCHORS, SKETCH, SKETCHED = 8, 4096, 128, 512
 K1, B = 1.2, 0.75
 TOKENIZER = "word_bpe_49k.json"
 #: one count per possible 16-bit id, then rows, then tokens
@@ -151,14 +157,82 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
     return out
 
 
+def bm25(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of a document and their BM25 weights."""
+    terms, tf = np.unique(ids, return_counts=True)
+    return terms, idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length))
+
+
+_directions: list[np.ndarray] = []
+
+
+def sketches(docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> np.ndarray:
+    """A random projection of each document's BM25 weights, of length 1 (0 without weights)."""
+    if not _directions:  # once per worker
+        _directions.append(np.random.default_rng(31).standard_normal((1 << 16, SKETCH), np.float32))
+    out = np.zeros((len(docs), SKETCH), np.float32)
+    for k, ids in enumerate(docs):
+        terms, w = bm25(ids, idf, mean_length)
+        out[k] = w.astype(np.float32) @ _directions[0][terms]
+    size = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return out / np.where(size > 0, size, 1)
+
+
+def side_by_side(x: np.ndarray) -> np.ndarray:
+    """An order of the rows that keeps similar ones close: halves along the main direction, again and again."""
+    if len(x) <= 2:
+        return np.arange(len(x))
+    centred = x - x.mean(axis=0)
+    along = np.linalg.eigh(centred.T @ centred)[1][:, -1]
+    order = np.argsort(centred @ along, kind="stable")
+    left, right = np.split(order, [len(order) // 2])
+    return np.concatenate([left[side_by_side(x[left])], right[side_by_side(x[right])]])
+
+
+def anchors(ids: DataFrame, idf, mean_length: float, n: int, shard_docs: int) -> np.ndarray:
+    """Sketches of sampled distinct documents, similar ones side by side (at most about ANCHORS)."""
+    share = min(1.0, min(ANCHORS, max(1, SHARD_ANCHORS * n // shard_docs)) / max(1, n))
+    draw = F.xxhash64("ids").alias("draw")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = sketches([np.frombuffer(i, "<u2") for i in batch.column(1).to_pylist()], idf.value, mean_length)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["draw", "sketch"])
+    drawn = ids.select(draw, "ids").where(F.pmod("draw", F.lit(1_000_000)) < 1e6 * share).mapInArrow(task, "draw bigint, sketch binary")
+    found = [r["sketch"] for r in drawn.groupBy("draw").agg(F.first("sketch").alias("sketch")).orderBy("draw").collect()]
+    x = np.frombuffer(b"".join(found), np.float32).reshape(-1, SKETCH)
+    return x[side_by_side(x)] if len(x) else np.zeros((1, SKETCH), np.float32)
+
+
+def neighbours_together(ids: DataFrame, idf, mean_length: float, n: int, shard_docs: int) -> DataFrame:
+    """(doc_id, ids) of all documents in partitions and an order that hold lexical neighbours together."""
+    at = ids.sparkSession.sparkContext.broadcast(anchors(ids, idf, mean_length, n, shard_docs))  # at most about ANCHORS rows
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("first", pa.int32()), ("second", pa.int32()), ("row", pa.int64())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for whole in batches:
+            for k in range(0, len(whole), SKETCHED):
+                batch = whole.slice(k, SKETCHED)
+                x = sketches([np.frombuffer(i, "<u2") for i in batch.column(1).to_pylist()], idf.value, mean_length) @ at.value.T
+                first = x.argmax(axis=1)
+                x[np.arange(len(x)), first] = -np.inf
+                key = [pa.array(first, pa.int32()), pa.array(x.argmax(axis=1), pa.int32()), pa.array(np.arange(row, row + len(x)), pa.int64())]
+                row += len(x)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *key], schema=schema)
+    # written, as the range bounds are sampled from it
+    keyed = scratch_table(ids.mapInArrow(task, "doc_id bigint, ids binary, first int, second int, row bigint"), "pack-keyed")
+    key = ["first", "second", "row"]
+    return keyed.repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "ids")
+
+
 class Index:
     """BM25 inverted index of one shard: postings by id, with the shard-independent weights of all documents."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.terms, weights, owner, self.query = [], [], [], []
         for d, ids in enumerate(docs):
-            terms, tf = np.unique(ids, return_counts=True)
-            w = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length))
+            terms, w = bm25(ids, idf, mean_length)
             top = np.argsort(-w, kind="stable")[:QUERY_TERMS]
             self.query.append(terms[top])
             self.terms.append(terms)
@@ -277,4 +351,5 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
                     tokens_held = 0
         if held_ids:
             yield flush()
-    return tokens.select("doc_id", "ids").where(F.col("ids").isNotNull()).mapInArrow(task, ", ".join(f"`{c}` bigint" for c in names))
+    ids = neighbours_together(tokens.select("doc_id", "ids").where(F.col("ids").isNotNull()), idf, mean_length, n, shard_docs)
+    return ids.mapInArrow(task, ", ".join(f"`{c}` bigint" for c in names))

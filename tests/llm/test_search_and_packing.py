@@ -138,3 +138,22 @@ def test_neighbours_are_ranked_by_bm25():
     got = index.neighbours(7)
     assert set(got) == set(np.flatnonzero(scores > 0))
     assert np.all(np.diff(scores[got]) <= 1e-4)
+
+
+@pytest.mark.parametrize("layout", ["apart", "together"])
+def test_neighbours_come_from_all_partitions(spark, layout):
+    rng = np.random.default_rng(3)
+    vocab = [a + b + c for a in "bdfgklmnpr" for b in "aeiou" for c in ["st", "nd", "rk", "lt", "m", "x"]]
+    rows = []
+    for i in range(1200):
+        topic = i % 30 if layout == "apart" else i // 40
+        own = [vocab[10 * topic + k] for k in rng.integers(0, 10, 24)]
+        rows.append((i, topic, " ".join(own + [str(w) for w in rng.choice(["the", "and", "of", "to"], 12)])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, topic int, text string").repartitionByRange(6, "doc_id")
+    packed = PK.pack_documents(docs, window=256, shard_docs=100).collect()
+    check_round_trip(docs.collect(), packed, window=256)
+    topic_of, windows = {r[0]: r[1] for r in rows}, defaultdict(list)
+    for r in packed:
+        windows[r["sequence_id"]].append((r["offset"], topic_of[r["doc_id"]]))
+    others = [t == min(w)[1] for w in windows.values() for o, t in w if o]
+    assert len(others) > 600 and np.mean(others) > 0.75
