@@ -1,10 +1,10 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 A document's set is its distinct 5-word shingles.  Two documents are linked if their sets'
-intersection is at least 85 % of their union; groups are the connected components of the links.
+intersection is at least ``percent`` (85 in op3, 80 in ``drop_near_duplicates``) of their union; groups are the connected components of the links.
 
 1. One pass over the texts: shingles as 64-bit hashes, a 128-bit key of the whole set, a MinHash
-   signature of BANDS x ROWS values and one hash per band.  Written once, without texts.
+   signature of ``bands_for(percent)`` x ROWS values and one hash per band.  Written once, without texts.
 2. Documents with the same set form a class.  Only classes go on, so copies cost nothing more.
 3. Classes that share a band hash are candidates.  A bucket only yields edges from its members to
    its smallest one; the components of those edges are families, which hold all candidate pairs.
@@ -16,8 +16,9 @@ intersection is at least 85 % of their union; groups are the connected component
    need no test, and only links leave the group: at most one fewer than it has members.
 5. Components of the links.
 
-Chosen miss probabilities: banding misses a pair at exactly 85 % with (1 - 0.85^ROWS)^BANDS, below
-1e-6 (far less above it), and pruning adds at most MISS per batch.
+Chosen miss probabilities: banding misses a pair at exactly the threshold t with (1 - t^ROWS)^bands;
+there are as many bands as bring that below BAND_MISS (24 at 85 %, 35 at 80 %; far less is missed
+above the threshold), and pruning adds at most MISS per batch.
 
 Defined cases: null, empty and blank texts have empty sets, are linked with nothing and stay; texts
 of fewer than five words are one shingle; a document's component id is the smallest doc_id it
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,9 @@ from ladle.llm.components import components
 from ladle.llm.texts import WordCache, map_texts, word_ids
 
 SHINGLE = 5
-PERCENT = 85
+PERCENT, KEEP_PERCENT = 85, 80
 BANDS, ROWS = 24, 5
+BAND_MISS = 1e-6
 HASHES = BANDS * ROWS
 BATCH_HASHES = 24
 MISS = 1e-8
@@ -63,6 +66,22 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _SHIFT = np.uint64(32)
 
 
+def bands_for(percent: int) -> int:
+    """Fewest bands that miss a pair at exactly the threshold with a probability below BAND_MISS."""
+    return math.ceil(math.log(BAND_MISS) / math.log1p(-(percent / 100) ** ROWS))
+
+
+@cache
+def _hashing(bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors of the permutations, and factors and seeds of the bands; those beyond BANDS have a generator of their own."""
+    extra = max(0, bands - BANDS)
+    rng = np.random.default_rng(2025)
+    factors = rng.integers(1, 1 << 63, (extra * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    band = rng.integers(1, 1 << 63, (extra, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    seed = rng.integers(1, 1 << 63, extra, dtype=np.uint64)
+    return (np.concatenate([_FACTORS, factors])[:bands * ROWS], np.concatenate([_BAND, band])[:bands], np.concatenate([_BAND_SEED, seed])[:bands])
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _SHIFT)) * _MIX
     return x ^ (x >> _SHIFT)
@@ -81,11 +100,12 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each of HASHES permutations, upper 32 bits."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+def signature(shingles: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """The smallest value of each of bands x ROWS permutations, upper 32 bits."""
+    factors = _hashing(bands)[0]
+    least = np.full(bands * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), CHUNK):
-        np.minimum(least, (_FACTORS * shingles[at:at + CHUNK]).min(axis=1), out=least)
+        np.minimum(least, (factors * shingles[at:at + CHUNK]).min(axis=1), out=least)
     return least >> _SHIFT
 
 
@@ -93,8 +113,9 @@ def _hashed_words(cache: WordCache, text: bytes | None) -> np.ndarray:
     return word_ids(cache, (text or b"").lower().split(), np.uint64)  # bytes: only A-Z change, only ASCII spaces split
 
 
-def _sign(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+def _sign(docs: DataFrame, keep: list[str], text_col: str, n_bands: int = BANDS) -> DataFrame:
     def signer():
+        _, factors, seeds = _hashing(n_bands)
         cache = WordCache(xxhash.xxh64_intdigest)
 
         def run(texts):
@@ -103,9 +124,9 @@ def _sign(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
                 s = shingle_set(_hashed_words(cache, t))
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                least.append(signature(s))
-            sig = np.array(least, np.uint64).reshape(len(texts), HASHES)
-            bands = _mixed((sig.reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + _BAND_SEED).astype(np.int64)
+                least.append(signature(s, n_bands))
+            sig = np.array(least, np.uint64).reshape(len(texts), n_bands * ROWS)
+            bands = _mixed((sig.reshape(-1, n_bands, ROWS) * factors).sum(axis=2, dtype=np.uint64) + seeds).astype(np.int64)
             short = sig.astype(np.uint8)
             return [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(list(bands), pa.list_(pa.int64())),
                     pa.array([x.tobytes() for x in short], pa.binary())]
@@ -126,16 +147,21 @@ def least_matches(hashes: int, threshold: float, miss: float = MISS) -> int:
     return hashes
 
 
-#: bytes of a signature: two values may share their low byte by chance, which the threshold allows for
-THRESHOLD = PERCENT / 100 + (1 - PERCENT / 100) / 256
-_LEAST = {n: least_matches(n, THRESHOLD) for n in range(BATCH_HASHES, HASHES + 1, BATCH_HASHES)}
+@cache
+def _least(percent: int) -> dict[int, int]:
+    """Fewest matches that keep a pair alive, after each batch of signature values.
+
+    Values are bytes of a signature: two may share their low byte by chance, which the threshold allows for.
+    """
+    threshold, hashes = percent / 100 + (1 - percent / 100) / 256, bands_for(percent) * ROWS
+    return {n: least_matches(n, threshold) for n in [*range(BATCH_HASHES, hashes, BATCH_HASHES), hashes]}
 
 
-def survivors(sig: np.ndarray, others: np.ndarray) -> np.ndarray:
+def survivors(sig: np.ndarray, others: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Positions in ``others`` whose signatures survive the batch-wise comparison with ``sig``."""
-    alive, matches = np.arange(len(others)), np.zeros(len(others), int)
-    for stop, least in _LEAST.items():
-        batch = slice(stop - BATCH_HASHES, stop)
+    alive, matches, start = np.arange(len(others)), np.zeros(len(others), int), 0
+    for stop, least in _least(percent).items():
+        batch, start = slice(start, stop), stop
         matches = matches + (others[alive, batch] == sig[batch]).sum(axis=1)
         left = matches >= least
         alive, matches = alive[left], matches[left]
@@ -145,11 +171,12 @@ def survivors(sig: np.ndarray, others: np.ndarray) -> np.ndarray:
 class _Group:
     """Members of one or two blocks of a family, and the tests between them."""
 
-    def __init__(self, rows: list[tuple[int, int, int, bytes, np.ndarray, bytes]]):
+    def __init__(self, rows: list[tuple[int, int, int, bytes, np.ndarray, bytes]], percent: int = PERCENT):
+        self.percent = percent
         self.block = np.array([r[0] for r in rows])
         self.cid = np.array([r[1] for r in rows])
         self.size = np.array([r[2] for r in rows])
-        self.sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, HASHES)
+        self.sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
         self.bands = np.stack([r[4] for r in rows])
         shingles = np.frombuffer(b"".join(r[5] for r in rows), np.uint64)
         owner = np.repeat(np.arange(len(rows)), self.size)
@@ -173,13 +200,13 @@ class _Group:
             later = np.arange(a + 1, len(self.cid)) if within else np.flatnonzero(self.block > self.block[a])
             later = later[part[later] != part[a]]
             n = self.size[later]
-            later = later[100 * np.minimum(n, self.size[a]) >= PERCENT * np.maximum(n, self.size[a])]
+            later = later[100 * np.minimum(n, self.size[a]) >= self.percent * np.maximum(n, self.size[a])]
             later = later[(self.bands[later] == self.bands[a]).any(axis=1)]
-            later = later[survivors(self.sig[a], self.sig[later])]
+            later = later[survivors(self.sig[a], self.sig[later], self.percent)]
             if not len(later):
                 continue
             common = self.common(a)[later]
-            for b in later[100 * common >= PERCENT * (self.size[later] + self.size[a] - common)]:
+            for b in later[100 * common >= self.percent * (self.size[later] + self.size[a] - common)]:
                 if part[a] != part[b]:
                     part[part == part[b]] = part[a]
                     out.append((int(self.cid[a]), int(self.cid[b])))
@@ -207,7 +234,7 @@ def _families(classes: DataFrame) -> DataFrame:
         F.col("node").alias("cid"), F.col("label").alias("family"))
 
 
-def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified links that connect every pair of linked classes of a family."""
     members = scratch_table(classes.join(_families(classes), "cid"), "dedup-members")
     blocks = members.groupBy(F.col("family").alias("f")).agg(F.greatest(
@@ -224,11 +251,11 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         key, rows = None, []
 
         def tested() -> pa.RecordBatch:
-            found = _Group(rows).links(within=key[1] == key[2]) if len(rows) > 1 else []
+            found = _Group(rows, percent).links(within=key[1] == key[2]) if len(rows) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(7)] + [batch.column(8).to_pylist()]
-            bands = batch.column(7).values.to_numpy().reshape(-1, BANDS)
+            bands = batch.column(7).values.to_numpy().reshape(-1, bands_for(percent))
             for k, (family, i, j, block, cid, size, sig, shingles) in enumerate(zip(*columns)):
                 if (family, i, j) != key:
                     if rows:
@@ -240,21 +267,21 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(task, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(documents with th, n_shingles, key; classes with component_id and the one document that stays).
 
     Both are written tables: the first has a row per document, the second one per distinct set.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    signed = scratch_table(_sign(source, ["doc_id", "th"], "text"), "dedup-signed")
+    signed = scratch_table(_sign(source, ["doc_id", "th"], "text", bands_for(percent)), "dedup-signed")
     # any row of a set will do, as all of them have its bands and signature; the smallest id stands for it
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
     sets = (signed.where("n_shingles > 0").groupBy("key", "n_shingles")
                   .agg(first.alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     classes = scratch_table(sets.select(F.monotonically_increasing_id().alias("cid"), "key", "n_shingles", F.col("rep.doc_id").alias("doc_id"),
                                         F.col("rep.th").alias("th"), "bands", "sig"), "dedup-classes")
-    labels = scratch_table(components(scratch_table(_links(classes, source), "dedup-links")), "dedup-labels")
+    labels = scratch_table(components(scratch_table(_links(classes, source, percent), "dedup-links")), "dedup-labels")
     named = classes.select("cid", "key", "doc_id", "th").join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid"))
     # the smallest id of a component, and the document that carries it
     heads = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("head"))
@@ -271,9 +298,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = KEEP_PERCENT) -> DataFrame:
     """One document of each group, and every document without shingles, with their columns."""
-    rows, classes = near_duplicates(docs, id_col, text_col)
+    rows, classes = near_duplicates(docs, id_col, text_col, percent)
     stays = classes.select(F.col("component_id").alias("__id"), F.col("head_th").alias("__th")).distinct()
     empty = rows.where("n_shingles = 0").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
     stays = scratch_table(stays.union(empty), "dedup-stays")

@@ -119,3 +119,16 @@ def test_components_of_chains_and_stars(spark):
     rng.shuffle(edges)
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 3000: 0, **{k: 1000 for k in range(1000, 1100)}}
+
+
+def test_the_pipeline_drops_at_80_percent(spark):
+    def edited(n, at, mark):
+        return " ".join(f"x{mark}" if k in at else f"{mark}w{k}" for k in range(n))
+    # similarity 106/126, exactly 40/50, and 101/131
+    pairs = [(120, (30, 80)), (49, (20,)), (120, (20, 60, 100))]
+    rows = [(10 * i + k, edited(n, at if k else (), f"d{i}")) for i, (n, at) in enumerate(pairs) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in ND.drop_near_duplicates(docs).collect()) == [0, 10, 20, 21]
+    assert all(r["kept"] for r in ND.deduplicate(docs).collect())  # op3 stays at 85 %
+    assert (ND.bands_for(85), ND.bands_for(80)) == (ND.BANDS, 35)
+    assert (1 - 0.8 ** ND.ROWS) ** ND.bands_for(80) < 1e-6
