@@ -133,3 +133,31 @@ def test_grams_of_marked_runs():
     assert LG.gram_rows(["ab"])[0].tolist() == LG.gram_rows(["-ab"])[0].tolist()
     assert set(LG.gram_rows(["ab"])[0]) & set(LG.gram_rows(["b"])[0])
     assert LG.gram_rows([])[0].tolist() == []
+
+
+def test_thresholds_do_not_depend_on_the_class_mix_of_the_sample():
+    rng = np.random.default_rng(6)
+    n = {0: 40_000, 1: 5_000}
+    y = np.repeat([0.0, 1.0], [n[0], n[1]])
+    p = TX.sigmoid(rng.standard_normal(len(y)) + 2.0 * y - 1.0)
+    language = rng.integers(0, 2, len(y))
+    capped = np.concatenate([rng.choice(np.flatnonzero(y == c), 4000, replace=False) for c in (0, 1)])
+
+    def knots(at, weight=None):
+        cnn = TX.TextCNN()
+        cnn._calibrate(p[at], language[at], y[at], weight)
+        return np.array([cnn.knots[k][0] for k in (0, 1)])
+    every = knots(np.arange(len(y)))
+    weighted = knots(capped, np.array([n[int(c)] / 4000 for c in y[capped]]))
+    assert np.all(np.abs(weighted - every) < 0.08)
+    assert np.all(every - knots(capped) > 0.15)  # 50/50 rows ask for a looser threshold
+
+
+def test_calibration_rows_stand_for_all_rows_of_their_class(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i % 7} " + ("bad" if i % 8 == 0 else "good")) for i in range(600)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(600)], "doc_id bigint, toxic int")
+    usable = Counter(int(i % 8 == 0) for i in range(600) if not held_out(i, 4, 2))
+    seen = []
+    monkeypatch.setattr(TX.TextCNN, "_calibrate", lambda self, p, language, y, weight=None: seen.extend(zip(y, weight)))
+    TX.train(docs, labels, per_class=100)
+    assert {int(c): w for c, w in seen} == {0: usable[0] / 100, 1: 1.0}
