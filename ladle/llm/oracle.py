@@ -9,12 +9,17 @@ from __future__ import annotations
 from ladle.llm.license_scan import BASE_PHRASES, TEMPLATES, THRESHOLD, need
 from ladle.llm.mixing import CHUNK
 from ladle.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS
+from ladle.llm.url_filter import BINS, CALIBRATION, MAX_BIN, MILLION, ORDER, RULES
 
 _A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _lowered(text: str) -> str:
+    return f"translate({text}, {_A_TO_Z})"
+
+
 def _list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -120,3 +125,108 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, le
       FROM ok q JOIN ok c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % {every} = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, byte by byte over a table of 256 (in ``crc_table``)."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), "
+            f"lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _edited(state: str, cost: str, letter: str) -> str:
+    """A path (ten digits of cost, then its edits) with one more edit."""
+    return f"(lpad(CAST(CAST(left({state}, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({state}, 11) || {letter})"
+
+
+def conversation_repair() -> str:
+    """Row by row, the least (cost, edits) of each state as one text, in a recursive query."""
+    u1 = f"least(u, {_edited('e', '2', chr(39) + 'I' + chr(39))}, {_edited('s', '2', chr(39) + 'I' + chr(39))}, {_edited('a', '2', chr(39) + 'I' + chr(39))})"
+    kept = lambda c: f"CASE WHEN f.initial = '{c}' THEN 0 ELSE 2 END + f.cut"
+    letter = lambda c: f"CASE WHEN f.initial = '{c}' THEN 'K' ELSE 'R' END"
+    into_u = ", ".join(_edited("x." + s, kept("u"), letter("u")) for s in ("e", "s", "a1"))
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table),
+ids AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM (SELECT DISTINCT conv_id FROM conversations)),
+hit AS (SELECT i.k, c.turn, coalesce(c.role, ' ') AS role, coalesce(c.text, ' ') AS text,
+         {_crc32("coalesce(CAST(c.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(c.turn AS VARCHAR), ' ')")} % 20 AS kind
+       FROM conversations c JOIN ids i ON c.conv_id IS NOT DISTINCT FROM i.conv_id CROSS JOIN crc),
+damaged AS (SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE kind <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS printed FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY n) > 1 AS again FROM numbered),
+faults AS (SELECT k, n, turn, role, text, left(role, 1) AS initial, printed = '' AS blank, printed <> '' AND again AS duplicate,
+         CASE WHEN printed <> '' AND NOT again AND right(printed, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY k ORDER BY n) AS earlier FROM seen),
+counts AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, sum(cut) AS truncated,
+         count(*) FILTER (WHERE earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS last
+       FROM faults GROUP BY k),
+walk AS (
+  SELECT k, CAST(0 AS BIGINT) AS n, '0000000000' AS e, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM counts
+  UNION ALL
+  SELECT f.k, f.n, {_edited('x.e', '3', "'D'")},
+    least({_edited('x.s', '3', "'D'")}, CASE WHEN NOT f.blank AND NOT f.duplicate AND f.initial = 's' THEN {_edited('x.e', 'f.cut', "'K'")} END),
+    least({_edited('x.u1', '3', "'D'")}, CASE WHEN NOT f.blank AND NOT f.duplicate THEN least({into_u}) END),
+    least({_edited('x.a1', '3', "'D'")}, CASE WHEN NOT f.blank AND NOT f.duplicate THEN {_edited('x.u1', kept('a'), letter('a'))} END)
+  FROM (SELECT *, least(a, {_edited('u1', '2', "'I'")}) AS a1 FROM (SELECT *, {u1} AS u1 FROM walk)) x
+  JOIN faults f ON f.k = x.k AND f.n = x.n + 1),
+best AS (SELECT w.k, least(w.e, w.a1) AS path FROM (SELECT *, least(a, {_edited('u1', '2', "'I'")}) AS a1 FROM (SELECT *, {u1} AS u1 FROM walk)) w
+         JOIN counts c ON c.k = w.k AND c.last = w.n),
+edits AS (SELECT k, pos, substr(path, 10 + pos, 1) AS edit, length(replace(substr(path, 11), 'D', '')) AS made FROM
+         (SELECT k, path, unnest(range(1, length(path) - 9)) AS pos FROM best)),
+placed AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER w AS n, count(*) FILTER (WHERE edit <> 'D') OVER w AS at FROM edits
+         WINDOW w AS (PARTITION BY k ORDER BY pos)),
+repaired AS (SELECT p.k, string_agg(CASE WHEN p.edit = 'K' THEN f.role WHEN (p.at + p.made) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+           CASE WHEN p.edit = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY p.pos) AS text
+         FROM placed p LEFT JOIN faults f ON f.k = p.k AND f.n = p.n WHERE p.edit <> 'D' GROUP BY p.k)
+SELECT i.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(CAST(c.truncated AS BIGINT), 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(CAST(left(b.path, 10) AS BIGINT), 0) AS cost,
+  coalesce(substr(b.path, 11), '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM ids i LEFT JOIN counts c ON c.k = i.k LEFT JOIN best b ON b.k = i.k LEFT JOIN repaired r ON r.k = i.k"""
+
+
+def url_filter() -> str:
+    """Both models by plain grouping of every gram's contexts."""
+    rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+    whens = []
+    for text, says in sorted(RULES, key=lambda r: -len(r[0])):
+        name, slash, tail = text.partition("/")
+        whens.append((f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash + tail}')", text, says))
+    case = lambda k: "CASE " + " ".join(f"WHEN {w[0]} THEN '{w[k]}'" for w in whens) + " END"
+    levels = [f"""
+p0 AS (SELECT s, (a + 1) / CAST(sum(a) OVER () + count(*) OVER () AS DOUBLE) AS pa, (r + 1) / CAST(sum(r) OVER () + count(*) OVER () AS DOUBLE) AS pr
+       FROM (SELECT substr(gram, {ORDER + 1}, 1) AS s, sum(a) AS a, sum(r) AS r FROM counted GROUP BY ALL))"""]
+    for k in range(1, ORDER + 1):
+        p = lambda x: f"CASE WHEN all_{x} > 0 THEN ({x} + seen_{x} * p{x}) / CAST(all_{x} + seen_{x} AS DOUBLE) ELSE p{x} END AS p{x}"
+        levels.append(f"""
+p{k} AS (SELECT t AS s, {p('a')}, {p('r')} FROM (
+         SELECT *, sum(a) OVER w AS all_a, sum(r) OVER w AS all_r, count(*) FILTER (WHERE a > 0) OVER w AS seen_a, count(*) FILTER (WHERE r > 0) OVER w AS seen_r
+         FROM (SELECT substr(gram, {ORDER + 1 - k}, {k + 1}) AS t, sum(a) AS a, sum(r) AS r FROM counted GROUP BY ALL)
+         WINDOW w AS (PARTITION BY substr(t, 1, {k}))) g JOIN p{k - 1} q ON q.s = substr(g.t, 2, {k}))""")
+    return f"""
+WITH urls AS (SELECT row_number() OVER () AS row, page_id, coalesce(url, '') AS url FROM pages),
+parts AS (SELECT row, page_id, url, {_lowered(f"regexp_extract({rest}, '^[^/?#]*')")} AS host,
+           regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+ruled AS (SELECT *, {case(1)} AS rule, {case(2)} AS ruled, CAST('0x' || substr(md5(url), 1, 4) AS INT) % {CALIBRATION} = 0 AS held FROM parts),
+padded AS (SELECT *, repeat(chr(2), {ORDER}) || {_lowered('url')} || chr(3) AS text FROM ruled),
+grams AS (SELECT row, ruled, held, substr(text, CAST(place AS INT), {ORDER + 1}) AS gram FROM
+           (SELECT row, ruled, held, text, unnest(range(1, length(text) - {ORDER - 1})) AS place FROM padded)),
+counted AS (SELECT gram, count(*) FILTER (WHERE ruled = 'allow' AND NOT held) AS a, count(*) FILTER (WHERE ruled = 'block' AND NOT held) AS r
+            FROM grams GROUP BY gram),
+{",".join(levels)},
+terms AS (SELECT s AS gram, CAST(round((ln(pa) - ln(pr)) * {MILLION}) AS BIGINT) AS term FROM p{ORDER}),
+summed AS (SELECT row, CAST(sum(term) AS BIGINT) AS total, count(*) AS n_grams FROM grams JOIN terms USING (gram) GROUP BY row),
+scored AS (SELECT r.*, n_grams, total / CAST(n_grams * {MILLION} AS DOUBLE) AS score FROM ruled r JOIN summed s ON s.row = r.row),
+binned AS (SELECT *, greatest(least(CAST(floor(score * {BINS}) AS BIGINT), {MAX_BIN}), -{MAX_BIN}) AS bin FROM scored),
+bins AS (SELECT bin, sum(good) AS good, sum(bad) AS bad FROM (
+           SELECT bin, CASE WHEN ruled = 'allow' THEN 1 ELSE 0 END AS good, CASE WHEN ruled = 'block' THEN 1 ELSE 0 END AS bad
+           FROM binned WHERE held AND ruled IS NOT NULL UNION ALL SELECT 0, 0, 0) GROUP BY bin),
+margins AS (SELECT bin, sum(good) OVER u * sum(bad) OVER () - sum(bad) OVER u * sum(good) OVER () AS margin FROM bins
+            WINDOW u AS (ORDER BY bin DESC)),
+chosen AS (SELECT bin AS least FROM margins ORDER BY margin DESC, abs(bin), bin LIMIT 1)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN bin >= least THEN 'allow' ELSE 'block' END) AS verdict, score, n_grams
+FROM binned CROSS JOIN chosen"""

@@ -65,6 +65,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.conversation_repair import audit, damage
+    return audit(damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.url_filter import judge
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladle.llm.token_alignment import align
+    return align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_license_scan": (op1_license_scan, oracle.license_scan()),
     "op2_quality_classifier": (op2_quality_classifier, None),
@@ -76,4 +91,7 @@ QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op8_lpt_sharding": (op8_lpt_sharding, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_language_id": (op10_language_id, None),
+    "op11_conversation_repair": (op11_conversation_repair, oracle.conversation_repair()),
+    "op12_url_filter": (op12_url_filter, oracle.url_filter()),
+    "op13_token_alignment": (op13_token_alignment, None),
 }
