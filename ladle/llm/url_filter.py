@@ -76,8 +76,9 @@ def grams(url: Column) -> Column:
     """Each character of the URL (lower-cased) and its end, after the ORDER characters before it."""
     letters = F.filter(F.split(lower_ascii(url), ""), lambda c: c != "")
     text = F.concat(F.array(*[F.lit(_START)] * ORDER), letters, F.array(F.lit(_END)))
-    return F.transform(F.sequence(F.lit(0), F.size(text) - ORDER - 1),
-                       lambda i: F.concat(*[F.get(text, i + k) for k in range(ORDER + 1)]))
+    # a list of one text, so that the letters are listed once and not again for each gram
+    cut = lambda t: F.transform(F.sequence(F.lit(0), F.size(t) - ORDER - 1), lambda i: F.concat(*[F.get(t, i + k) for k in range(ORDER + 1)]))
+    return F.get(F.transform(F.array(text), cut), 0)
 
 
 def count_grams(urls: DataFrame) -> DataFrame:
