@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ladle.functions.jsonrepair import repair_tokens
 from ladle.functions.text import (
     FENCE, JSON_FENCE, _c, outer_json, py_strip, sql_py_strip, sql_str,
 )
@@ -130,13 +131,16 @@ def sql_close_open_ctes(src: str, text: str, out: str) -> list[tuple[str, str]]:
 
 def candidates(col) -> list[Column]:
     """The repair ladder, in the order tried: as is; fence cut; outermost object; trailing commas
-    dropped; open string / brackets closed (in the text from the first brace to its end)."""
+    dropped; open string / brackets closed (in the text from the first brace to its end); every
+    token of the outermost object written as JSON; the same to the end of the text, brackets closed."""
     c0 = _c(col)
     c1 = _fence_cut(c0)
     c2 = outer_json(c1)
     c3 = _drop_trailing_commas(c2)
     c4 = _close_open(_from_first_brace(c1))
-    return [c0, c1, c2, c3, c4]
+    c5 = repair_tokens(F.when(c2.startswith("{"), c2))
+    c6 = _close_open(repair_tokens(_from_first_brace(c1)))
+    return [c0, c1, c2, c3, c4, c5, c6]
 
 
 def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", text: str = "json_text"):
@@ -154,6 +158,10 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
     # each rung reads the text of an earlier one: (rung, its input)
     steps = [(_fence_cut, "_lt_in"), (outer_json, "_lt_c1"), (_drop_trailing_commas, "_lt_c2"),
              (lambda c: _close_open(_from_first_brace(c)), "_lt_c1")]
+    # token repair only of what no rung before it could parse
+    hard = F.coalesce(*[F.col(f"_lt_p{i}") for i in range(1, len(steps) + 1)]).isNull()
+    steps += [(lambda c: repair_tokens(F.when(hard & c.startswith("{"), c)), "_lt_c2"),
+              (lambda c: _close_open(repair_tokens(F.when(hard & F.col("_lt_p5").isNull(), _from_first_brace(c)))), "_lt_c1")]
     for i, (step, source) in enumerate(steps, start=1):
         out = out.withColumn(f"_lt_c{i}", step(F.col(source))).withColumn(f"_lt_p{i}", parse_strict(F.col(f"_lt_c{i}")))
     rungs = [F.when(F.col("_lt0").isNotNull(), F.struct(F.col("_lt0").alias("d"), F.lit(0).alias("k"), c0.alias("s")))]

@@ -86,6 +86,33 @@ def _parsed_sql(select: str) -> str:
     return with_views(select, "v_recipe_json", extra=sql_validate_ctes("v_recipe_json", "doc_id, k", "json_text", rules=()))
 
 
+# Eight kinds of damage to a compact document, and the text that the repair must give.  SQL that both
+# engines read, but for the group's name and the flag of a global replacement.
+_DAMAGE = [
+    ("translate(json_text, '\"', chr(39))", "json_text"),                                                        # single quotes
+    ("regexp_replace(json_text, '\"([A-Za-z@]+)\":', '{group}:'{all})", "json_text"),                            # bare keys
+    ("replace(json_text, '\",\"', '\" \"')", "json_text"),                                                       # no commas
+    ("replace(json_text, '{', '{ // note, \"x\": [1}' || chr(10))", "json_text"),                               # comments
+    ("'{\"flag\":True,none:None,' || substr(json_text, 2)", "'{\"flag\":true,\"none\":null,' || substr(json_text, 2)"),  # literals
+    ("replace(json_text, 'Order ', 'Order \"no\" ')", "replace(json_text, 'Order ', 'Order ' || chr(92) || '\"no' || chr(92) || '\" ')"),  # stray quotes
+    ("replace(replace(json_text, ',\"', ',,\"'), ']', ',]')", "json_text"),                                        # spare commas
+    ("replace(json_text, ' of ', chr(10) || 'of ')", "replace(json_text, ' of ', chr(92) || 'nof ')"),           # raw line breaks
+]
+_DAMAGED, _WHOLE = ("CASE doc_id % 8 " + " ".join(f"WHEN {k} THEN {d[i]}" for k, d in enumerate(_DAMAGE)) + " END" for i in (0, 1))
+_SQL_DAMAGED = _DAMAGED.replace("{group}", "\\1").replace("{all}", ", 'g'")
+
+
+@register("json_repair", with_views(
+    f"SELECT doc_id, CASE WHEN damaged = json_text THEN 'ok' ELSE 'repaired' END AS outcome, CASE WHEN damaged = json_text THEN json_text ELSE whole END AS json_text "
+    f"FROM (SELECT doc_id, json_text, {_SQL_DAMAGED} AS damaged, {_WHOLE} AS whole FROM v_recipe_json "
+    f"WHERE {J.sql_parse_ok('json_text')} AND left(json_text, 1) = '{{')", "v_recipe_json"))
+def json_repair(spark, sf_dir):
+    """Sound objects, damaged in eight ways, as the token repair gives them back (the twin knows only what was damaged)."""
+    sound = v_recipe_json(spark, sf_dir).where(J.parse_strict("json_text").isNotNull() & F.startswith("json_text", F.lit("{")))
+    damaged = sound.select("doc_id", F.expr(_DAMAGED.replace("{group}", "$1").replace("{all}", "")).alias("damaged"))
+    return J.parse_tolerant(damaged, "damaged").select("doc_id", "outcome", "json_text")
+
+
 @register("json_key_state", _parsed_sql(
     "SELECT doc_id, " + ", ".join(f"{J.sql_key_state('json_text', k)} AS state_{k.replace('@', 'at_')}" for k in _KEYS)
     + " FROM validated"))

@@ -32,6 +32,47 @@ HUGE = {
     '{"a":"' + "x" * LONG: ("repaired", '{"a":"' + "x" * LONG + '"}'),
     '{"a":"' + "\\n" * (LONG // 2) + '","b":[1,': ("repaired", '{"a":"' + "\\n" * (LONG // 2) + '","b":[1]}'),
 }
+# what only the token rungs can parse; DuckDB's regular expressions cannot say this, so there is no twin
+TOKEN_REPAIRS = {
+    "{'a': 1}": ("repaired", '{"a":1}'),
+    "{a: 1}": ("repaired", '{"a":1}'),
+    '{"a":1 "b":2}': ("repaired", '{"a":1,"b":2}'),
+    '{"a":1, // c\n "b":2}': ("repaired", '{"a":1,"b":2}'),
+    '{"a": 1 /* c } */, "b": 2 # t\n}': ("repaired", '{"a":1,"b":2}'),
+    '{"a":"he said "hi" now"}': ("repaired", '{"a":"he said \\"hi\\" now"}'),
+    '{name: "Say "hi", he said", n: 2 cups}': ("repaired", '{"name":"Say \\"hi\\", he said","n":"2 cups"}'),
+    "{'a': 'it's', 'b': None, 'c': True, 'd': [False, undefined]}": ("repaired", '{"a":"it\'s","b":null,"c":true,"d":[false,null]}'),
+    "{a: NaN}": ("rejected", None),
+    "{'a': 'it\\'s \"so\"'}": ("repaired", '{"a":"it\'s \\"so\\""}'),
+    '{"a":[1 2 3], b: [x, y z,],}': ("repaired", '{"a":[1,2,3],"b":["x","y z"]}'),
+    '{"a":"x" "b":[ "p" "q" "r" ] "c":{"d":1}{"e":2}}': ("rejected", None),
+    '{"a":"x" "b":[ "p" "q" "r" ] "c":{"d":1}}': ("repaired", '{"a":"x","b":["p","q","r"],"c":{"d":1}}'),
+    "{\u201ca\u201d: \u201cb \"c\"\u201d}": ("repaired", '{"a":"b \\"c\\""}'),
+    '{"a":,"b":}': ("repaired", '{"a":null,"b":null}'),
+    '{,"a":1,,"b":[,2,,]}': ("repaired", '{"a":1,"b":[2]}'),
+    '{"a":"x\ny\tz"}': ("repaired", '{"a":"x\\ny\\tz"}'),
+    '{"a":"b\\q"}': ("repaired", '{"a":"bq"}'),
+    "Sure! {'a': {'b': 'c": ("repaired", '{"a":{"b":"c"}}'),
+    "```json\n{'a': 1}\n``` done": ("repaired", '{"a":1}'),
+    '{"a": True, "b": [None, False': ("repaired", '{"a":true,"b":[null,false]}'),
+    '{a: 007, b: -1.5e3, c: 1.}': ("repaired", '{"a":"007","b":-1.5e3,"c":"1."}'),
+    "'no' json": ("rejected", None),
+    "{a: [1}": ("rejected", None),
+    "{a: 1}}": ("rejected", None),
+}
+TOKEN_HUGE = {
+    "{'a':'" + "x'y " * (LONG // 4) + "'}": ("repaired", '{"a":"' + "x'y " * (LONG // 4) + '"}'),
+    "{a: [" + "1 " * (LONG // 2) + "]}": ("repaired", '{"a":[' + ",".join("1" * (LONG // 2)) + "]}"),
+    "{a: " + "[" * 300 + '"' + "\\" * (LONG + 1): ("repaired", '{"a":' + "[" * 300 + '"' + "\\" * LONG + '"' + "]" * 300 + "}"),
+}
+
+
+def test_token_repair(spark):
+    cases = list({**TOKEN_REPAIRS, **TOKEN_HUGE}.items())
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: (r["outcome"], r["json_text"]) for r in J.parse_tolerant(df, "t").collect()}
+    for i, (text, want) in enumerate(cases):
+        assert got[i] == want, text[:60]
 
 
 def test_repair_ladder(spark):
