@@ -1,21 +1,25 @@
 """Lexical retrieval packing: each window is filled with the seed document's BM25 neighbours.
 
-1. Every document is tokenised once; ids (16 bits each, the vocabulary is below 65,536) go to
-   a written table, and with them, per task, in how many documents each id occurs.
-2. Those counts, summed over all documents, give BM25's inverse document frequencies.  They are
-   bounded by the vocabulary, so the driver may hold and broadcast them.
-3. A shuffle brings lexical neighbours of all documents together: a document's BM25 weights are
-   projected to ``SKETCH`` numbers, compared with those of sampled anchor documents, and the table is
-   range-partitioned by the nearest and the second nearest anchor (in an order that puts similar
-   anchors side by side) and then by row, so that a common key is spread over partitions.
+1. A bounded sample of documents (``ANCHORS``, by hash of the text) gives anchors: their BM25 weights,
+   with the sample's own document frequencies, projected to ``SKETCH`` numbers.
+2. Every document is tokenised once; its sketch is compared with the anchors, and ids (16 bits each,
+   the vocabulary is below 65,536) go to a written table with the nearest and the second nearest
+   anchor, and with them, per task, in how many documents each id occurs.  These counts, summed over all
+   documents, give BM25's inverse document frequencies; they are bounded by the vocabulary, so the driver
+   may hold and broadcast them.
+3. A shuffle brings lexical neighbours of all documents together: the table is range-partitioned by both
+   anchors (in an order that puts similar anchors side by side) and then by row, so that a common key is
+   spread over partitions, of which there is one for each ``PARTITION_BYTES`` of ids.
 4. Its tasks cut that order into shards of ``SHARD_DOCS`` documents or ``SHARD_TOKENS`` ids.  Each shard has its own inverted
    index.  The first unused document seeds a window; the unused neighbours that the index returns,
    best first, fill it greedily.  A document that does not fit is cut, and its rest opens and seeds
    the next window, so windows are full.  What is left at the end of a shard is cut into powers
    of two, which need no padding.
 
-A retrieval asks for the seed's ``QUERY_TERMS`` heaviest terms; when no neighbour is left among them,
-the next unused document of the shard follows, so every id lands in exactly one piece.
+A retrieval asks for the seed's terms by falling weight, ``QUERY_TERMS`` at a time: when no unused
+neighbour is left among those that share the heaviest terms, the next ones are asked for, until
+the seed has no terms left.  Then the next unused document of the shard follows, so every id lands in
+exactly one piece.
 
 Defined cases: a null text counts as empty, an empty text is the end id alone; repeated rows and
 repeated or null ids are packed as documents of their own; ties in BM25 go by the order in the shard; a
@@ -44,6 +48,8 @@ SHARD_DOCS, SHARD_TOKENS = 2048, 8 << 20
 QUERY_TERMS = 48
 #: anchors a shard's worth of documents, most anchors in all, numbers in a sketch, documents sketched at once
 SHARD_ANCHORS, ANCHORS, SKETCH, SKETCHED = 8, 4096, 128, 512
+#: ids a range partition holds, about
+PARTITION_BYTES = 64 << 20
 K1, B = 1.2, 0.75
 TOKENIZER = "word_bpe_49k.json"
 #: one count per possible 16-bit id, then rows, then tokens
@@ -116,29 +122,38 @@ class Encoder:
         return [np.append(ids[x:y], np.uint16(END_ID)) for x, y in zip(ends[:-1], ends[1:])]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids as bytes, null) for each document; per task one row with only ``counts``:
-    documents by id, then rows and tokens."""
+def _document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("string")
-    d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
+
+
+def tokenize(d: DataFrame, tokenizer: str, grouping=None) -> DataFrame:
+    """(doc_id, ids as bytes, first, second, row, null) for each document of (doc_id, text); per task one row with
+    only ``counts``: documents by id, then rows and tokens.  ``grouping`` is a broadcast (idf, mean length, anchors); without
+    it no anchors are looked for."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("first", pa.int32()), ("second", pa.int32()), ("row", pa.int64()),
+                        ("counts", pa.binary())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        counts = np.zeros(COUNTS, np.int64)
+        counts, row = np.zeros(COUNTS, np.int64), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at, n in slices(batch.column(1)):
+            for at, n in slices(batch.column(1), rows=SKETCHED):
                 part = batch.slice(at, n)
                 ids = encoder.encode(part.column(1))
-                for x in ids:
-                    counts[np.unique(x)] += 1
+                found = [distinct(x) for x in ids]
+                for x, (terms, _) in zip(ids, found):
+                    counts[terms] += 1
                     counts[-1] += len(x)
-                counts[-2] += len(ids)
+                counts[-2] += n
+                nearest = [pa.nulls(n, pa.int32())] * 2 if grouping is None else [pa.array(a, pa.int32()) for a in near_anchors(ids, found, *grouping.value)]
                 stored = pa.array([x.astype("<u2").tobytes() for x in ids], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), stored, pa.nulls(len(ids), pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(0), stored, *nearest, pa.array(np.arange(row, row + n)), pa.nulls(n, pa.binary())], schema=schema)
+                row += n
         if counts[-2]:
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], schema=schema)
-    return d.mapInArrow(task, "doc_id bigint, ids binary, counts binary")
+            empty = [pa.nulls(1, f.type) for f in list(schema)[:-1]]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array([counts.tobytes()], pa.binary())], schema=schema)
+    return d.mapInArrow(task, "doc_id bigint, ids binary, first int, second int, row bigint, counts binary")
 
 
 def document_counts(tokens: DataFrame) -> np.ndarray:
@@ -157,22 +172,33 @@ def document_counts(tokens: DataFrame) -> np.ndarray:
     return out
 
 
-def bm25(ids: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids of a document, ascending, and how often each stands there."""
+    if len(ids) > 4096:  # a count for each possible id is faster than a sort
+        n = np.bincount(ids, minlength=1 << 16)
+        terms = np.flatnonzero(n)
+        return terms, n[terms]
+    order = np.sort(ids)
+    starts = np.flatnonzero(np.append(True, order[1:] != order[:-1]))
+    return order[starts].astype(np.int64), np.diff(np.append(starts, len(order)))
+
+
+def bm25(ids: np.ndarray, idf: np.ndarray, mean_length: float, found: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids of a document and their BM25 weights."""
-    terms, tf = np.unique(ids, return_counts=True)
+    terms, tf = found or distinct(ids)
     return terms, idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length))
 
 
 _directions: list[np.ndarray] = []
 
 
-def sketches(docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> np.ndarray:
+def sketches(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, found: list | None = None) -> np.ndarray:
     """A random projection of each document's BM25 weights, of length 1 (0 without weights)."""
     if not _directions:  # once per worker
         _directions.append(np.random.default_rng(31).standard_normal((1 << 16, SKETCH), np.float32))
     out = np.zeros((len(docs), SKETCH), np.float32)
     for k, ids in enumerate(docs):
-        terms, w = bm25(ids, idf, mean_length)
+        terms, w = bm25(ids, idf, mean_length, found and found[k])
         out[k] = w.astype(np.float32) @ _directions[0][terms]
     size = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return out / np.where(size > 0, size, 1)
@@ -189,41 +215,50 @@ def side_by_side(x: np.ndarray) -> np.ndarray:
     return np.concatenate([left[side_by_side(x[left])], right[side_by_side(x[right])]])
 
 
-def anchors(ids: DataFrame, idf, mean_length: float, n: int, shard_docs: int) -> np.ndarray:
-    """Sketches of sampled distinct documents, similar ones side by side (at most about ANCHORS)."""
-    share = min(1.0, min(ANCHORS, max(1, SHARD_ANCHORS * n // shard_docs)) / max(1, n))
-    draw = F.xxhash64("ids").alias("draw")
+def near_anchors(ids: list[np.ndarray], found: list, idf: np.ndarray, mean_length: float, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest and the second nearest anchor of each document."""
+    x = sketches(ids, idf, mean_length, found) @ anchors.T
+    first = x.argmax(axis=1)
+    x[np.arange(len(x)), first] = -np.inf
+    return first, x.argmax(axis=1)
+
+
+def inverse_frequencies(counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """One number for each id, and the mean length."""
+    n, df = int(counts[-2]), counts[:1 << 16]
+    return np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), max(1.0, float(counts[-1]) / max(1, n))
+
+
+def sample_grouping(d: DataFrame, tokenizer: str, shard_docs: int) -> tuple[np.ndarray, float, np.ndarray]:
+    """(idf, mean length, anchors) of a sample of about ANCHORS distinct texts at most.  Anchors are sketches of
+    SHARD_ANCHORS of them a shard's worth of documents, similar ones side by side."""
+    n = d.count()
+    share = min(1.0, ANCHORS / max(1, n))
+    wanted = min(ANCHORS, max(1, SHARD_ANCHORS * n // shard_docs))
+    # each distinct text once, and in an order that does not depend on partitions
+    drawn = d.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1e6 * share).groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text")
+    tokens = scratch_table(tokenize(drawn, tokenizer), "pack-sample")
+    idf, mean_length = inverse_frequencies(document_counts(tokens))
+    weights = d.sparkSession.sparkContext.broadcast((idf, mean_length))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = sketches([np.frombuffer(i, "<u2") for i in batch.column(1).to_pylist()], idf.value, mean_length)
+            x = sketches([np.frombuffer(i, "<u2") for i in batch.column(1).to_pylist()], *weights.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["draw", "sketch"])
-    drawn = ids.select(draw, "ids").where(F.pmod("draw", F.lit(1_000_000)) < 1e6 * share).mapInArrow(task, "draw bigint, sketch binary")
-    found = [r["sketch"] for r in drawn.groupBy("draw").agg(F.first("sketch").alias("sketch")).orderBy("draw").collect()]
-    x = np.frombuffer(b"".join(found), np.float32).reshape(-1, SKETCH)
-    return x[side_by_side(x)] if len(x) else np.zeros((1, SKETCH), np.float32)
+    draw = F.xxhash64("ids").alias("draw")
+    drawn = tokens.where(F.col("ids").isNotNull()).select(draw, "ids").where(F.pmod("draw", F.lit(1_000_000)) < 1e6 * wanted / max(1.0, n * share))
+    found = drawn.mapInArrow(task, "draw bigint, sketch binary")
+    rows = [r["sketch"] for r in found.groupBy("draw").agg(F.first("sketch").alias("sketch")).orderBy("draw").collect()]  # at most about ANCHORS
+    x = np.frombuffer(b"".join(rows), np.float32).reshape(-1, SKETCH)
+    return idf, mean_length, x[side_by_side(x)] if len(x) else np.zeros((1, SKETCH), np.float32)
 
 
-def neighbours_together(ids: DataFrame, idf, mean_length: float, n: int, shard_docs: int) -> DataFrame:
+def neighbours_together(tokens: DataFrame, counts: np.ndarray) -> DataFrame:
     """(doc_id, ids) of all documents in partitions and an order that hold lexical neighbours together."""
-    at = ids.sparkSession.sparkContext.broadcast(anchors(ids, idf, mean_length, n, shard_docs))  # at most about ANCHORS rows
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("first", pa.int32()), ("second", pa.int32()), ("row", pa.int64())])
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for whole in batches:
-            for k in range(0, len(whole), SKETCHED):
-                batch = whole.slice(k, SKETCHED)
-                x = sketches([np.frombuffer(i, "<u2") for i in batch.column(1).to_pylist()], idf.value, mean_length) @ at.value.T
-                first = x.argmax(axis=1)
-                x[np.arange(len(x)), first] = -np.inf
-                key = [pa.array(first, pa.int32()), pa.array(x.argmax(axis=1), pa.int32()), pa.array(np.arange(row, row + len(x)), pa.int64())]
-                row += len(x)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *key], schema=schema)
-    # written, as the range bounds are sampled from it
-    keyed = scratch_table(ids.mapInArrow(task, "doc_id bigint, ids binary, first int, second int, row bigint"), "pack-keyed")
+    parts = max(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1 + 2 * int(counts[-1]) // PARTITION_BYTES)
     key = ["first", "second", "row"]
-    return keyed.repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "ids")
+    held = tokens.where(F.col("ids").isNotNull()).select("doc_id", "ids", *key)
+    return held.repartitionByRange(parts, *key).sortWithinPartitions(*key).select("doc_id", "ids")
 
 
 class Index:
@@ -233,8 +268,7 @@ class Index:
         self.terms, weights, owner, self.query = [], [], [], []
         for d, ids in enumerate(docs):
             terms, w = bm25(ids, idf, mean_length)
-            top = np.argsort(-w, kind="stable")[:QUERY_TERMS]
-            self.query.append(terms[top])
+            self.query.append(terms[np.argsort(-w, kind="stable")])
             self.terms.append(terms)
             weights.append(w.astype(np.float32))
             owner.append(np.full(len(terms), d, np.int32))
@@ -244,14 +278,20 @@ class Index:
         self.start = np.searchsorted(terms[order], np.arange((1 << 16) + 1))
         self.n = len(docs)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share a query term with the seed, best first."""
-        spans = [slice(self.start[t], self.start[t + 1]) for t in self.query[seed]]
+    def neighbours(self, seed: int, at: int = 0) -> np.ndarray:
+        """Documents that share one of QUERY_TERMS terms of the seed, from its ``at``-th by weight on, best first."""
+        spans = [slice(self.start[t], self.start[t + 1]) for t in self.query[seed][at:at + QUERY_TERMS]]
         owners = np.concatenate([self.owner[s] for s in spans]) if spans else np.zeros(0, np.int32)
         scores = np.bincount(owners, np.concatenate([self.weight[s] for s in spans]), self.n) if len(owners) else np.zeros(self.n)
         found = np.flatnonzero(scores > 0)
         return found[np.argsort(-scores[found], kind="stable")]
 
+    def all_neighbours(self, seed: int) -> Iterator[int]:
+        """Every document that shares a term with the seed: by its heaviest terms first, then by the next ones.
+        A document may come again."""
+        for at in range(0, len(self.query[seed]), QUERY_TERMS):
+            yield from self.neighbours(seed, at).tolist()
+
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
     """Windows as lists of (document, start, length); all are full but the last, which is cut into powers of two."""
@@ -282,7 +322,7 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
         lay(first)
         # as long as a window is open, its first document is the seed that asks for neighbours
         while current:
-            if any(lay(int(d)) for d in index.neighbours(current[0][0]) if not used[d]):
+            if any(lay(d) for d in index.all_neighbours(current[0][0]) if not used[d]):
                 continue
             rest = next((d for d in unused if not used[d]), None)
             while rest is not None and not lay(rest):
@@ -315,11 +355,13 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
     spark = docs.sparkSession
     small_batches(spark)
-    tokens = scratch_table(tokenize(docs, tokenizer or default_tokenizer(), id_col, text_col), "pack-tokens")
+    tokenizer = tokenizer or default_tokenizer()
+    d = _document(docs, id_col, text_col)
+    grouping = spark.sparkContext.broadcast(sample_grouping(d, tokenizer, shard_docs))  # at most about ANCHORS sketches
+    tokens = scratch_table(tokenize(d, tokenizer, grouping), "pack-tokens")
     counts = document_counts(tokens)
-    n, mean_length = int(counts[-2]), float(counts[-1]) / max(1, int(counts[-2]))
-    df = counts[:1 << 16]
-    idf = spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32))  # one number per id
+    weights, mean_length = inverse_frequencies(counts)
+    idf = spark.sparkContext.broadcast(weights)  # one number per id
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,5 +393,4 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHAR
                     tokens_held = 0
         if held_ids:
             yield flush()
-    ids = neighbours_together(tokens.select("doc_id", "ids").where(F.col("ids").isNotNull()), idf, mean_length, n, shard_docs)
-    return ids.mapInArrow(task, ", ".join(f"`{c}` bigint" for c in names))
+    return neighbours_together(tokens, counts).mapInArrow(task, ", ".join(f"`{c}` bigint" for c in names))
