@@ -303,23 +303,43 @@ _SQL_REPORT_SAMPLES = f"""SELECT a.sample_id, a.batch_num, g.json_text AS genera
 FROM attached a JOIN gen_json g ON g.doc_id = a.sample_id JOIN validated v ON v.doc_id = a.sample_id LEFT JOIN judged j ON j.sample_id = a.sample_id"""
 
 
-@register("eval_samples", with_views(_SQL_REPORT_SAMPLES, "v_recipe_json", "v_generations", "v_judge",
-                                     extra=[_SQL_GEN_JSON] + sql_validate_ctes("gen_json", "doc_id, k", "json_text") + _sql_judged() + [_SQL_SAMPLES, _SQL_ATTACHED]))
-def eval_samples(spark, sf_dir):
-    """The report's samples with nested validation and judge result, written, read back and flattened."""
+_REPORT_CTES = [_SQL_GEN_JSON] + sql_validate_ctes("gen_json", "doc_id, k", "json_text") + _sql_judged() + [_SQL_SAMPLES, _SQL_ATTACHED]
+
+
+def _report(spark, sf_dir) -> str:
+    """The report's tables, written once: its path."""
     g = v_generations(spark, sf_dir).select("sample_id", T.extract_answer_json("generated_text").alias("generated_json"))
-    checked = validate(g, "generated_json")
     batches = SP.with_batch(v_recipe_json(spark, sf_dir).select(F.col("doc_id").alias("sample_id")), ["sample_id"], BATCH, idx="idx")
     picked = SP.first_n_per_batch(batches, PER_BATCH, BATCH, idx="idx").select("sample_id")
     raw = v_judge(spark, sf_dir).join(picked, "sample_id", "left_semi")
     judged = SC.normalize_judge(raw).select("sample_id", "judge", F.col("raw").alias("raw_response"))
-    samples = S.report_samples(checked, batches.select("sample_id", "batch_num"), judged)
+    samples = S.report_samples(validate(g, "generated_json"), batches.select("sample_id", "batch_num"), judged)
     path = scratch_dir(spark, "report")
-    IO.write_report(path, S.run_row(spark, RUN), samples, S.eval_summary(checked))
-    _, back, _ = IO.read_report(spark, path)
-    return back.select("sample_id", "batch_num", "generated_json", "structural_validation.is_valid",
-                       F.array_join("structural_validation.errors", "; ").alias("errors"),
-                       F.array_join("structural_validation.warnings", "; ").alias("warnings"),
-                       F.col("vibes_evaluation").isNotNull().alias("evaluated"),
-                       F.col("vibes_evaluation.evaluation.scores.overall").alias("overall"),
-                       F.col("vibes_evaluation.raw_response").alias("raw_response"))
+    # the summary comes from the samples as written, so that they are validated once
+    IO.write_report(path, S.run_row(spark, RUN), samples, lambda written: S.eval_summary(written.select("structural_validation.is_valid")))
+    return path
+
+
+def _flat(samples: DataFrame) -> DataFrame:
+    return samples.select("sample_id", "batch_num", "generated_json", "structural_validation.is_valid",
+                          F.array_join("structural_validation.errors", "; ").alias("errors"),
+                          F.array_join("structural_validation.warnings", "; ").alias("warnings"),
+                          F.col("vibes_evaluation").isNotNull().alias("evaluated"),
+                          F.col("vibes_evaluation.evaluation.scores.overall").alias("overall"),
+                          F.col("vibes_evaluation.raw_response").alias("raw_response"))
+
+
+@register("eval_samples", with_views(_SQL_REPORT_SAMPLES, "v_recipe_json", "v_generations", "v_judge", extra=_REPORT_CTES))
+def eval_samples(spark, sf_dir):
+    """The report's samples with nested validation and judge result, written, read back and flattened."""
+    _, back, _ = IO.read_report(spark, _report(spark, sf_dir))
+    return _flat(back)
+
+
+@register("eval_document", with_views(_SQL_REPORT_SAMPLES, "v_recipe_json", "v_generations", "v_judge", extra=_REPORT_CTES))
+def eval_document(spark, sf_dir):
+    """The whole report as one nested JSON document in parts that many tasks write; its samples read back and flattened."""
+    run, samples, summary = IO.read_report(spark, _report(spark, sf_dir))
+    path = scratch_dir(spark, "report-document")
+    IO.write_report_document(path, run, samples, summary)
+    return _flat(IO.read_report_document(spark, path, samples.schema))
