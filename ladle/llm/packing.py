@@ -46,8 +46,10 @@ WINDOW = 2048
 END_ID = 1
 SHARD_DOCS, SHARD_TOKENS = 2048, 8 << 20
 QUERY_TERMS = 48
-#: anchors a shard's worth of documents, most anchors in all, numbers in a sketch, documents sketched at once
-SHARD_ANCHORS, ANCHORS, SKETCH, SKETCHED = 8, 4096, 128, 512
+#: anchors a shard's worth of documents, most anchors in all, numbers in a sketch
+SHARD_ANCHORS, ANCHORS, SKETCH = 8, 4096, 128
+#: numbers of a sketch that one id adds to
+SPARSE = 4
 #: ids a range partition holds, about
 PARTITION_BYTES = 64 << 20
 K1, B = 1.2, 0.75
@@ -138,7 +140,7 @@ def tokenize(d: DataFrame, tokenizer: str, grouping=None) -> DataFrame:
         encoder = Encoder(tokenizer)
         counts, row = np.zeros(COUNTS, np.int64), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at, n in slices(batch.column(1), rows=SKETCHED):
+            for at, n in slices(batch.column(1)):
                 part = batch.slice(at, n)
                 ids = encoder.encode(part.column(1))
                 found = [distinct(x) for x in ids]
@@ -189,17 +191,25 @@ def bm25(ids: np.ndarray, idf: np.ndarray, mean_length: float, found: tuple[np.n
     return terms, idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length))
 
 
-_directions: list[np.ndarray] = []
+_directions: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def directions() -> tuple[np.ndarray, np.ndarray]:
+    """Of a sparse random projection: the SPARSE places in a sketch that each id adds to, and their signs."""
+    if not _directions:  # once per worker
+        rng = np.random.default_rng(31)
+        _directions.append((rng.integers(0, SKETCH, (1 << 16, SPARSE), dtype=np.int32), rng.choice(np.array([-1.0, 1.0], np.float32), (1 << 16, SPARSE))))
+    return _directions[0]
 
 
 def sketches(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, found: list | None = None) -> np.ndarray:
     """A random projection of each document's BM25 weights, of length 1 (0 without weights)."""
-    if not _directions:  # once per worker
-        _directions.append(np.random.default_rng(31).standard_normal((1 << 16, SKETCH), np.float32))
-    out = np.zeros((len(docs), SKETCH), np.float32)
-    for k, ids in enumerate(docs):
-        terms, w = bm25(ids, idf, mean_length, found and found[k])
-        out[k] = w.astype(np.float32) @ _directions[0][terms]
+    places, signs = directions()
+    weighted = [bm25(ids, idf, mean_length, found and found[k]) for k, ids in enumerate(docs)]
+    terms, w = (np.concatenate(x) if x else np.zeros(0) for x in (list(y) for y in zip(*weighted))) if weighted else (np.zeros(0, np.int64), np.zeros(0))
+    row = np.repeat(np.arange(len(docs)), [len(t) for t, _ in weighted])
+    at = places[terms] + (row * SKETCH)[:, None]
+    out = np.bincount(at.ravel(), (signs[terms] * w[:, None]).ravel(), len(docs) * SKETCH).reshape(-1, SKETCH).astype(np.float32)
     size = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return out / np.where(size > 0, size, 1)
 
@@ -286,11 +296,14 @@ class Index:
         found = np.flatnonzero(scores > 0)
         return found[np.argsort(-scores[found], kind="stable")]
 
-    def all_neighbours(self, seed: int) -> Iterator[int]:
-        """Every document that shares a term with the seed: by its heaviest terms first, then by the next ones.
-        A document may come again."""
+    def unused_neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
+        """Every unused document that shares a term with the seed: by its heaviest terms first, then by the next ones.
+        Documents that get used meanwhile may still come."""
         for at in range(0, len(self.query[seed]), QUERY_TERMS):
-            yield from self.neighbours(seed, at).tolist()
+            if used.all():
+                return
+            found = self.neighbours(seed, at)
+            yield from found[~used[found]].tolist()
 
 
 def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -322,7 +335,7 @@ def pack_shard(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, wind
         lay(first)
         # as long as a window is open, its first document is the seed that asks for neighbours
         while current:
-            if any(lay(d) for d in index.all_neighbours(current[0][0]) if not used[d]):
+            if any(lay(d) for d in index.unused_neighbours(current[0][0], used) if not used[d]):
                 continue
             rest = next((d for d in unused if not used[d]), None)
             while rest is not None and not lay(rest):
