@@ -43,7 +43,8 @@ def _sql_cat(*lists: str) -> str:
 
 _I = "list_transform(string_split(ingredient, '; '), lambda x: '- ' || x)"
 _S = "list_transform(string_split(ingredient, '; '), lambda x, i: CAST(i AS VARCHAR) || '. Add ' || x)"
-_MY = "['Time: ' || process, 'Serves: ' || n_rater, 'Category: ' || grp]"
+_MY = f"""['Time: ' || process, 'Serves: ' || n_rater, 'Category: ' || grp,
+  'Prep: ' || {SY.PREP_SQL}, 'Cook: ' || {SY.COOK_SQL}, 'Cuisine: ' || {SY.CUISINE_SQL}]"""
 _STORIES = "[" + ", ".join(
     " || ".join(p.strip("{}") if p.startswith("{") else T.sql_str(p) for p in SY._tokens(line)) for line in SY.STORY_LINES) + "]"
 _FLUFFY_REST = _sql_cat(_STORIES, "['ADVERTISEMENT']", _I, "['ADVERTISEMENT']", _S, _MY)
@@ -73,7 +74,10 @@ _SQL_X = ("xdocs", f"""SELECT rid, lines[1] AS x_name,
     lambda l: {{'n': CAST(regexp_extract(l, {_STEP_RE}, 1) AS BIGINT), 't': regexp_extract(l, {_STEP_RE}, 2)}})), lambda s: s.t) AS x_steps,
   regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.TIME_RE)}))[1], {T.sql_str(SY.TIME_RE)}, 1) AS x_total_time,
   regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.YIELD_RE)}))[1], {T.sql_str(SY.YIELD_RE)}, 1) AS x_yield,
-  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.CATEGORY_RE)}))[1], {T.sql_str(SY.CATEGORY_RE)}, 1) AS x_category
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.CATEGORY_RE)}))[1], {T.sql_str(SY.CATEGORY_RE)}, 1) AS x_category,
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.PREP_RE)}))[1], {T.sql_str(SY.PREP_RE)}, 1) AS x_prep_time,
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.COOK_RE)}))[1], {T.sql_str(SY.COOK_RE)}, 1) AS x_cook_time,
+  regexp_extract(list_filter(lines, lambda l: regexp_matches(l, {T.sql_str(SY.CUISINE_RE)}))[1], {T.sql_str(SY.CUISINE_RE)}, 1) AS x_cuisine
 FROM (SELECT rid, string_split(CASE WHEN starts_with(text, '{SY.HEADER_PREFIX}')
   THEN regexp_replace(text, '^<!-- Generated with style: [^\\n]* -->\\n\\n?', '') ELSE text END, {NL}) AS lines FROM docs)""")
 
@@ -82,9 +86,12 @@ _SQL_XJSON = ("'{\"@context\":\"https://schema.org\",\"@type\":\"Recipe\"' "
               "|| CASE WHEN len(x_ingredients) > 0 THEN ',\"recipeIngredient\":' || to_json(x_ingredients)::VARCHAR ELSE '' END "
               "|| CASE WHEN len(x_steps) > 0 THEN ',\"recipeInstructions\":[' || array_to_string(list_transform(x_steps, "
               "lambda t: '{\"@type\":\"HowToStep\",\"text\":' || to_json(t)::VARCHAR || '}'), ',') || ']' ELSE '' END "
+              "|| CASE WHEN x_prep_time IS NOT NULL THEN ',\"prepTime\":' || to_json(x_prep_time)::VARCHAR ELSE '' END "
+              "|| CASE WHEN x_cook_time IS NOT NULL THEN ',\"cookTime\":' || to_json(x_cook_time)::VARCHAR ELSE '' END "
               "|| CASE WHEN x_total_time IS NOT NULL THEN ',\"totalTime\":' || to_json(x_total_time)::VARCHAR ELSE '' END "
               "|| CASE WHEN x_yield IS NOT NULL THEN ',\"recipeYield\":' || to_json(x_yield)::VARCHAR ELSE '' END "
-              "|| CASE WHEN x_category IS NOT NULL THEN ',\"recipeCategory\":' || to_json(x_category)::VARCHAR ELSE '' END || '}'")
+              "|| CASE WHEN x_category IS NOT NULL THEN ',\"recipeCategory\":' || to_json(x_category)::VARCHAR ELSE '' END "
+              "|| CASE WHEN x_cuisine IS NOT NULL THEN ',\"recipeCuisine\":' || to_json(x_cuisine)::VARCHAR ELSE '' END || '}'")
 
 
 def _extracted(spark, sf_dir) -> DataFrame:
@@ -106,15 +113,14 @@ def extract_records(spark, sf_dir):
 def _scores(spark, sf_dir) -> DataFrame:
     """The extraction table joined to the source table by key, then the six axes."""
     x = SY.extract_record(_docs(spark, sf_dir).select("rid", "text")).select(
-        "rid", "x_name", "x_ingredients", "x_steps", "x_total_time", "x_yield", "x_category")
+        "rid", "x_name", "x_ingredients", "x_steps", "x_total_time", "x_yield", "x_category", "x_prep_time", "x_cook_time", "x_cuisine")
     both = SC.compare(v_recipes(spark, sf_dir), x, "rid")
     ings = F.split("ingredient", "; ")
-    none = F.lit(None).cast("string")
-    # prepTime, cookTime, totalTime, recipeYield, recipeCategory, recipeCuisine; the records know three of them
+    # prepTime, cookTime, totalTime, recipeYield, recipeCategory, recipeCuisine
     scored = SC.add_scores(both, F.col("name"), ings, F.transform(ings, lambda v: F.concat(F.lit("Add "), v)),
-                           [none, none, F.col("process"), F.col("n_rater"), F.col("grp"), none],
+                           [F.expr(SY.PREP_SQL), F.expr(SY.COOK_SQL), F.col("process"), F.col("n_rater"), F.col("grp"), F.expr(SY.CUISINE_SQL)],
                            F.col("x_name"), F.col("x_ingredients"), F.col("x_steps"),
-                           [none, none, F.col("x_total_time"), F.col("x_yield"), F.col("x_category"), none])
+                           [F.col(f"x_{c}") for c in ("prep_time", "cook_time", "total_time", "yield", "category", "cuisine")])
     return scored.select("rid", "scores")
 
 
@@ -126,15 +132,14 @@ def _sql_words(e: str) -> str:
     return f"list_distinct(list_filter(regexp_split_to_array(lower({e}), '\\s+'), lambda w: w <> ''))"
 
 
-_NONE = "CAST(NULL AS VARCHAR)"
-_META_S = [_NONE, _NONE, "process", "n_rater", "grp", _NONE]
-_META_X = [_NONE, _NONE, "x_total_time", "x_yield", "x_category", _NONE]
+_META_S = [SY.PREP_SQL, SY.COOK_SQL, "process", "n_rater", "grp", SY.CUISINE_SQL]
+_META_X = ["x_prep_time", "x_cook_time", "x_total_time", "x_yield", "x_category", "x_cuisine"]
 _SQL_SCORE_PARTS = ("sparts", f"""SELECT rid,
   {_sql_words('name')} AS a, {_sql_words('x_name')} AS b,
   list_distinct(string_split(ingredient, '; ')) AS si, list_distinct(x_ingredients) AS xi,
   list_transform(string_split(ingredient, '; '), lambda v: 'Add ' || v) AS ss, x_steps AS xs,
-  {' + '.join(f'CASE WHEN {s} IS NOT NULL THEN 1 ELSE 0 END' for s in _META_S)} AS present,
-  {' + '.join(f'CASE WHEN {s} IS NOT NULL AND {s} = {x} THEN 1 ELSE 0 END' for s, x in zip(_META_S, _META_X))} AS equal,
+  {' + '.join(f'CASE WHEN ({s}) IS NOT NULL THEN 1 ELSE 0 END' for s in _META_S)} AS present,
+  {' + '.join(f'CASE WHEN ({s}) IS NOT NULL AND ({s}) = {x} THEN 1 ELSE 0 END' for s, x in zip(_META_S, _META_X))} AS equal,
   list_filter([{', '.join(f"'m{i}:' || {s}" for i, s in enumerate(_META_S))}], lambda v: v IS NOT NULL) AS ms,
   list_filter([{', '.join(f"'m{i}:' || {x}" for i, x in enumerate(_META_X))}], lambda v: v IS NOT NULL) AS mx
 FROM v_recipes JOIN xdocs USING (rid)""")

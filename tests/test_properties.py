@@ -89,3 +89,26 @@ def test_outcome_route_shapes(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, recipe_json string")
     got = [r.outcome for r in df.withColumn("outcome", outcome()).orderBy("i").collect()]
     assert got == ["failed", "empty", "empty", "empty", "empty", "empty", "good", "error", "error", "error"]
+
+
+def test_order_score_of_long_lists(spark):
+    import random
+    import time
+
+    from ladle.operators.score import _places
+    rng = random.Random(3)
+    cases = [([rng.choice("abcdef") for _ in range(rng.randrange(9))], [rng.choice("abcxyz") for _ in range(rng.randrange(9))]) for _ in range(300)]
+    cases += [([], []), (["a"], []), ([], ["a"]), (["a", None], [None, "a"]), ([str(i) for i in range(3000)], [str(i) for i in range(2999, -1, -1)])]
+    df = spark.createDataFrame([(i, s, x) for i, (s, x) in enumerate(cases)], "i int, s array<string>, x array<string>")
+    got = {r["i"]: r["p"] for r in df.select("i", _places(F.col("s"), F.col("x")).alias("p")).collect()}
+    for i, (s, x) in enumerate(cases):
+        distinct = list(dict.fromkeys(x))
+        assert got[i] == [distinct.index(v) for v in s if v is not None and v in distinct], (s, x)
+
+    def seconds(n):
+        one = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda v: F.concat(F.lit("Add "), v.cast("string"))).alias("s"))
+        t = time.perf_counter()
+        assert one.select(F.size(_places(F.col("s"), F.reverse("s"))).alias("n")).first()["n"] == n
+        return time.perf_counter() - t
+    seconds(16_000)
+    assert seconds(32_000) < 2.5 * max(seconds(16_000), 1.0)
