@@ -6,7 +6,7 @@ those queries against brute force, exact round trips or held-out rows.
 
 from __future__ import annotations
 
-from ladle.llm.license_scan import BASE_PHRASES, TEMPLATES, THRESHOLD, need
+from ladle.llm.license_scan import BASE_PHRASES, TEMPLATES, THRESHOLD, WINDOWS, classes, need, supersets
 from ladle.llm.mixing import CHUNK
 from ladle.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS
 from ladle.llm.url_filter import BINS, CALIBRATION, MAX_BIN, MILLION, ORDER, RULES
@@ -25,33 +25,34 @@ def _list(values) -> str:
 
 
 def license_scan() -> str:
-    """Every line against every template, with no prefix, length or positional filter."""
+    """Every window against every template of its class, with no prefix, length or positional filter."""
     places = []
     for phrase, _ in BASE_PHRASES:
         here = " AND ".join(f"coalesce(w[i + {k}], '') = '{p}'" for k, p in enumerate(phrase.split()))
         places.append(f"list_filter(range(1, len(w) + 1), lambda i: {here})")
-    met = []
-    for label, text in TEMPLATES:
-        tokens = sorted(set(text.split()))
-        met.append(f"list_transform(lw, lambda l: CASE WHEN len(list_intersect(l, {_list(tokens)})) >= {need(len(tokens), THRESHOLD)} "
-                   f"THEN {{'label': '{label}', 'share': CAST(len(list_intersect(l, {_list(tokens)})) AS DOUBLE) / {len(tokens)}.0}} END)")
-    found = ", ".join(met)
+    templates = ", ".join(f"({tid}, '{label}', {_list(sorted(set(text.split())))}, {need(len(set(text.split())), THRESHOLD)}, {window}, {above or '[]'}::INT[])"
+                          for tid, ((label, text), window, above) in enumerate(zip(TEMPLATES, classes(TEMPLATES), supersets(TEMPLATES))))
     held = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(BASE_PHRASES))
     all_places = "list_concat(list_concat(p0, p1), list_concat(p2, p3))"
     return f"""
-WITH t AS (SELECT doc_id, string_split(translate(coalesce(text, ''), {_A_TO_Z}), chr(10)) AS lines FROM documents),
-lw AS (SELECT doc_id, list_transform(lines, lambda x: regexp_extract_all(x, '{_LICENSE_WORD}')) AS lw FROM t),
-ww AS (SELECT *, flatten(lw) AS w FROM lw),
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, {_lowered("coalesce(text, '')")} AS lower FROM documents),
+ww AS (SELECT r, doc_id, regexp_extract_all(lower, '{_LICENSE_WORD}') AS w FROM t),
 p AS (SELECT *, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM ww),
-m AS (SELECT *, {all_places} AS places, list_filter([{held}], lambda x: x IS NOT NULL) AS held, [{found}] AS met FROM p),
-f AS (SELECT *, list_filter(flatten(met), lambda x: x IS NOT NULL) AS hits,
-        list_transform(range(1, len(lw) + 1), lambda i: len(list_filter(met, lambda per: per[i] IS NOT NULL)) > 0) AS line_met FROM m)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+m AS (SELECT r, doc_id, len(w) AS n_words, {all_places} AS places, list_filter([{held}], lambda x: x IS NOT NULL) AS held FROM p),
+templates(tid, label, tokens, least, size, above) AS (VALUES {templates}),
+starts AS (SELECT r, w, size, unnest(range(0, greatest(CAST(ceil(len(w) / CAST(size // 4 AS DOUBLE)) AS BIGINT), 0))) AS k
+           FROM ww, (SELECT unnest([{", ".join(map(str, WINDOWS))}]) AS size)),
+windows AS (SELECT r, size, k, list_distinct(w[k * (size // 4) + 1:k * (size // 4) + size]) AS tokens FROM starts),
+met AS (SELECT b.r, b.size, b.k, tid, label, above, len(list_intersect(b.tokens, t.tokens)) / CAST(len(t.tokens) AS DOUBLE) AS share
+        FROM windows b JOIN templates t ON t.size = b.size AND len(list_intersect(b.tokens, t.tokens)) >= t.least),
+own AS (SELECT * FROM met a WHERE NOT EXISTS (SELECT 1 FROM met o WHERE o.r = a.r AND o.size = a.size AND o.k = a.k AND list_contains(a.above, o.tid))),
+g AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS share, count(DISTINCT (size, k)) AS n_blocks FROM own GROUP BY r)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
   CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
   array_to_string(list_sort(list_distinct(held)), ',') AS base_labels,
-  array_to_string(list_sort(list_distinct(list_concat(held, list_transform(hits, lambda h: h.label)))), ',') AS labels,
-  CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(list_max(list_transform(hits, lambda h: h.share)), 0.0) END::DOUBLE AS score,
-  CAST(len(list_filter(line_met, lambda x: x)) AS BIGINT) AS n_blocks FROM f"""
+  array_to_string(list_sort(list_distinct(list_concat(held, coalesce(g.labels, [])))), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(g.share, 0.0) END::DOUBLE AS score,
+  CAST(coalesce(g.n_blocks, 0) AS BIGINT) AS n_blocks FROM m LEFT JOIN g ON g.r = m.r"""
 
 
 def near_duplicates() -> str:

@@ -26,14 +26,15 @@ def brute_license(text):
     every = [i for at in places.values() for i in at]
     base = sorted(k for k, at in places.items() if at)
     labels, best, blocks = set(base), 0.0, 0
-    for line in lower.split("\n"):
-        have, met = set(re.findall(LS.SEPARATORS.replace("[", "[^"), line)), False
-        for label, t in LS.TEMPLATES:
-            t = set(t.split())
-            if len(have & t) >= LS.need(len(t), LS.THRESHOLD):
-                labels.add(label)
-                best, met = max(best, len(have & t) / len(t)), True
-        blocks += met
+    sets, sizes = [set(t.split()) for _, t in LS.TEMPLATES], LS.classes(LS.TEMPLATES)
+    for size in LS.WINDOWS:
+        for k in range(0, len(w), size // 4):
+            have = set(w[k:k + size])
+            met = [i for i, t in enumerate(sets) if sizes[i] == size and len(have & t) >= LS.need(len(t), LS.THRESHOLD)]
+            own = [i for i in met if not any(sets[i] < sets[j] for j in met)]
+            labels |= {LS.TEMPLATES[i][0] for i in own}
+            best = max([best, *(len(have & sets[i]) / len(sets[i]) for i in own)])
+            blocks += bool(own)
     return (len(w), len(every), min(every, default=None), max(every, default=None), ",".join(base), ",".join(sorted(labels)),
             1.0 if every else best, blocks)
 
@@ -51,6 +52,32 @@ def test_license_scan_matches_brute_force(which, request):
     assert any(k[2] for k in got)
 
 
+NOTICES = {
+    "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for\n any purpose with or without fee is hereby\n granted": "isc",
+    "x " * 37 + "Permission is hereby granted, free of\n * charge, to any person obtaining a\n * copy of this software " + "y " * 50: "mit",
+    "You may redistribute it and/or modify\nit under the terms of the GNU General Public License\nas published by the Free Software Foundation": "gpl",
+    "licensed under the GNU Lesser General Public License": "lgpl",
+    "It is licensed under the\nGNU Affero General Public License": "agpl",
+    "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",  # the base phrase stays
+    "they released " + "more prose " * 90 + "under the sun " + "some words " * 90 + "a license " + "and so on " * 60 + "from mit": "",
+    "wor\u212a released under the M\u0130T license": "",
+}
+
+
+def test_notices_across_lines_and_inside_others(spark):
+    docs = spark.createDataFrame(list(enumerate(NOTICES)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["n_blocks"]) for r in LS.scan(docs).collect()}
+    for i, (text, want) in enumerate(NOTICES.items()):
+        assert got[i] == (want, brute_license(text)[7]), text
+
+
+def test_every_notice_fits_a_window_wherever_it_stands():
+    for (_, text), size in zip(LS.TEMPLATES, LS.classes(LS.TEMPLATES)):
+        n = len(text.split())
+        assert all(any(k <= at and at + n <= k + size for k in range(0, at + 1, size // 4)) for at in range(200))
+
+
 def brute_base(text):
     t = text or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
