@@ -271,17 +271,29 @@ def neighbours_together(tokens: DataFrame, counts: np.ndarray) -> DataFrame:
     return held.repartitionByRange(parts, *key).sortWithinPartitions(*key).select("doc_id", "ids")
 
 
+class Heaviest(dict):
+    """document -> its terms by falling weight, worked out for the documents that come to be seeds."""
+
+    def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
+        super().__init__()
+        self.terms, self.weights = terms, weights
+
+    def __missing__(self, d: int) -> np.ndarray:
+        self[d] = self.terms[d][np.argsort(-self.weights[d], kind="stable")]
+        return self[d]
+
+
 class Index:
     """BM25 inverted index of one shard: postings by id, with the shard-independent weights of all documents."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        self.terms, weights, owner, self.query = [], [], [], []
+        self.terms, weights, owner = [], [], []
         for d, ids in enumerate(docs):
             terms, w = bm25(ids, idf, mean_length)
-            self.query.append(terms[np.argsort(-w, kind="stable")])
             self.terms.append(terms)
             weights.append(w.astype(np.float32))
             owner.append(np.full(len(terms), d, np.int32))
+        self.query = Heaviest(self.terms, weights)
         terms = np.concatenate(self.terms)
         order = np.argsort(terms, kind="stable")
         self.owner, self.weight = np.concatenate(owner)[order], np.concatenate(weights)[order]
