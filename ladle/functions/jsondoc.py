@@ -24,6 +24,10 @@ STRING_LIT_RE = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 SQL_STRING_LIT_RE = r'(?s)"(?:[^"\\]|\\.)*"'
 TRAILING_COMMA_RE = r",(\s*[}\]])"
 NON_BRACKET_RE = r"[^\[\]{}]"
+# what stands between two brackets, strings included, as one match
+BETWEEN_BRACKETS_RE = rf'(?:{STRING_LIT_RE}|[^\[\]{{}}"]++)++'
+# an opener with its closer, and pairs in it, two deep
+CLOSED_RE = r"[\[{](?:[\[{](?:[\[{][\]}])*+[\]}])*+[\]}]"
 BARE_TOKEN_RE = r"(^|[^A-Za-z0-9_])(NaN|-?Infinity)([^A-Za-z0-9_]|$)"
 ESCAPE_RE = r"(?s)\\."
 
@@ -37,10 +41,9 @@ def parse_strict(col) -> Column:
     taken back out.  JSON null is kept as a variant null.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), _c(col), F.lit("\n]")))
-    # exactly one element: $[0] present and no $[1] (no array is materialised)
-    first = F.variant_get(wrapped, "$[0]", "variant")
-    second = F.variant_get(wrapped, "$[1]", "variant")
-    return F.when(second.isNull(), first)
+    # exactly one element: $[0] present and no $[1]; a list of one, so that the text is parsed once
+    single = F.get(F.filter(F.array(wrapped), lambda w: F.variant_get(w, "$[1]", "variant").isNull()), 0)
+    return F.variant_get(single, "$[0]", "variant")
 
 
 def sql_parse_ok(e: str) -> str:
@@ -72,7 +75,7 @@ def _sql_fence_cut(e: str) -> str:
 
 def _drop_trailing_commas(c: Column) -> Column:
     """Commas before a closing bracket go, unless they stand inside a string."""
-    return F.regexp_replace(c, f"({STRING_LIT_RE})|{TRAILING_COMMA_RE}", "$1$2")
+    return F.when(F.rlike(c, F.lit(TRAILING_COMMA_RE)), F.regexp_replace(c, f"({STRING_LIT_RE})|{TRAILING_COMMA_RE}", "$1$2")).otherwise(c)
 
 
 def _sql_drop_trailing_commas(e: str) -> str:
@@ -91,9 +94,12 @@ def _close_open(c: Column) -> Column:
     One pass over the brackets from the right: a closer waits for its opener, and an opener
     that no closer waits for is still open.  Any depth; NULL if a closer has no opener.
     """
-    quotes = F.length(F.regexp_replace(F.regexp_replace(c, ESCAPE_RE, ""), '[^"]', ""))
+    bare = F.regexp_replace(c, ESCAPE_RE, "")
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
     s = F.when(quotes % 2 == 1, F.concat(F.regexp_replace(c, r"(?<!\\)((?:\\\\)*+)\\\z", "$1"), F.lit('"'))).otherwise(c)
-    brackets = F.reverse(F.regexp_replace(F.regexp_replace(s, STRING_LIT_RE, ""), NON_BRACKET_RE, ""))
+    brackets = F.regexp_replace(F.regexp_replace(s, BETWEEN_BRACKETS_RE, ""), NON_BRACKET_RE, "")
+    # closed pairs change nothing in the pass
+    brackets = F.reverse(F.regexp_replace(brackets, CLOSED_RE, ""))
     start = F.struct(F.lit(0).alias("waiting"), F.lit("").alias("closers"))
 
     def step(acc, b):
@@ -102,8 +108,8 @@ def _close_open(c: Column) -> Column:
         still_open = ~closer & (acc["waiting"] == 0)
         return F.struct(waiting.alias("waiting"), F.when(still_open, F.concat(acc["closers"], F.translate(b, "{[", "}]")))
                         .otherwise(acc["closers"]).alias("closers"))
-    found = F.aggregate(F.split(brackets, ""), start, step)
-    return F.when(found["waiting"] == 0, _drop_trailing_commas(F.concat(s, found["closers"])))
+    found = F.aggregate(F.split(brackets, ""), start, step, lambda acc: F.when(acc["waiting"] == 0, acc["closers"]))
+    return _drop_trailing_commas(F.concat(s, found))
 
 
 def sql_close_open_ctes(src: str, text: str, out: str) -> list[tuple[str, str]]:
@@ -151,19 +157,26 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
     rungs read a copy of the text that is NULL when the first rung succeeded,
     so clean rows skip all regex work; each rung and its parse is a column of
     its own, built from the previous rung, so no rung is repeated inside
-    another and the generated code stays small.
+    another and the generated code stays small.  A rung is worked out only if
+    none before it parsed, and parsed only if its text is a new one: a failed
+    parse costs more than a good one.
     """
     c0 = _c(col)
     out = df.withColumn("_lt0", parse_strict(c0)).withColumn("_lt_in", F.when(F.col("_lt0").isNull(), c0))
     # each rung reads the text of an earlier one: (rung, its input)
     steps = [(_fence_cut, "_lt_in"), (outer_json, "_lt_c1"), (_drop_trailing_commas, "_lt_c2"),
              (lambda c: _close_open(_from_first_brace(c)), "_lt_c1")]
-    # token repair only of what no rung before it could parse
-    hard = F.coalesce(*[F.col(f"_lt_p{i}") for i in range(1, len(steps) + 1)]).isNull()
-    steps += [(lambda c: repair_tokens(F.when(hard & c.startswith("{"), c)), "_lt_c2"),
-              (lambda c: _close_open(repair_tokens(F.when(hard & F.col("_lt_p5").isNull(), _from_first_brace(c)))), "_lt_c1")]
+    # token repair of an object only
+    steps += [(lambda c: repair_tokens(F.when(c.startswith("{"), c)), "_lt_c2"),
+              (lambda c: _close_open(repair_tokens(_from_first_brace(c))), "_lt_c1")]
     for i, (step, source) in enumerate(steps, start=1):
-        out = out.withColumn(f"_lt_c{i}", step(F.col(source))).withColumn(f"_lt_p{i}", parse_strict(F.col(f"_lt_c{i}")))
+        open_yet = F.coalesce(F.lit(None), *[F.col(f"_lt_p{j}") for j in range(1, i)]).isNull()
+        out = out.withColumn(f"_lt_c{i}", step(F.when(open_yet, F.col(source))))
+        made = F.col(f"_lt_c{i}")
+        tried = made.eqNullSafe(F.col("_lt_in"))
+        for j in range(1, i):
+            tried = tried | made.eqNullSafe(F.col(f"_lt_c{j}"))
+        out = out.withColumn(f"_lt_p{i}", parse_strict(F.when(~tried, made)))
     rungs = [F.when(F.col("_lt0").isNotNull(), F.struct(F.col("_lt0").alias("d"), F.lit(0).alias("k"), c0.alias("s")))]
     rungs += [F.when(F.col(f"_lt_p{i}").isNotNull(), F.struct(F.col(f"_lt_p{i}").alias("d"), F.lit(i).alias("k"),
                                                             F.col(f"_lt_c{i}").alias("s"))) for i in range(1, len(steps) + 1)]

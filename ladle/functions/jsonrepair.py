@@ -11,6 +11,9 @@ two neighbours, so the work is linear in the text:
 * a string cut off at the end of the text is closed (open brackets are left to the ladder).
 
 Brackets are never added, dropped or changed here, so mismatched ones stay rejected.
+
+A run of tokens that need no change (brackets, keys and plain strings in quotes of one kind, without white space
+between them) is read as one token, so that only what is damaged is worked on token by token.
 """
 
 from __future__ import annotations
@@ -36,11 +39,24 @@ def _string(q: str) -> str:
     return rf"{q}(?:[^{q}\\]++|\\(?s:.)|\\\z|{q}(?!{_CLOSES}))*+(?:{q}|\z)"
 
 
-TOKEN_RE = "|".join([r"\s++", _COMMENT, _string('"'), _string("'"), r"“[^”]*+(?:”|\z)", r"[{}\[\],:]",
-                     rf"{NUMBER_RE}(?=\s*+(?:[,:}}\]\[\"'“{{]|\z|//|/\*|#)|\s++-?\d)", r"[^\s\"'“{}\[\],:][^\"“{}\[\],:\n]*+", r"(?s:.)"])
+# characters that a plain string in quotes of a kind has none of, one by one: Java tests such a list in one look-up
+_NO_CONTROL = "".join(rf"\x{i:02x}" for i in range(0x20))
+_PLAIN_IN = {'"': rf'"[^"\\{_NO_CONTROL}]*+"', "'": rf"'[^'\"\\{_NO_CONTROL}]*+'"}
+
+
+def _run(q: str) -> str:
+    """Tokens of which each two side by side stay as they are: strings in ``q`` with neither quotes nor escapes, and brackets."""
+    plain, value = _PLAIN_IN[q], rf"(?=[{q}{{\[])"
+    return rf"(?:{plain}(?::{value}|,{value}|(?=[}}\]]))|[{{\[](?=[{q}{{}}\[\]])|[}}\]](?:,{value}|(?=[}}\]])))++"
+
+
+SINGLE_TOKEN_RE = "|".join([r"\s++", _COMMENT, _string('"'), _string("'"), r"“[^”]*+(?:”|\z)", r"[{}\[\],:]",
+                            rf"{NUMBER_RE}(?=\s*+(?:[,:}}\]\[\"'“{{]|\z|//|/\*|#)|\s++-?\d)", r"[^\s\"'“{}\[\],:][^\"“{}\[\],:\n]*+", r"(?s:.)"])
+TOKEN_RE = "|".join([_run(q) for q in _PLAIN_IN] + [SINGLE_TOKEN_RE])
 SKIPPED_RE = r"\A(?:\s|//|#|/\*)"
 _ODD_BACKSLASH = r"(?<!\\)((?:\\\\)*+)\\"
-_PLAIN_STRING = r'\A"[^"\\\x00-\x1f]*+"\z'
+# a plain string, or a run that starts with one (in a single string token no closing quote stands before these)
+_PLAIN = r"\A(?:" + "|".join(rf"{_PLAIN_IN[q]}(?:\z|[:}}\]]|,(?:\z|[{q}{{\[]))" for q in _PLAIN_IN) + ")"
 _CONTROL = {"\n": r"\n", "\r": r"\r", "\t": r"\t"}
 
 
@@ -62,8 +78,9 @@ def _written(token: Column, is_key: Column) -> Column:
     word = F.rtrim(F.regexp_replace(token, r"\s+\z", ""))
     bare = F.concat(F.lit('"'), F.regexp_replace(word, r"\\", r"\\\\"), F.lit('"'))
     literal = F.coalesce(*[F.when(word.isin(words), F.lit(literal)) for literal, words in LITERALS.items()])
-    return (F.when(head.isin("{", "}", "[", "]", ",", ":"), token)
-            .when(F.rlike(token, F.lit(_PLAIN_STRING)), token)
+    # a run in single quotes holds no double ones
+    whole = F.when(F.contains(token, F.lit('"')), token).otherwise(F.translate(token, "'", '"'))
+    return (F.when(head.isin("{", "}", "[", "]", ",", ":") | F.rlike(token, F.lit(_PLAIN)), whole)
             .when(head == '"', _quoted(content)).when(head.isin("'", "“"), single)
             .when(is_key, bare)
             .when(F.rlike(word, F.lit(rf"\A{NUMBER_RE}\z")) | word.isin(NOT_JSON), word)
@@ -76,9 +93,11 @@ def repair_tokens(text: Column) -> Column:
 
     def written(all_tokens: Column) -> Column:
         def one(token: Column, i: Column) -> Column:
-            before, after = F.coalesce(F.get(all_tokens, i - 1), F.lit("")), F.coalesce(F.get(all_tokens, i + 1), F.lit(""))
+            # of the neighbours, only the character that stands beside the token counts
+            before = F.coalesce(F.right(F.get(all_tokens, i - 1), F.lit(1)), F.lit(""))
+            after = F.coalesce(F.left(F.get(all_tokens, i + 1), F.lit(1)), F.lit(""))
             value_ends = ~before.isin("", "{", "[", ",", ":")
-            value_starts = ~token.isin("}", "]", ",", ":")
+            value_starts = ~F.left(token, F.lit(1)).isin("}", "]", ",", ":")
             comma = F.when(value_ends & value_starts, ",").otherwise("")
             spare = (token == ",") & (after.isin(",", "}", "]") | before.isin("{", "["))
             empty = F.when((token == ":") & after.isin(",", "}", "]"), "null").otherwise("")
