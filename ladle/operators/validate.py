@@ -80,23 +80,16 @@ def _rule(kind_name: str, field: str) -> tuple[list[Column], list[Column]]:
                            F.concat(F.lit(f"{field} should be in ISO 8601 duration format (e.g., 'PT15M'), got '"), s, F.lit("'"))),
                     F.when((k == "string") & s.startswith("PT") & (F.length(s) <= 2),
                            F.concat(F.lit(f"{field} appears to be incomplete: '"), s, F.lit("'"))))])
-    arr = F.try_variant_get(v, "$", "array<variant>")
+    arr = F.col(_col_name(field) + "_list")
     is_arr = k == "array"
     head = ([F.array(F.when(~_absent(k) & ~is_arr, F.lit(f"{field} must be an array")))],
             [F.array(F.when(is_arr & (F.size(arr) == 0), F.lit(f"{field} is empty")))])
     if kind_name == "ingredients":
         items = F.transform(arr, lambda x, i: F.when(
-            kind(x) != "string", F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] must be a string"))))
+            _item_kind(x) != "string", F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] must be a string"))))
         return head[0] + [F.when(is_arr, items)], head[1]
 
-    # One cast turns the items into structs of the two keys the rules look at:
-    # a non-object item becomes NULL, a missing key SQL NULL, a JSON null a
-    # variant null.  A second pass derives the kinds, a third writes messages.
-    items = F.try_variant_get(v, "$", "array<struct<`@type`:variant,text:variant>>")
-    facts = F.transform(items, lambda it: F.struct(
-        F.when(it.isNull(), F.lit("other")).otherwise(F.lit("object")).alias("k"),
-        it["@type"].alias("t"), kind(it["@type"]).alias("kt"), kind(it["text"]).alias("ktx"),
-        F.variant_get(it["text"], "$", "string").alias("txs")))
+    facts = F.col(_col_name(field) + "_facts")
 
     def item_errors(f: Column, i: Column) -> Column:
         pre = F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("]"))
@@ -117,11 +110,31 @@ def _rule(kind_name: str, field: str) -> tuple[list[Column], list[Column]]:
             head[1] + [F.when(is_arr, F.transform(facts, item_warnings))])
 
 
+def _item_kind(v: Column) -> Column:
+    """``missing``, ``string`` or ``other``: all that the rules tell apart in an item, without the look-up of its name."""
+    return F.when(v.isNull(), F.lit("missing")).when(F.schema_of_variant(v) == "STRING", F.lit("string")).otherwise(F.lit("other"))
+
+
+def _step_facts(v: Column) -> Column:
+    # One cast turns the items into structs of the two keys the rules look at:
+    # a non-object item becomes NULL, a missing key SQL NULL, a JSON null a
+    # variant null.  A second pass derives the kinds, a third writes messages.
+    items = F.try_variant_get(v, "$", "array<struct<`@type`:variant,text:variant>>")
+    return F.transform(items, lambda it: F.struct(
+        F.when(it.isNull(), F.lit("other")).otherwise(F.lit("object")).alias("k"),
+        it["@type"].alias("t"), _item_kind(it["@type"]).alias("kt"), _item_kind(it["text"]).alias("ktx"),
+        F.variant_get(it["text"], "$", "string").alias("txs")))
+
+
+#: fields whose rule looks at a list's items
+_LISTS = {f: k for k, f in RULE_ORDER if k in ("ingredients", "instructions")}
+
+
 def _kind_of(field: str) -> Column:
     """Kind of a field's value.  A list is told by a cast: ``kind`` would print the schema of every item."""
     v = F.col(_col_name(field))
-    if {f: k for k, f in RULE_ORDER}.get(field) in ("ingredients", "instructions"):
-        return F.when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("array")).otherwise(kind(v))
+    if field in _LISTS:
+        return F.when(F.col(_col_name(field) + "_list").isNotNull(), F.lit("array")).otherwise(kind(v))
     return kind(v)
 
 
@@ -164,6 +177,11 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
                          .when(F.col("_fields").isNull(), F.lit("other")).otherwise(F.lit("object")))
     for f in FIELDS:
         out = out.withColumn(_col_name(f), F.col("_fields")[f])
+    # lists and the facts of their items are columns of their own, so that each is worked out once
+    for f, rule in _LISTS.items():
+        out = out.withColumn(_col_name(f) + "_list", F.try_variant_get(F.col(_col_name(f)), "$", "array<variant>"))
+        if rule == "instructions":
+            out = out.withColumn(_col_name(f) + "_facts", _step_facts(F.col(_col_name(f))))
     for f in FIELDS:
         out = out.withColumn(_col_name(f) + "_k", _kind_of(f))
     errs = [F.array(_present_list(REQUIRED_FIELDS, MSG_MISSING_REQUIRED))] if use_req else []
