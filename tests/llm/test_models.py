@@ -161,3 +161,24 @@ def test_calibration_rows_stand_for_all_rows_of_their_class(spark, monkeypatch):
     monkeypatch.setattr(TX.TextCNN, "_calibrate", lambda self, p, language, y, weight=None: seen.extend(zip(y, weight)))
     TX.train(docs, labels, per_class=100)
     assert {int(c): w for c, w in seen} == {0: usable[0] / 100, 1: 1.0}
+
+
+def test_toxicity_embeds_the_new_words_of_a_text_in_one_step():
+    class Counted(TX.TextCNN):
+        calls = 0
+
+        def embed(self, rows):
+            Counted.calls += 1
+            return super().embed(rows)
+    model = Counted()
+    texts = [None, b"", b"one", "Ça (va) İstanbul x".encode(), " ".join(f"word{i}, a" for i in range(5000)).encode(), b"one word1, word7000"]
+    for limit in (TX.CACHE_SCORED, 3):  # with few words kept, the others are embedded again
+        words = TX.Embedded(model, limit)
+        for text in texts:
+            before = Counted.calls
+            ids = words.encode(text)
+            assert Counted.calls - before <= 1
+            plain = [TX.features(w) for w in TX.words_of(text)]
+            vectors = np.array([model.table[rows].sum(axis=0) for rows, _ in plain], np.float32).reshape(-1, TX.DIM)
+            assert np.array_equal(words.vectors[ids], vectors) and words.marks[ids].tolist() == [m for _, m in plain]
+            assert np.array_equal(model.activations(ids, words.vectors.__getitem__), model.maxima(ids, words.vectors.__getitem__)[0])
