@@ -124,6 +124,16 @@ class Encoder:
         return [np.append(ids[x:y], np.uint16(END_ID)) for x, y in zip(ends[:-1], ends[1:])]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder: its tokenizer is read, and its parts are encoded, once for all its tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("string")
     return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"))
@@ -137,7 +147,7 @@ def tokenize(d: DataFrame, tokenizer: str, grouping=None) -> DataFrame:
                         ("counts", pa.binary())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         counts, row = np.zeros(COUNTS, np.int64), TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, n in slices(batch.column(1)):

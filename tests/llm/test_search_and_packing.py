@@ -157,3 +157,12 @@ def test_neighbours_come_from_all_partitions(spark, layout):
         windows[r["sequence_id"]].append((r["offset"], topic_of[r["doc_id"]]))
     others = [t == min(w)[1] for w in windows.values() for o, t in w if o]
     assert len(others) > 600 and np.mean(others) > 0.75
+
+
+def test_tokenizer_is_read_once_for_all_tasks_of_a_worker():
+    path = PK.default_tokenizer()
+    warm = PK.encoder_of(path)
+    assert PK.encoder_of(path) is warm
+    first, again = (pa.array(x) for x in (["Some words, some (other) words", ""], ["", "other words; Some"]))
+    for texts in (first, again, first):
+        assert [x.tolist() for x in warm.encode(texts)] == [x.tolist() for x in PK.Encoder(path).encode(texts)]
