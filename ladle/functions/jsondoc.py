@@ -33,6 +33,15 @@ ESCAPE_RE = r"(?s)\\."
 
 # --- strict parse ---------------------------------------------------------------
 
+def _wrapped(c: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), c, F.lit("\n]")))
+
+
+def _single(w: Column) -> Column:
+    # exactly one element: $[0] present and no $[1]
+    return F.when(F.variant_get(w, "$[1]", "variant").isNull(), F.variant_get(w, "$[0]", "variant"))
+
+
 def parse_strict(col) -> Column:
     """VARIANT of the text when the *whole* text is one JSON value, else NULL.
 
@@ -40,10 +49,8 @@ def parse_strict(col) -> Column:
     text in ``[ ]`` makes the parser consume all of it, and the single element is
     taken back out.  JSON null is kept as a variant null.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), _c(col), F.lit("\n]")))
-    # exactly one element: $[0] present and no $[1]; a list of one, so that the text is parsed once
-    single = F.get(F.filter(F.array(wrapped), lambda w: F.variant_get(w, "$[1]", "variant").isNull()), 0)
-    return F.variant_get(single, "$[0]", "variant")
+    # a list of one, so that the text is parsed once
+    return F.get(F.transform(F.array(_wrapped(_c(col))), _single), 0)
 
 
 def sql_parse_ok(e: str) -> str:
@@ -162,7 +169,8 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
     parse costs more than a good one.
     """
     c0 = _c(col)
-    out = df.withColumn("_lt0", parse_strict(c0)).withColumn("_lt_in", F.when(F.col("_lt0").isNull(), c0))
+    # the parse of every row is a column of its own, which is compiled; a list's lambda is not
+    out = df.withColumn("_lt_w", _wrapped(c0)).withColumn("_lt0", _single(F.col("_lt_w"))).withColumn("_lt_in", F.when(F.col("_lt0").isNull(), c0))
     # each rung reads the text of an earlier one: (rung, its input)
     steps = [(_fence_cut, "_lt_in"), (outer_json, "_lt_c1"), (_drop_trailing_commas, "_lt_c2"),
              (lambda c: _close_open(_from_first_brace(c)), "_lt_c1")]
@@ -182,7 +190,7 @@ def parse_tolerant(df, col: str, doc: str = "doc", outcome: str = "outcome", tex
                                                             F.col(f"_lt_c{i}").alias("s"))) for i in range(1, len(steps) + 1)]
     out = out.withColumn("_lt", F.coalesce(*rungs))
     k = F.col("_lt.k")
-    tmp = ["_lt", "_lt0", "_lt_in"] + [f"_lt_{x}{i}" for i in range(1, len(steps) + 1) for x in ("c", "p")]
+    tmp = ["_lt", "_lt_w", "_lt0", "_lt_in"] + [f"_lt_{x}{i}" for i in range(1, len(steps) + 1) for x in ("c", "p")]
     return (out.withColumn(doc, F.col("_lt.d"))
                .withColumn(outcome, F.when(k == 0, "ok").when(k.isNotNull(), "repaired").otherwise("rejected"))
                .withColumn(text, F.col("_lt.s"))

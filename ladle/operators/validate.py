@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.jsondoc import (
-    _sql_drop_trailing_commas, _sql_fence_cut, as_text, kind, parse_tolerant, sql_as_text, sql_close_open_ctes,
+    _sql_drop_trailing_commas, _sql_fence_cut, as_text, parse_tolerant, sql_as_text, sql_close_open_ctes,
     sql_kind, sql_kind_of, sql_parse_ok, sql_path_of,
 )
 from ladle.functions.text import is_blank, sql_is_blank, sql_outer_json, sql_str
@@ -52,102 +52,108 @@ def _absent(k: Column) -> Column:
 
 
 def _s(field: str) -> Column:
-    return F.variant_get(F.col(_col_name(field)), "$", "string")
+    return F.col(_col_name(field) + "_s")
 
 
 def _k(field: str) -> Column:
     return F.col(_col_name(field) + "_k")
 
 
+def _items(field: str) -> Column:
+    return F.col(_col_name(field) + "_items")
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _one(broken: Column, message) -> Column:
+    """The list of a rule's message, empty where it holds: lists without NULLs are joined by compiled code alone."""
+    return F.when(broken, F.array(message if isinstance(message, Column) else F.lit(message))).otherwise(_none())
+
+
 def _rule(kind_name: str, field: str) -> tuple[list[Column], list[Column]]:
-    """(error arrays, warning arrays) of one rule; each array may hold NULLs."""
-    k, s, v = _k(field), _s(field), F.col(_col_name(field))
+    """(error arrays, warning arrays) of one rule; an array may be NULL but holds none."""
+    k = _k(field)
+    if kind_name in ("ingredients", "instructions"):
+        items = _items(field)
+        head = ([_one(~_absent(k) & items.isNull(), f"{field} must be an array")], [_one(F.size(items) == 0, f"{field} is empty")])
+        found = F.filter(items, lambda x: x.isNotNull())
+        if kind_name == "ingredients":
+            return head[0] + [found], head[1]
+        return (head[0] + [F.flatten(F.transform(found, lambda x: x["errors"]))],
+                head[1] + [F.flatten(F.transform(found, lambda x: x["warnings"]))])
+    s, is_string = _s(field), k == "string"
+    errors = [_one(~_absent(k) & ~is_string, f"{field} must be a string")]
     if kind_name == "context":
-        return ([F.array(F.when(~_absent(k) & (k != "string"), F.lit("@context must be a string")))],
-                [F.array(F.when((k == "string") & (s != SCHEMA_ORG),
-                                F.concat(F.lit("@context is '"), s, F.lit(f"', expected '{SCHEMA_ORG}'"))))])
+        return errors, [_one(is_string & (s != SCHEMA_ORG), F.concat(F.lit("@context is '"), s, F.lit(f"', expected '{SCHEMA_ORG}'")))]
     if kind_name == "type":
-        return ([F.array(F.when(~_absent(k) & (k != "string"), F.lit("@type must be a string")),
-                         F.when((k == "string") & (s != RECIPE),
-                                F.concat(F.lit(f"@type must be '{RECIPE}', got '"), s, F.lit("'"))))], [])
+        return errors + [_one(is_string & (s != RECIPE), F.concat(F.lit(f"@type must be '{RECIPE}', got '"), s, F.lit("'")))], []
     if kind_name == "string":
-        return ([F.array(F.when(~_absent(k) & (k != "string"), F.lit(f"{field} must be a string")))],
-                [F.array(F.when((k == "string") & is_blank(s), F.lit(f"{field} is empty")))])
-    if kind_name == "duration":
-        return ([F.array(F.when(~_absent(k) & (k != "string"), F.lit(f"{field} must be a string")))],
-                [F.array(
-                    F.when((k == "string") & ~s.startswith("PT"),
-                           F.concat(F.lit(f"{field} should be in ISO 8601 duration format (e.g., 'PT15M'), got '"), s, F.lit("'"))),
-                    F.when((k == "string") & s.startswith("PT") & (F.length(s) <= 2),
-                           F.concat(F.lit(f"{field} appears to be incomplete: '"), s, F.lit("'"))))])
-    arr = F.col(_col_name(field) + "_list")
-    is_arr = k == "array"
-    head = ([F.array(F.when(~_absent(k) & ~is_arr, F.lit(f"{field} must be an array")))],
-            [F.array(F.when(is_arr & (F.size(arr) == 0), F.lit(f"{field} is empty")))])
-    if kind_name == "ingredients":
-        items = F.transform(arr, lambda x, i: F.when(
-            _item_kind(x) != "string", F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] must be a string"))))
-        return head[0] + [F.when(is_arr, items)], head[1]
+        return errors, [_one(is_string & is_blank(s), f"{field} is empty")]
+    return errors, [
+        _one(is_string & ~s.startswith("PT"),
+             F.concat(F.lit(f"{field} should be in ISO 8601 duration format (e.g., 'PT15M'), got '"), s, F.lit("'"))),
+        _one(is_string & s.startswith("PT") & (F.length(s) <= 2), F.concat(F.lit(f"{field} appears to be incomplete: '"), s, F.lit("'")))]
 
-    facts = F.col(_col_name(field) + "_facts")
 
-    def item_errors(f: Column, i: Column) -> Column:
-        pre = F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("]"))
-        obj, kt, ktx = f["k"] == "object", f["kt"], f["ktx"]
-        return F.array(
-            F.when(~obj, F.concat(pre, F.lit(" must be an object"))),
-            F.when(obj & (kt == "missing"), F.concat(pre, F.lit(" missing @type field"))),
-            F.when(obj & (kt != "missing") & ~((kt == "string") & (F.variant_get(f["t"], "$", "string") == HOW_TO_STEP)),
-                   F.concat(pre, F.lit(f" @type must be '{HOW_TO_STEP}', got '"), as_text(f["t"]), F.lit("'"))),
-            F.when(obj & (ktx == "missing"), F.concat(pre, F.lit(" missing text field"))),
-            F.when(obj & (ktx != "missing") & (ktx != "string"), F.concat(pre, F.lit(" text must be a string"))))
+def _is_string(v: Column) -> Column:
+    return F.schema_of_variant(v) == "STRING"
 
-    def item_warnings(f: Column, i: Column) -> Column:
-        return F.when((f["k"] == "object") & (f["ktx"] == "string") & is_blank(f["txs"]),
-                      F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] text is empty")))
 
-    return (head[0] + [F.when(is_arr, F.flatten(F.transform(facts, item_errors)))],
-            head[1] + [F.when(is_arr, F.transform(facts, item_warnings))])
+def _item_kind(v: Column) -> Column:
+    """``missing``, ``string``, ``null`` or ``other``: all that the rules tell apart, without the look-up of a kind's name
+    and without the schema of every item that ``kind`` prints of a list."""
+    return (F.when(v.isNull(), F.lit("missing")).when(F.is_variant_null(v), F.lit("null"))
+            .when(_is_string(v), F.lit("string")).otherwise(F.lit("other")))
 
 
-def _item_kind(v: Column) -> Column:
-    """``missing``, ``string`` or ``other``: all that the rules tell apart in an item, without the look-up of its name."""
-    return F.when(v.isNull(), F.lit("missing")).when(F.schema_of_variant(v) == "STRING", F.lit("string")).otherwise(F.lit("other"))
+def _ingredient_items(field: str, v: Column) -> Column:
+    """For each item of a list its message, NULL for a good one; NULL for what is no list."""
+    return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: F.when(
+        ~F.coalesce(_is_string(x), F.lit(False)), F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("] must be a string"))))
 
 
-def _step_facts(v: Column) -> Column:
-    # One cast turns the items into structs of the two keys the rules look at:
-    # a non-object item becomes NULL, a missing key SQL NULL, a JSON null a
-    # variant null.  A second pass derives the kinds, a third writes messages.
-    items = F.try_variant_get(v, "$", "array<struct<`@type`:variant,text:variant>>")
-    return F.transform(items, lambda it: F.struct(
-        F.when(it.isNull(), F.lit("other")).otherwise(F.lit("object")).alias("k"),
-        it["@type"].alias("t"), _item_kind(it["@type"]).alias("kt"), _item_kind(it["text"]).alias("ktx"),
-        F.variant_get(it["text"], "$", "string").alias("txs")))
+def _step_items(field: str, v: Column) -> Column:
+    """For each item of a list the struct of its errors and warnings, NULL for a good one; NULL for what is no list.
 
+    One cast turns the items into structs of the two keys the rules look at: a non-object
+    item becomes NULL, a missing key SQL NULL, a JSON null a variant null.  Good items,
+    which most are, are told first and by themselves.
+    """
+    items = F.try_variant_get(v, "$", "array<struct<`@type`:variant,text:variant>>")
 
-#: fields whose rule looks at a list's items
-_LISTS = {f: k for k, f in RULE_ORDER if k in ("ingredients", "instructions")}
+    def item(it: Column, i: Column) -> Column:
+        t, tx = it["@type"], it["text"]
+        # nothing but a string has this text
+        how_to_step = F.try_variant_get(t, "$", "string") == HOW_TO_STEP
+        good = how_to_step & _is_string(tx) & ~is_blank(F.try_variant_get(tx, "$", "string"))
+        pre = F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("]"))
+        obj = it.isNotNull()
+        errors = F.array(
+            F.when(~obj, F.concat(pre, F.lit(" must be an object"))),
+            F.when(obj & t.isNull(), F.concat(pre, F.lit(" missing @type field"))),
+            F.when(obj & t.isNotNull() & ~F.coalesce(how_to_step, F.lit(False)),
+                   F.concat(pre, F.lit(f" @type must be '{HOW_TO_STEP}', got '"), as_text(t), F.lit("'"))),
+            F.when(obj & tx.isNull(), F.concat(pre, F.lit(" missing text field"))),
+            F.when(obj & tx.isNotNull() & ~_is_string(tx), F.concat(pre, F.lit(" text must be a string"))))
+        warnings = F.array(F.when(obj & _is_string(tx) & is_blank(F.try_variant_get(tx, "$", "string")), F.concat(pre, F.lit(" text is empty"))))
+        return F.when(~F.coalesce(good, F.lit(False)), F.struct(*[
+            F.filter(a, lambda m: m.isNotNull()).alias(n) for n, a in (("errors", errors), ("warnings", warnings))]))
+    return F.transform(items, item)
 
 
-def _kind_of(field: str) -> Column:
-    """Kind of a field's value.  A list is told by a cast: ``kind`` would print the schema of every item."""
-    v = F.col(_col_name(field))
-    if field in _LISTS:
-        return F.when(F.col(_col_name(field) + "_list").isNotNull(), F.lit("array")).otherwise(kind(v))
-    return kind(v)
+#: fields whose rule looks at a list's items
+_LISTS = {f: _step_items if k == "instructions" else _ingredient_items for k, f in RULE_ORDER if k in ("ingredients", "instructions")}
 
 
 def _present_list(fields: list[str], prefix: str) -> Column:
     joined = F.array_join(F.array(*[F.when(_k(f) == "missing", F.lit(f)) for f in fields]), ", ")
-    return F.when(joined != "", F.concat(F.lit(prefix), joined))
+    return _one(joined != "", F.concat(F.lit(prefix), joined))
 
 
-def _not_null(arrays: list[Column]) -> Column:
-    if not arrays:
-        return F.array().cast("array<string>")
-    parts = [F.coalesce(a, F.array().cast("array<string>")) for a in arrays]
-    return F.filter(F.concat(*parts), lambda x: x.isNotNull())
+def _joined(arrays: list[Column]) -> Column:
+    return F.concat(*[F.coalesce(a, _none()) for a in arrays]) if arrays else _none()
 
 
 def _selected(rules: tuple[str, ...] | None) -> tuple[bool, bool, list[tuple[str, str]]]:
@@ -175,17 +181,18 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
     out = out.withColumn("_fields", F.try_variant_get(F.col("_doc"), "$", shape))
     out = out.withColumn("_root_k", F.when(F.col("_doc").isNull(), F.lit("missing"))
                          .when(F.col("_fields").isNull(), F.lit("other")).otherwise(F.lit("object")))
+    # What the rules look at, worked out once: of each value its kind and text, of a list's items their messages.
+    # The document goes here, as each further step would copy it.
+    keep = [c for c in out.columns if c != "_fields" and (keep_doc or c != "_doc")]
+    seen = []
     for f in FIELDS:
-        out = out.withColumn(_col_name(f), F.col("_fields")[f])
-    # lists and the facts of their items are columns of their own, so that each is worked out once
-    for f, rule in _LISTS.items():
-        out = out.withColumn(_col_name(f) + "_list", F.try_variant_get(F.col(_col_name(f)), "$", "array<variant>"))
-        if rule == "instructions":
-            out = out.withColumn(_col_name(f) + "_facts", _step_facts(F.col(_col_name(f))))
-    for f in FIELDS:
-        out = out.withColumn(_col_name(f) + "_k", _kind_of(f))
-    errs = [F.array(_present_list(REQUIRED_FIELDS, MSG_MISSING_REQUIRED))] if use_req else []
-    warns = [F.array(_present_list(OPTIONAL_FIELDS, MSG_MISSING_OPTIONAL))] if use_opt else []
+        v = F.col("_fields")[f]
+        seen.append(_item_kind(v).alias(_col_name(f) + "_k"))
+        seen.append(_LISTS[f](f, v).alias(_col_name(f) + "_items") if f in _LISTS
+                    else F.when(_is_string(v), F.try_variant_get(v, "$", "string")).alias(_col_name(f) + "_s"))
+    out = out.select(*keep, *seen)
+    errs = [_present_list(REQUIRED_FIELDS, MSG_MISSING_REQUIRED)] if use_req else []
+    warns = [_present_list(OPTIONAL_FIELDS, MSG_MISSING_OPTIONAL)] if use_opt else []
     for kind_name, field in order:
         e, w = _rule(kind_name, field)
         errs += e
@@ -194,16 +201,17 @@ def validate(df: DataFrame, col: str, keep_doc: bool = False, rules: tuple[str,
     not_obj = F.col("_root_k") != "object"
     errors = (F.when(rejected, F.array(F.lit(MSG_INVALID)))
               .when(not_obj, F.array(F.lit(MSG_NOT_OBJECT)))
-              .otherwise(_not_null(errs)))
-    warning_list = (F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_not_null(warns))
+              .otherwise(_joined(errs)))
+    warning_list = (F.when(rejected | not_obj, F.array().cast("array<string>")).otherwise(_joined(warns))
                     if warnings else F.array().cast("array<string>"))
-    tmp = [c for c in out.columns if c.startswith("_v_")] + ["_root_k", "_fields"] + ([] if keep_doc else ["_doc"])
-    keep = [c for c in out.columns if c not in tmp]
+    keep = [c for c in keep if c != "_root_k"]
     # The messages leave through a one-row generator: a filter on them (or on
     # is_valid) stops at the generator instead of being pushed down and inlined
     # into every rule, which would evaluate the rules twice and grow the plan
     # with every reference.  The outer form infers no size() filter either.
-    out = out.select(*keep, F.inline_outer(F.array(F.struct(errors.alias("errors"), warning_list.alias("warnings")))))
+    # They are columns before it, as a generator's own expressions are not compiled.
+    out = out.select(*keep, errors.alias("_errors"), warning_list.alias("_warnings"))
+    out = out.select(*keep, F.inline_outer(F.array(F.struct(F.col("_errors").alias("errors"), F.col("_warnings").alias("warnings")))))
     out = out.withColumn("is_valid", F.size("errors") == 0)
     return out.withColumnRenamed("_doc", "doc") if keep_doc else out
 
