@@ -41,6 +41,25 @@ def test_text_and_json_dirs(spark):
     assert got == {"r1": ('{"b":1,"a":2}', "why"), "r2": ("{}", ""), "r3": ('{"z":1}', None)}
 
 
+def test_whole_files_are_opened_without_the_text_source(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="ladle-whole-")
+    bodies = {"plain é.txt": "a\r\nb\rc\n".encode(), "bad.txt": b"caf\xe9 \xff\x00 \xed\xa0\x80 \xf0\x9f", "bom.txt": "\ufeffx\n\n".encode(), "empty.txt": b""}
+    for name, body in bodies.items():
+        with open(os.path.join(d, name), "wb") as fh:
+            fh.write(body)
+    with gzip.open(os.path.join(d, "packed.gz"), "wb") as fh:
+        fh.write(b"in\r\nside")
+
+    def got(df):
+        return sorted((r["stem"], bytes(r["t"])) for r in df.select("stem", F.col("text").cast("binary").alias("t")).collect())
+    files = IO.read_text_dir(spark, d)
+    old = spark.read.text(d, wholetext=True, pathGlobFilter="*.txt")
+    assert got(files) == got(old.select(IO.path_stem(IO.file_name()).alias("stem"), IO.normalise_newlines("value").alias("text")))
+    assert "FileScan binaryFile" in files._jdf.queryExecution().executedPlan().toString()
+    assert got(IO.read_text_dir(spark, d, "*.gz")) == [("packed", b"in\nside")]  # unpacked, as before
+
+
 def test_path_stem(spark):
     df = spark.createDataFrame([("a.txt",), (".bashrc",), ("x.tar.gz",), ("noext",), ("dot.",)], "f string")
     assert [r.s for r in df.select(IO.path_stem("f").alias("s")).collect()] == ["a", ".bashrc", "x.tar", "noext", "dot."]
