@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 from ladle.llm.common import scratch_table
 from ladle.llm.texts import slices, small_batches
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: units handed to a tokenizer at once
 ENCODE_AT_ONCE = 4096
 # The pattern that byte-level pre-tokenising stands for, and its settings in a tokenizers file.
@@ -311,7 +311,7 @@ def align(docs: DataFrame, tokenizers: tuple[str, str] | None = None, id_col: st
             for at, n in slices(batch.column(1), size=SLICE_BYTES):
                 yield slice_row(aligner, batch.column(0).slice(at, n), batch.column(1).slice(at, n), number)
                 number += 1
-    parts = scratch_table(_texts(docs, id_col, text_col).mapInArrow(task, _SLICES), "token-slices")
+    parts = scratch_table(_texts(docs, id_col, text_col).mapInArrow(task, _SLICES), "token-slices", large_rows=True)
     wanted = parts.select("slice", F.posexplode("pairs").alias("place", "pair"))
     found = wanted.join(pair_counts(parts), "pair").select("slice", "place", "n", "best")
     held = parts.drop("pairs", "pair_n").withColumnRenamed("slice", "home")
